@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from .common import documents
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -15,5 +21,19 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
 
 
-QUERIES = {"op10_mix": op10_mix}
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From an empty cache, so that every run does the whole work; ``token_counts`` takes a cache that lasts."""
+    from .tokens import token_counts
+
+    counts = token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+    return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op10_mix": op10_mix}
 ORACLES: dict[str, str] = {}
