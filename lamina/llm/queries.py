@@ -35,5 +35,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op10_mix": op10_mix}
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import held_out, predict, train
+
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out(F.col("doc_id")))
+    model = train(docs.where(~F.col("held_out")))
+    return predict(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
+
+
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op10_mix": op10_mix}
 ORACLES: dict[str, str] = {}
