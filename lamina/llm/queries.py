@@ -49,5 +49,24 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op10_mix": op10_mix}
-ORACLES: dict[str, str] = {}
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lines import drop_repeated_lines
+
+    cleaned = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(F.coalesce("lines.text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+gone AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+m AS (SELECT k.*, gone.key IS NOT NULL AS dropped FROM k LEFT JOIN gone ON k.key = gone.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
+
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op7_lines": op7_lines, "op10_mix": op10_mix}
+ORACLES: dict[str, str] = {"op7_lines": OP7_SQL}
