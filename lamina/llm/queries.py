@@ -49,6 +49,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import drop_repeated_lines
 
@@ -68,5 +75,25 @@ FROM m GROUP BY r, doc_id
 """
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op7_lines": op7_lines, "op10_mix": op10_mix}
-ORACLES: dict[str, str] = {"op7_lines": OP7_SQL}
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .passages import remove_repeated_passages
+
+    cut = remove_repeated_passages(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "passages.n_words", "passages.n_removed", F.sha2("passages.text", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT r, unnest(generate_series(1, len(w) - 34)) AS i FROM d),
+k AS (SELECT s.r, i, hash(list_slice(w, i, i + 34)) AS h, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS m FROM s JOIN d ON s.r = d.r),
+again AS (SELECT h, m FROM k GROUP BY h, m HAVING count(*) > 1),
+gone AS (SELECT DISTINCT k.r, i + j AS p FROM k JOIN again ON k.h = again.h AND k.m = again.m, generate_series(0, 34) AS g(j)),
+x AS (SELECT r, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.p) AS words, count(*) AS n FROM x LEFT JOIN gone ON x.r = gone.r AND x.p = gone.p WHERE gone.p IS NULL GROUP BY x.r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r
+"""
+
+
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_lines": op7_lines, "op9_passages": op9_passages, "op10_mix": op10_mix}
+ORACLES: dict[str, str] = {"op7_lines": OP7_SQL, "op9_passages": OP9_SQL}
