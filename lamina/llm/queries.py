@@ -75,6 +75,13 @@ FROM m GROUP BY r, doc_id
 """
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import replace_entities
+
+    replaced = replace_entities(documents(spark, sf_dir).select("doc_id", "text"), key="lamina-production-key")
+    return replaced.select("doc_id", "pii.text", "pii.n_entities", *[F.col(f"pii.counts.{k}").alias(f"n_{k}") for k in ("email", "secret", "ip", "iban", "phone", "ssn", "card", "name")])
+
+
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .passages import remove_repeated_passages
 
@@ -83,7 +90,8 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT r, unnest(generate_series(1, len(w) - 34)) AS i FROM d),
 k AS (SELECT s.r, i, hash(list_slice(w, i, i + 34)) AS h, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS m FROM s JOIN d ON s.r = d.r),
 again AS (SELECT h, m FROM k GROUP BY h, m HAVING count(*) > 1),
@@ -95,5 +103,5 @@ FROM d LEFT JOIN kept ON d.r = kept.r
 """
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_lines": op7_lines, "op9_passages": op9_passages, "op10_mix": op10_mix}
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_lines": op7_lines, "op8_surrogates": op8_surrogates, "op9_passages": op9_passages, "op10_mix": op10_mix}
 ORACLES: dict[str, str] = {"op7_lines": OP7_SQL, "op9_passages": OP9_SQL}
