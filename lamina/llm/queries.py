@@ -56,6 +56,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of the documents whose id is divisible by 50, against all documents."""
+    from .search import top_k
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = top_k(docs, docs.where(F.col("doc_id") % 50 == 0), k=10)
+    return found.select("query_id", F.col("id").alias("doc_id"), F.round("score", 4).alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
+OP6_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM w) GROUP BY r, term),
+n AS (SELECT count(*) AS docs, avg(len(words)) AS mean FROM w),
+df AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+q AS (SELECT DISTINCT w.doc_id AS query_id, term FROM t JOIN w ON t.r = w.r WHERE w.doc_id % 50 = 0),
+s AS (SELECT q.query_id, t.r, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))), 6) AS score
+      FROM q JOIN df ON q.term = df.term JOIN t ON q.term = t.term JOIN w ON t.r = w.r, n GROUP BY q.query_id, t.r),
+k AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN w ON s.r = w.r)
+SELECT query_id, doc_id, round(score, 4) AS score, CAST(rank AS INTEGER) AS rank FROM k WHERE rank <= 10
+"""
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import drop_repeated_lines
 
@@ -103,5 +125,5 @@ FROM d LEFT JOIN kept ON d.r = kept.r
 """
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op5_simhash": op5_simhash, "op7_lines": op7_lines, "op8_surrogates": op8_surrogates, "op9_passages": op9_passages, "op10_mix": op10_mix}
-ORACLES: dict[str, str] = {"op7_lines": OP7_SQL, "op9_passages": OP9_SQL}
+QUERIES = {"op1_pack": op1_pack, "op2_token_counts": op2_token_counts, "op3_language": op3_language, "op4_quality": op4_quality, "op5_simhash": op5_simhash, "op6_search": op6_search, "op7_lines": op7_lines, "op8_surrogates": op8_surrogates, "op9_passages": op9_passages, "op10_mix": op10_mix}
+ORACLES: dict[str, str] = {"op6_search": OP6_SQL, "op7_lines": OP7_SQL, "op9_passages": OP9_SQL}
