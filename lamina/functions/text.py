@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 #: Parts of messages of a service that is busy.
 BUSY = ["识别失败", "请求过载", "请求超载", "服务器繁忙", "系统繁忙", "服务繁忙", "模型繁忙", "稍后重试", "too many requests", "overload", "temporarily unavailable"]
@@ -127,7 +128,7 @@ def response_content(payload: Column) -> Column:
     return F.struct(F.when(error.isNull(), text).alias("content"), error.alias("error"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def repair_name(names: pd.Series) -> pd.Series:
     """Names whose UTF-8 bytes were read as GB18030; others stay.  The codec isn't among Spark's."""
 
@@ -140,7 +141,7 @@ def repair_name(names: pd.Series) -> pd.Series:
     return names.map(repaired)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def heading_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of matching characters of two headings' signatures, as the standard library's matcher has it."""
     import re

@@ -40,5 +40,6 @@ def write(summary: DataFrame, folder: str, columns: list[str], status: str, orde
 
 def artifact_label(path: Column, labels: dict[str, str]) -> Column:
     """A readable name for an artifact: the label of the first pattern that matches, with its number."""
-    tried = [F.when(path.rlike(p), F.concat(F.lit(label), F.lit("_"), F.format_string("%03d", F.coalesce(F.regexp_extract(path, r"(\d+)\.[^.]+$", 1).try_cast("int") if hasattr(path, "try_cast") else F.regexp_extract(path, r"(\d+)\.[^.]+$", 1).cast("int"), F.lit(0))))) for p, label in labels.items()]
+    number = F.coalesce(F.regexp_extract(path, r"(\d+)\.[^.]+$", 1).try_cast("int"), F.lit(0))
+    tried = [F.when(path.rlike(p), F.concat(F.lit(label), F.lit("_"), F.format_string("%03d", number))) for p, label in labels.items()]
     return F.coalesce(*tried, F.regexp_extract(path, r"([^/]+)$", 1))

@@ -57,7 +57,7 @@ def signatures_match(found: dict[str, Column], wanted: dict[str, Column]) -> Col
 
 def recover(attempts: DataFrame, wanted: DataFrame, keys: list[str], names: tuple[str, ...] = ("tile_sha256", "prompt_sha256", "cache_key", "model")) -> DataFrame:
     """The newest stored attempt of each key whose signatures all match those wanted."""
-    number = F.regexp_extract("name", r"attempt_(\d+)", 1).cast("int")
+    number = F.regexp_extract("name", r"attempt_(\d+)", 1).try_cast("int")
     asked = wanted.select(*keys, *[F.col(n).alias(f"want_{n}") for n in names])
     matched = attempts.join(asked, keys).where(signatures_match({n: F.col(n) for n in names}, {n: F.col(f"want_{n}") for n in names}))
     rest = [c for c in attempts.columns if c not in keys]

@@ -56,20 +56,41 @@ def dominated_pairs(boxes: DataFrame, by: list[str], overlap: float, cell: int)
 def suppress(boxes: DataFrame, by: list[str], overlap: float = 0.5) -> DataFrame:
     """Greedy suppression: the strongest box stays, boxes of its label that overlap it go, and so on.
 
-    What a box suppresses depends on the boxes kept before it, so each ``by`` group (an image's label) is one fold.
+    What a box suppresses depends on the boxes kept before it, so each ``by`` group (an image's label) is one fold; sorted
+    partitions are streamed, and many small groups share a batch.
     """
     import numpy as np
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["confidence", "id"], ascending=[False, True], ignore_index=True)
-        x1, y1, x2, y2 = (pdf[c].to_numpy(float) for c in ("x1", "y1", "x2", "y2"))
-        sizes, stay = np.maximum(0, x2 - x1) * np.maximum(0, y2 - y1), np.ones(len(pdf), bool)
-        for i in range(len(pdf)):
+    def survivors(x1, y1, x2, y2):
+        sizes, stay = np.maximum(0, x2 - x1) * np.maximum(0, y2 - y1), np.ones(len(x1), bool)
+        for i in range(len(x1)):
             if stay[i]:
                 common = np.maximum(0, np.minimum(x2[i], x2) - np.maximum(x1[i], x1)) * np.maximum(0, np.minimum(y2[i], y2) - np.maximum(y1[i], y1))
                 union = sizes[i] + sizes - common
                 over = np.divide(common, union, out=np.zeros_like(common), where=union > 0) > overlap
                 stay[i + 1 :] &= ~over[i + 1 :]
-        return pdf[stay]
-
-    return boxes.groupBy(*by).applyInPandas(keep, boxes.schema)
+        return stay
+
+    def keep(batches):
+        held = None
+        for pdf in _then_none(batches):
+            if pdf is None:
+                whole, held = held, None
+            else:
+                held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+                last = (held[by] == held[by].iloc[-1]).all(axis=1).to_numpy() if len(held) else np.zeros(0, bool)
+                whole, held = held[~last], held[last]  # the last group may go on in the next batch
+            if whole is None or not len(whole):
+                continue
+            group = whole.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+            edges = np.flatnonzero(np.diff(np.concatenate([[-1], group, [group[-1] + 1]])))
+            boxes_ = [whole[c].to_numpy(float) for c in ("x1", "y1", "x2", "y2")]
+            yield whole[np.concatenate([survivors(*(b[i:j] for b in boxes_)) for i, j in zip(edges, edges[1:], strict=False)])]
+
+    ordered = boxes.repartition(*by).sortWithinPartitions(*by, F.desc("confidence"), "id")
+    return ordered.mapInPandas(keep, boxes.schema)
+
+
+def _then_none(batches):
+    yield from batches
+    yield None

@@ -1,6 +1,804 @@
-"""Registry of the layout queries and their SQL equivalents."""
+"""Registry of the layout queries and their SQL equivalents.
+
+Documents, pages and events stand for raster evidence: a text's lines are rows of pixels, numbers of a row are boxes.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.functions import boxes as B
+from lamina.functions import keys as K
+from lamina.functions import text as T
+from lamina.operators import audit, bands, cache, dedup, headings, merge, recognise, spans, submit, tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- content hashes and duplicates ---
+
+
+@query("""
+WITH s AS (SELECT source, sha256(text) AS h, count(*) AS n FROM documents GROUP BY ALL)
+SELECT source, CAST(sum(n) AS BIGINT) AS image_count, count(*) AS unique_image_count,
+       CAST(sum(n) - count(*) AS BIGINT) AS reusable_count, count(*) FILTER (WHERE n > 1) AS duplicate_groups FROM s GROUP BY source""")
+def q_hash_report(spark, sf):
+    return dedup.report(table(spark, sf, "documents"), F.col("text"), "doc_id", "source")
+
+
+@query("SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS canonical, max(doc_id) AS last FROM documents GROUP BY 1 HAVING count(*) > 1")
+def q_dup_groups(spark, sf):
+    return dedup.groups(table(spark, sf, "documents"), F.col("text"), "doc_id").where("n > 1")
+
+
+@query("SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(text)) AS canonical, sha256(text) AS sha256 FROM documents")
+def q_dup_fanout(spark, sf):
+    return dedup.fan_out(table(spark, sf, "documents"), F.col("text"), "doc_id")
+
+
+@query("SELECT url, sha256(html) AS sha256, CAST(strlen(html) AS BIGINT) AS length FROM pages")
+def q_page_hash(spark, sf):
+    return table(spark, sf, "pages").select("url", K.content_hash(F.col("html")).alias("sha256"), F.octet_length("html").cast("long").alias("length"))
+
+
+@query(r"SELECT doc_id, sha256(encode(text) || '\x00'::BLOB || encode('Read the table.') || '\x00'::BLOB || encode('vl-2b;1600000px;8192tok')) AS tile_key FROM documents")
+def q_tile_key(spark, sf):
+    model = K.model_signature(F.lit("vl-2b"), F.lit(1_600_000), F.lit(8192))
+    return table(spark, sf, "documents").select("doc_id", K.tile_key(F.col("text"), F.lit("Read the table."), model).alias("tile_key"))
+
+
+# --- cache ---
+
+
+@query("SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)")
+def q_cache_miss(spark, sf):
+    return cache.misses(table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels"), ["doc_id"])
+
+
+@query("SELECT doc_id, source FROM documents SEMI JOIN labels USING (doc_id)")
+def q_cache_hit(spark, sf):
+    return cache.hits(table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels"), ["doc_id"])
+
+
+@query("SELECT doc_id, coalesce(CAST(toxic AS VARCHAR), 'none') AS stored, toxic IS NULL AS missed FROM documents LEFT JOIN labels USING (doc_id)")
+def q_cache_get(spark, sf):
+    """A stored 0 is a hit; only null is a miss."""
+    found = cache.lookup(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id", "toxic"), ["doc_id"])
+    return found.select("doc_id", F.coalesce(F.col("toxic").cast("string"), F.lit("none")).alias("stored"), F.col("toxic").isNull().alias("missed"))
+
+
+@query("""SELECT user_id, event_type, event_id, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
+def q_cache_upsert(spark, sf):
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    old, new = events.where(F.col("event_id") % 2 == 0), events.where(F.col("event_id") % 2 == 1)
+    return cache.upsert(old, new, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@query("""
+WITH u AS (SELECT user_id, event_type, event_id, ts, CAST(event_id % 3 AS INTEGER) AS origin FROM events)
+SELECT user_id, event_type, event_id, ts, origin FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY origin, ts DESC) AS k FROM u) WHERE k = 1""")
+def q_cache_merge(spark, sf):
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts")
+    part = [events.where(F.col("event_id") % 3 == i) for i in range(3)]
+    return cache.merge(part[0], part[1:], ["user_id", "event_type"], "ts")
+
+
+@query("""
+WITH u AS (SELECT user_id, event_type, event_id % 3 AS origin FROM events), o AS (SELECT user_id, event_type, min(origin) AS origin FROM u GROUP BY ALL)
+SELECT CAST(origin AS INTEGER) AS origin, count(*) AS inserted FROM o WHERE origin > 0 GROUP BY origin""")
+def q_cache_inserted(spark, sf):
+    return q_cache_merge(spark, sf).where("origin > 0").groupBy("origin").agg(F.count(F.lit(1)).alias("inserted"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 50)")
+def q_cache_delete(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    return cache.delete(events, events.where("event_type = 'error' AND value > 50"), ["user_id"]).select("event_id", "user_id", "event_type")
+
+
+@query("""
+WITH a AS (SELECT user_id, event_type, 'tile_attempt_' || (event_id % 11) || '.md' AS name, event_id % 11 AS n, event_id FROM events WHERE event_id % 4 <> 0)
+SELECT user_id, event_type, name, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY n DESC, event_id DESC) AS k FROM a) WHERE k = 1""")
+def q_attempt_recency(spark, sf):
+    events = table(spark, sf, "events")
+    attempts = events.select("user_id", "event_type", F.concat(F.lit("tile_attempt_"), (F.col("event_id") % 11).cast("string"), F.lit(".md")).alias("name"), "event_id", (F.col("event_id") % 4 == 0).alias("stale"))
+    matched = attempts.where(cache.signatures_match({"stale": F.col("stale")}, {"stale": F.lit(False)}))
+    number = F.regexp_extract("name", r"attempt_(\d+)", 1).try_cast("int")
+    return matched.groupBy("user_id", "event_type").agg(F.max_by(F.struct("name", "event_id"), F.struct(number, F.col("event_id"))).alias("v")).select("user_id", "event_type", "v.*")
+
+
+@query("""SELECT doc_id, CASE WHEN quality IS NULL THEN 'new' ELSE 'reused' END AS preprocessing_cache FROM documents LEFT JOIN labels USING (doc_id)""")
+def q_resume(spark, sf):
+    return recognise.resumed(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels"), ["doc_id"])
+
+
+# --- submission ---
+
+
+@query("SELECT o_orderkey AS file_name, row_number() OVER (ORDER BY o_orderkey) - 1 AS ord, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE o_orderpriority END AS ground_truth FROM orders")
+def q_submit_combine(spark, sf):
+    orders = table(spark, sf, "orders")
+    template = orders.select(F.col("o_orderkey").alias("file_name"), F.col("o_orderkey").alias("ord"))
+    even = orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("file_name"), F.col("o_orderstatus").alias("ground_truth"))
+    odd = orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("file_name"), F.col("o_orderpriority").alias("ground_truth"))
+    return submit.combine(template, [even, odd]).select("file_name", "ord", "ground_truth")
+
+
+@query("""
+SELECT problem, count(*) AS n, min(k) AS first FROM (
+  SELECT 'missing' AS problem, o_orderkey AS k FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+  UNION ALL SELECT DISTINCT 'extra', l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+  UNION ALL SELECT 'duplicate', l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1) GROUP BY problem""")
+def q_submit_validate(spark, sf):
+    template = table(spark, sf, "orders").select(F.col("o_orderkey").alias("file_name"))
+    results = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("file_name"))
+    return submit.problems(template, [results]).groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min("file_name").alias("first"))
+
+
+@query("SELECT n_nationkey, coalesce(r_name, n_name) AS n_name FROM nation LEFT JOIN region ON n_name = 'NATION_' || r_regionkey")
+def q_name_remap(spark, sf):
+    mapping = table(spark, sf, "region").select(F.concat(F.lit("NATION_"), F.col("r_regionkey").cast("string")).alias("old"), F.col("r_name").alias("new"))
+    return submit.remap(table(spark, sf, "nation").select("n_nationkey", "n_name"), mapping, "n_name")
+
+
+# --- retries and policies ---
+
+
+@query("SELECT n AS attempt, (n + 7) * (n + 7) AS delay, CAST(sum((n + 7) * (n + 7)) OVER (ORDER BY n) AS BIGINT) AS elapsed FROM generate_series(1, 15) AS g(n)")
+def q_retry_schedule(spark, sf):
+    return recognise.retry_schedule(spark.range(1, 16).withColumnRenamed("id", "attempt"))
+
+
+@query("SELECT event_id, ['a', 'b', 'c'][CAST((event_id + user_id) % 3 AS INTEGER) + 1] AS active FROM events")
+def q_user_rotation(spark, sf):
+    users = K.rotated(F.array(F.lit("a"), F.lit("b"), F.lit("a"), F.lit("c")), F.lit("a"))
+    return table(spark, sf, "events").select("event_id", K.rotate_user(users, F.col("event_id"), F.col("user_id")).alias("active"))
+
+
+@query("""
+WITH a AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+f AS (SELECT user_id, min(n) FILTER (WHERE event_type <> 'error') AS first, max(n) AS last FROM a WHERE n <= 16 GROUP BY user_id)
+SELECT user_id, coalesce(first, last) AS attempts, first IS NOT NULL AS succeeded FROM f""")
+def q_retry_outcome(spark, sf):
+    from pyspark.sql import Window
+
+    numbered = table(spark, sf, "events").withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long"))
+    return recognise.outcomes(numbered, ["user_id"], "n", F.col("event_type") == "error")
+
+
+@query("""
+SELECT user_id, count(*) AS parts, count(*) FILTER (WHERE event_type = 'error') AS failure_count,
+  coalesce(array_to_string(list_sort(list(event_id) FILTER (WHERE event_type = 'error')), ','), '') AS failed_parts,
+  CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN 'success' WHEN count(*) FILTER (WHERE event_type = 'error') < count(*) THEN 'degraded' ELSE 'failed' END AS status
+FROM events GROUP BY user_id""")
+def q_failure_report(spark, sf):
+    tiles = table(spark, sf, "events").select("user_id", "event_id", F.when(F.col("event_type") == "error", "error").alias("error"))
+    return recognise.failure_report(tiles, "user_id", "event_id", "error").withColumn("failed_parts", F.array_join(F.transform("failed_parts", lambda x: x.cast("string")), ","))
+
+
+@query("""SELECT user_id, CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN 'run' WHEN user_id % 2 = 0 THEN 'run_without_merge' ELSE 'stop' END AS decision FROM events GROUP BY user_id""")
+def q_gate(spark, sf):
+    failed = table(spark, sf, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("failed"))
+    return failed.select("user_id", recognise.gate(F.col("failed"), F.col("user_id") % 2 == 0).alias("decision"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' OR event_type = 'view' THEN '<table>' || repeat('<tr>' || repeat('<td></td>', CAST(user_id % 4 + 1 AS INTEGER)) || '</tr>', CAST(event_id % 3 + 1 AS INTEGER)) || '</table>' ELSE props END AS result FROM events""")
+def q_degraded(spark, sf):
+    """Failed tiles and tiles that came back empty become blank tables of their own size."""
+    tiles = table(spark, sf, "events").select("event_id", "user_id", F.when(F.col("event_type") == "view", "").otherwise(F.col("props")).alias("result"), F.when(F.col("event_type") == "error", "error").alias("error"))
+    return recognise.complete(tiles, "result", "error", F.col("event_id") % 3 + 1, F.col("user_id") % 4 + 1).select("event_id", "result")
+
+
+@query("""
+SELECT source, count(*) AS image_count, count(*) FILTER (WHERE quality IS NOT NULL AND toxic = 0) AS succeeded, count(*) FILTER (WHERE quality IS NOT NULL AND toxic = 1) AS failed,
+  count(*) FILTER (WHERE quality IS NULL) AS pending, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS reused, count(*) FILTER (WHERE quality = 0 AND toxic = 0) AS fresh,
+  CASE WHEN count(*) FILTER (WHERE quality IS NULL) > 0 THEN 'running' WHEN count(*) FILTER (WHERE toxic = 1) > 0 THEN 'finished with errors' ELSE 'finished' END AS status
+FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""")
+def q_audit_counts(spark, sf):
+    items = table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels"), "doc_id", "left")
+    done = F.col("quality").isNotNull()
+    return audit.counters(items, ["source"], F.coalesce(F.col("toxic") == 1, F.lit(False)), done, F.coalesce(F.col("quality") == 1, F.lit(False)))
+
+
+@query(r"""
+SELECT event_id, '<tr style="background:' || CASE WHEN event_type = 'error' THEN '#fdd' ELSE '#dfd' END || '"><td>' || event_id || '</td><td>' || event_type || '</td><td>' || replace(props, '"', '&quot;') || '</td></tr>' AS html FROM events""")
+def q_audit_html(spark, sf):
+    rows = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"), "event_type", "props")
+    return audit.html_rows(rows, ["event_id", "event_type", "props"], "event_type").select(F.col("event_id").cast("long").alias("event_id"), "html")
+
+
+@query("""SELECT doc_id, sha256(reverse(text)) AS result_hash FROM documents""")
+def q_recognise(spark, sf):
+    """Distinct contents that the cache misses go to the model once; results fan out to all copies."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.sha2("text", 256).alias("sha256"))
+    known = docs.where("doc_id % 7 = 0").select("sha256", F.reverse("text").alias("result"), F.lit("2024-01-01").cast("timestamp").alias("created_at")).dropDuplicates(["sha256"])
+
+    def factory():
+        return lambda row: row["text"][::-1]
+
+    done, _ = recognise.recognise(docs, known, ["sha256"], factory)
+    return docs.select("doc_id", "sha256").join(done, "sha256").select("doc_id", F.sha2("result", 256).alias("result_hash"))
+
+
+# --- windows, patches, tiles ---
+
+_WINDOWS = """
+h AS (SELECT doc_id, n_chars AS h FROM documents),
+s AS (SELECT doc_id, h, s FROM h, unnest(generate_series(0, greatest(h - 2048, 0), 1792)) AS g(s) WHERE s < greatest(h - 2048, 0) UNION ALL SELECT doc_id, h, greatest(h - 2048, 0) FROM h),
+e AS (SELECT *, least(s + 2048, h) AS e, row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS i FROM s)"""
+
+
+@query(f"""
+WITH {_WINDOWS}
+SELECT doc_id, CAST(i AS INTEGER) AS window_index, s AS start_y, e AS end_y,
+  CASE WHEN i = 0 THEN 0 ELSE (s + lag(e) OVER w) // 2 END AS ownership_start_y, coalesce((e + lead(s) OVER w) // 2, h) AS ownership_end_y
+FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY i)""")
+def q_detect_windows(spark, sf):
+    return spans.detection_windows(table(spark, sf, "documents"), "doc_id", "n_chars")
+
+
+_AXIS = """
+l AS (SELECT page_id, length(html) AS h FROM pages),
+n AS (SELECT *, CASE WHEN h <= 2000 THEN 1 ELSE greatest(2, CAST(ceil((h - 160) / 1840.0) AS BIGINT)) END AS c FROM l),
+z AS (SELECT *, CASE WHEN h <= 2000 THEN h ELSE CAST(ceil((h + (c - 1) * 160) / CAST(c AS DOUBLE)) AS BIGINT) END AS size FROM n),
+s AS (SELECT page_id, h, c, size, i, CASE WHEN i = c - 1 THEN h - size ELSE i * (size - 160) END AS s FROM z, unnest(generate_series(0, c - 1)) AS g(i))"""
+
+
+@query(f"""
+WITH {_AXIS}
+SELECT page_id, CAST(i AS INTEGER) AS index, s AS start, s + size AS end,
+  CASE WHEN i = 0 THEN 0 ELSE CAST(round_even((s + lag(s + size) OVER w) / 2.0, 0) AS BIGINT) END AS own_start,
+  CASE WHEN i = c - 1 THEN h ELSE CAST(round_even((s + size + lead(s) OVER w) / 2.0, 0) AS BIGINT) END AS own_end
+FROM s WINDOW w AS (PARTITION BY page_id ORDER BY i)""")
+def q_ocr_patches(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", F.length("html").cast("long").alias("h"))
+    return spans.axis_spans(pages, "page_id", "h", 2000, 160)
+
+
+@query(f"""
+WITH {_AXIS},
+o AS (SELECT page_id, i, h, CASE WHEN i = 0 THEN 0 ELSE CAST(round_even((s + lag(s + size) OVER w) / 2.0, 0) AS BIGINT) END AS a,
+  CASE WHEN i = c - 1 THEN h ELSE CAST(round_even((s + size + lead(s) OVER w) / 2.0, 0) AS BIGINT) END AS b FROM s WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+p AS (SELECT page_id, p FROM l, unnest(generate_series(0, h - 1, 97)) AS g(p))
+SELECT p.page_id, p AS position, CAST(i AS INTEGER) AS owner FROM p JOIN o ON p.page_id = o.page_id AND p >= a AND p < b""")
+def q_patch_owner(spark, sf):
+    """Each point is owned once; the owner comes from arithmetic, not from a range join."""
+    pages = table(spark, sf, "pages").select("page_id", F.length("html").cast("long").alias("h"))
+    points = pages.select("page_id", "h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1, F.lit(97).cast("long"))).alias("position"))
+    return points.select("page_id", "position", spans.owner_index(F.col("position"), F.col("h"), 2000, 160).cast("int").alias("owner"))
+
+
+@query("""
+WITH l AS (SELECT p_partkey, p_size * 300 AS w FROM part), n AS (SELECT *, CAST(ceil(w / 3900.0) AS BIGINT) AS c FROM l),
+o AS (SELECT *, CASE WHEN c > 1 THEN least(160, (c * 3900 - w) // (c - 1)) ELSE 0 END AS ov FROM n),
+z AS (SELECT *, CAST(ceil((w + (c - 1) * ov) / CAST(c AS DOUBLE)) AS BIGINT) AS size FROM o),
+t AS (SELECT p_partkey, w, size, i, least(i * (size - ov), w - size) AS x1 FROM z, unnest(generate_series(0, c - 1)) AS g(i))
+SELECT p_partkey, 0 AS row_index, CAST(i AS INTEGER) AS column_index, x1, least(x1 + size, w) AS x2, 0 AS y1, 100 AS y2 FROM t""")
+def q_pixel_tiles(spark, sf):
+    parts = table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 300).alias("w"), F.lit(100).alias("h"))
+    return spans.pixel_tiles(parts, "p_partkey", "w", "h")
+
+
+@query("""
+SELECT doc_id, round(CASE WHEN 1000.0 * n_chars <= 300000 THEN 1000.0 ELSE 1000 * sqrt(300000 / (1000.0 * n_chars)) END, 6) AS est_width,
+  n_chars > 3000 AND CASE WHEN 1000.0 * n_chars <= 300000 THEN 1000.0 ELSE 1000 * sqrt(300000 / (1000.0 * n_chars)) END < 512 AS needs_split FROM documents""")
+def q_needs_split(spark, sf):
+    w, h = F.lit(1000), F.col("n_chars")
+    return table(spark, sf, "documents").select("doc_id", F.round(B.estimated_width(w, h, F.lit(300_000)), 6).alias("est_width"), B.needs_split(w, h, F.lit(300_000), F.lit(3000), F.lit(512)).alias("needs_split"))
+
+
+@query("""
+WITH s AS (SELECT doc_id, n_chars AS h, s FROM documents, unnest(generate_series(0, greatest(0, n_chars - 257), 1792)) AS g(s) WHERE n_chars > 0 AND (s = 0 OR n_chars - s >= 512))
+SELECT doc_id, CAST(row_number() OVER w - 1 AS INTEGER) AS index, s AS start_y, CASE WHEN lead(s) OVER w IS NULL THEN h ELSE least(s + 2048, h) END AS end_y FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY s)""")
+def q_fixed_slices(spark, sf):
+    return spans.fixed_slices(table(spark, sf, "documents"), "doc_id", "n_chars")
+
+
+# --- projections and bands ---
+
+_RASTER = r"""
+r AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS y FROM documents)"""
+
+
+@query(rf"""
+WITH {_RASTER}
+SELECT doc_id, CAST(y AS INTEGER) AS y, length(regexp_replace(line, '\s', '', 'g')) AS ink_count, length(line) AS pixels, length(regexp_replace(line, '\s', '', 'g')) / length(line) AS ratio FROM r WHERE line <> ''""")
+def q_row_projection(spark, sf):
+    """Counted per line, without making a row of each character."""
+    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("y", "line")).where("line <> ''")
+    ink, n = F.length(F.regexp_replace("line", r"\s", "")).cast("long"), F.length("line").cast("long")
+    return rows.select("doc_id", "y", ink.alias("ink_count"), n.alias("pixels"), (ink / n).alias("ratio"))
+
+
+@query(rf"""
+WITH {_RASTER}, c AS (SELECT x, substr(line, CAST(x + 1 AS BIGINT), 1) AS c FROM r, unnest(generate_series(0, length(line) - 1)) AS g(x))
+SELECT CAST(x AS INTEGER) AS x, count(*) FILTER (WHERE NOT regexp_matches(c, '\s')) AS ink_count, count(*) AS pixels, round(count(*) FILTER (WHERE NOT regexp_matches(c, '\s')) / count(*), 9) AS ratio FROM c GROUP BY x""")
+def q_col_projection(spark, sf):
+    raster = bands.text_raster(table(spark, sf, "documents")).withColumn("all", F.lit(1))
+    return bands.column_projection(raster, "all").select("x", "ink_count", "pixels", F.round("ratio", 9).alias("ratio"))
+
+
+_HOURS = """
+b AS (SELECT date_trunc('hour', min(ts)) AS t0 FROM events),
+h AS (SELECT CAST(date_diff('hour', t0, date_trunc('hour', ts)) AS BIGINT) AS y, count(*) AS n FROM events, b GROUP BY 1),
+low AS (SELECT y, y - row_number() OVER (ORDER BY y) AS k FROM h WHERE n <= 10)"""
+
+
+def _hours(spark, sf):
+    events = table(spark, sf, "events").select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("t"))
+    start = F.lit(events.agg(F.min("t")).first()[0])
+    return events.groupBy(((F.unix_timestamp("t") - F.unix_timestamp(start)) / 3600).cast("long").alias("y")).agg(F.count(F.lit(1)).alias("n")).withColumn("page", F.lit(1))
+
+
+@query(f"WITH {_HOURS} SELECT min(y) AS start, max(y) + 1 AS end, count(*) AS length FROM low GROUP BY k")
+def q_blank_bands(spark, sf):
+    return bands.islands(_hours(spark, sf), ["page"], "y", F.col("n") <= 10).select("start", "end", "length")
+
+
+_LENGTHS = r"""
+r AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS y, length(unnest(string_split(text, chr(10)))) AS v FROM documents),
+t AS (SELECT doc_id, (max(y) + 1) // 2 AS target, (max(y) + 1) // 4 AS lower, (max(y) + 1) * 3 // 4 AS upper FROM r GROUP BY doc_id HAVING max(y) >= 3),
+i AS (SELECT r.doc_id, y, v, target FROM r JOIN t ON r.doc_id = t.doc_id WHERE y >= lower AND y <= upper),
+k AS (SELECT *, y - row_number() OVER (PARTITION BY doc_id ORDER BY y) AS k FROM i WHERE v <= 60),
+bb AS (SELECT doc_id, target, min(y) AS s, max(y) + 1 AS e, avg(v) AS m FROM k GROUP BY doc_id, target, k),
+f AS (SELECT doc_id, (s + e) // 2 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs((s + e) // 2 - target), m, (s + e) // 2) AS n FROM bb) WHERE n = 1),
+w AS (SELECT doc_id, y, v FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v, abs(y - target), y) AS n FROM i) WHERE n = 1)"""
+
+
+@query(f"""
+WITH {_LENGTHS}
+SELECT w.doc_id, coalesce(pos, y) AS boundary, CASE WHEN pos IS NOT NULL THEN 'blank_band' WHEN v <= 300 THEN 'minimum_ink' ELSE 'fallback_overlap' END AS method FROM w LEFT JOIN f ON w.doc_id = f.doc_id""")
+def q_boundary_choice(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("y", "line")).select("doc_id", F.col("y").cast("long").alias("y"), F.length("line").alias("v"))
+    n = rows.groupBy("doc_id").agg((F.max("y") + 1).alias("n")).where("n >= 4")
+    goal = n.select("doc_id", F.floor(F.col("n") / 2).alias("target"), F.floor(F.col("n") / 4).alias("lower"), F.floor(F.col("n") * 3 / 4).alias("upper"))
+    return bands.choose_boundary(rows.join(goal, "doc_id"), ["doc_id"], "y", "v", "target", "lower", "upper", 60, 1)
+
+
+@query(r"""
+WITH l AS (SELECT conv_id, rpad(substr(text, 1, 30), 30, ' ') || repeat(' ', CAST(12 + conv_id % 5 AS INTEGER)) || substr(text, 31, 30) AS t FROM conversations), w AS (SELECT conv_id, max(length(t)) AS w FROM l GROUP BY conv_id),
+c AS (SELECT l.conv_id, x, count(*) FILTER (WHERE NOT regexp_matches(substr(t, CAST(x + 1 AS BIGINT), 1), '\s')) / count(*) AS ratio FROM l, unnest(generate_series(0, length(t) - 1)) AS g(x) GROUP BY ALL),
+i AS (SELECT c.conv_id, x, ratio, w FROM c JOIN w ON c.conv_id = w.conv_id WHERE x >= round_even(w * 0.28, 0) AND x < round_even(w * 0.72, 0)),
+k AS (SELECT conv_id, x, w, x - row_number() OVER (PARTITION BY conv_id ORDER BY x) AS k FROM i WHERE ratio <= 0.002),
+b AS (SELECT conv_id, w, min(x) AS s, max(x) + 1 AS e FROM k GROUP BY conv_id, w, k HAVING count(*) >= greatest(12, round_even(w * 0.02, 0)))
+SELECT conv_id, (s + e) // 2 AS boundary FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY abs((s + e) // 2 - w // 2), s) AS n FROM b) WHERE n = 1""")
+def q_column_gutter(spark, sf):
+    """Each conversation set in two columns with a gap of 12 to 16 between them."""
+    gap = F.repeat(F.lit(" "), (F.col("conv_id") % 5 + 12).cast("int"))
+    set_ = F.concat(F.rpad(F.substring("text", 1, 30), 30, " "), gap, F.substring("text", 31, 30))
+    lines = table(spark, sf, "conversations").select("conv_id", "turn", set_.alias("text"))
+    chars = lines.select("conv_id", F.col("turn").alias("y"), F.posexplode(F.split("text", "")).alias("x", "c")).where("c <> ''").withColumn("ink", ~F.col("c").rlike(r"\s"))
+    width = lines.groupBy("conv_id").agg(F.max(F.length("text")).alias("w"))
+    return bands.column_gutter(bands.column_projection(chars, "conv_id"), "conv_id", width)
+
+
+@query(rf"""
+WITH {_RASTER}, k AS (SELECT doc_id, y, length(line) - length(ltrim(line)) AS a, length(rtrim(line)) AS b FROM r WHERE trim(line) <> '')
+SELECT doc_id, CAST(min(a) AS INTEGER) AS x1, CAST(min(y) AS INTEGER) AS y1, CAST(max(b) AS INTEGER) AS x2, CAST(max(y) + 1 AS INTEGER) AS y2 FROM k GROUP BY doc_id""")
+def q_content_box(spark, sf):
+    return bands.content_box(bands.text_raster(table(spark, sf, "documents")), "doc_id")
+
+
+@query("""
+WITH v AS (SELECT vec_id, 255 - CAST(floor(abs(unnest(embedding)) * 100) AS INTEGER) AS g FROM embeddings),
+h AS (SELECT vec_id, count(*) AS pixels, count(*) FILTER (WHERE g < 245) AS ink, count(*) FILTER (WHERE g < 225) AS dark, min(g) AS least, max(g) AS most FROM v GROUP BY vec_id)
+SELECT vec_id, pixels, ink, dark, least, most, (ink <= greatest(2, floor(pixels * 0.00001)) AND dark <= 0) OR most - least <= 2 AS blank FROM h""")
+def q_blank_image(spark, sf):
+    gray = table(spark, sf, "embeddings").select("vec_id", F.explode("embedding").alias("e")).select("vec_id", (255 - F.floor(F.abs("e") * F.lit(100).cast("float")).cast("int")).alias("gray"))
+    told = bands.histogram(gray, "vec_id")
+    return told.withColumn("blank", B.is_blank(F.col("ink"), F.col("dark"), F.col("pixels"), F.col("least"), F.col("most")))
+
+
+@query(rf"""
+WITH {_RASTER}, k AS (SELECT doc_id, y, length(line) - length(ltrim(line)) AS a, length(rtrim(line)) AS b, length(regexp_replace(line, '\s', '', 'g')) AS n FROM r WHERE trim(line) <> '')
+SELECT doc_id, CAST(y AS INTEGER) AS y, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS end, n / (b - a) AS coverage FROM k WHERE b - a >= 20 AND n / (b - a) >= 0.88""")
+def q_line_segments(spark, sf):
+    return bands.line_segments(bands.text_raster(table(spark, sf, "documents")), "doc_id", "y", "x", 0.88, 20)
+
+
+_GAPS = """
+p AS (SELECT DISTINCT user_id, CAST(date_diff('minute', TIMESTAMP '2024-01-01', date_trunc('minute', ts)) AS BIGINT) AS p FROM events),
+g AS (SELECT *, p - lag(p) OVER w AS a, lead(p) OVER w - p AS b FROM p WINDOW w AS (PARTITION BY user_id ORDER BY p)),
+t AS (SELECT user_id, median(b) AS m FROM g GROUP BY user_id)"""
+
+
+def _positions(spark, sf):
+    minute = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 60) - F.lit(1704067200 // 60)
+    return table(spark, sf, "events").select("user_id", minute.alias("p")).distinct()
+
+
+@query(f"""
+WITH {_GAPS}, n AS (SELECT g.*, least(600, floor(m * 0.6)) AS least FROM g JOIN t USING (user_id)),
+s AS (SELECT user_id, count(*) FILTER (WHERE b < least) / count(b) AS s FROM n GROUP BY user_id)
+SELECT user_id, p, CAST(least AS BIGINT) AS minimum_gap, coalesce(a < least AND b < least, false) AND s <= 0.5 AS rejected FROM n JOIN s USING (user_id)""")
+def q_gap_cleanup(spark, sf):
+    cleaned = bands.clean_lines(_positions(spark, sf), ["user_id"], "p", least_cell=600, share=0.5)
+    return cleaned.select("user_id", "p", F.col("minimum_gap").cast("long").alias("minimum_gap"), "rejected")
+
+
+@query(f"WITH {_GAPS} SELECT user_id, count(b) AS gaps, round(avg(CASE WHEN abs(b - m) <= 0.25 * m THEN 1.0 ELSE 0.0 END), 9) AS regularity FROM g JOIN t USING (user_id) WHERE b IS NOT NULL GROUP BY user_id")
+def q_band_regularity(spark, sf):
+    return bands.regularity(_positions(spark, sf), ["user_id"], "p").withColumn("regularity", F.round("regularity", 9))
+
+
+@query(f"WITH {_HOURS}, a AS (SELECT y, n <= 6 AS ink FROM h) SELECT y, ink, bool_or(ink) OVER (ORDER BY y RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS dilated FROM a")
+def q_dilate(spark, sf):
+    return bands.dilate(_hours(spark, sf).withColumn("ink", F.col("n") <= 6), ["page"], "y", "ink", 2).select("y", "ink", "dilated")
+
+
+@query(r"""
+WITH r AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, length(unnest(string_split(text, chr(10)))) AS h FROM documents),
+b AS (SELECT doc_id, i, CAST(sum(h) OVER w AS BIGINT) - h AS y1, CAST(sum(h) OVER w AS BIGINT) AS y2, CAST(sum(h) OVER (PARTITION BY doc_id) AS BIGINT) AS page FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+d AS (SELECT *, coalesce(y2 - y1 <= 0.05 * page AND y2 - y1 <= 0.10 * (lead(y2) OVER w - lead(y1) OVER w), false) AS down FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT *, sum(CASE WHEN coalesce(pre, false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT *, lag(down) OVER (PARTITION BY doc_id ORDER BY i) AS pre FROM d))
+SELECT doc_id, page, min(y1) AS y1, max(y2) AS y2 FROM g GROUP BY doc_id, page, k""")
+def q_shallow_merge(spark, sf):
+    from pyspark.sql import Window
+
+    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("h", F.length("line").cast("long"))
+    up = Window.partitionBy("doc_id").orderBy("i")
+    regions = rows.select("doc_id", "i", (F.sum("h").over(up) - F.col("h")).alias("y1"), F.sum("h").over(up).alias("y2"), F.sum("h").over(Window.partitionBy("doc_id")).alias("page")).where("y2 > y1")
+    return bands.merge_shallow(regions, ["doc_id"], "page")
+
+
+# --- boxes ---
+
+_BOXES = """
+b AS (SELECT l_orderkey, l_linenumber AS id, l_returnflag AS label, CAST(l_quantity AS INTEGER) * 10 AS x1, CAST(l_partkey % 40 AS INTEGER) * 10 AS y1,
+  CAST(l_quantity AS INTEGER) * 10 + 120 AS x2, CAST(l_partkey % 40 AS INTEGER) * 10 + CAST(l_suppkey % 30 AS INTEGER) * 10 AS y2, l_discount AS confidence FROM lineitem WHERE l_orderkey % 5 = 0)"""
+
+
+def _boxes(spark, sf):
+    q, y = F.col("l_quantity").cast("int") * 10, (F.col("l_partkey") % 40).cast("int") * 10
+    return table(spark, sf, "lineitem").where("l_orderkey % 5 = 0").select(
+        "l_orderkey", F.col("l_linenumber").alias("id"), F.col("l_returnflag").alias("label"), q.alias("x1"), y.alias("y1"), (q + 120).alias("x2"), (y + (F.col("l_suppkey") % 30).cast("int") * 10).alias("y2"), F.col("l_discount").alias("confidence")
+    )
+
+
+@query(f"""
+WITH {_BOXES},
+i AS (SELECT a.l_orderkey, a.id AS id, c.id AS other, greatest(0, least(a.x2, c.x2) - greatest(a.x1, c.x1)) * greatest(0, least(a.y2, c.y2) - greatest(a.y1, c.y1)) AS i,
+  (a.x2 - a.x1) * (a.y2 - a.y1) + (c.x2 - c.x1) * (c.y2 - c.y1) AS s FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.id < c.id)
+SELECT l_orderkey, id, other, i AS common, round(coalesce(i / nullif(s - i, 0), 0.0), 9) AS iou FROM i""")
+def q_box_iou(spark, sf):
+    boxes = _boxes(spark, sf).select("l_orderkey", "id", B.box(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("b"))
+    a, c = boxes.alias("a"), boxes.alias("c")
+    pairs = a.join(c, (F.col("a.l_orderkey") == F.col("c.l_orderkey")) & (F.col("a.id") < F.col("c.id")))
+    return pairs.select("a.l_orderkey", "a.id", F.col("c.id").alias("other"), B.intersection(F.col("a.b"), F.col("c.b")).alias("common"), F.round(B.iou(F.col("a.b"), F.col("c.b")), 9).alias("iou"))
+
+
+@query(f"""
+WITH {_BOXES}, c AS (SELECT *, least(greatest(x1 - 15, 0), 500) AS a, least(greatest(y1 - 25, 0), 300) AS t FROM b)
+SELECT l_orderkey, id, a AS x1, t AS y1, least(greatest(x2 + 15, a), 500) AS x2, least(greatest(y2 + 25, t), 300) AS y2 FROM c""")
+def q_box_clamp(spark, sf):
+    b = B.expand(B.box(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), F.lit(15), F.lit(25), F.lit(500), F.lit(300))
+    return _boxes(spark, sf).select("l_orderkey", "id", b.alias("b")).select("l_orderkey", "id", "b.*")
+
+
+@query(f"""
+WITH {_BOXES}
+SELECT DISTINCT a.l_orderkey, a.label, a.id AS id, c.id AS stronger FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.label = c.label AND a.id <> c.id
+WHERE (a.confidence < c.confidence OR a.confidence = c.confidence AND a.id > c.id)
+  AND 10 * (greatest(0, least(a.x2, c.x2) - greatest(a.x1, c.x1)) * greatest(0, least(a.y2, c.y2) - greatest(a.y1, c.y1))) >
+      3 * ((a.x2 - a.x1) * (a.y2 - a.y1) + (c.x2 - c.x1) * (c.y2 - c.y1) - greatest(0, least(a.x2, c.x2) - greatest(a.x1, c.x1)) * greatest(0, least(a.y2, c.y2) - greatest(a.y1, c.y1)))""")
+def q_nms_pairs(spark, sf):
+    return dedup.dominated_pairs(_boxes(spark, sf).where("y2 > y1"), ["l_orderkey", "label"], 0.3, 200)
+
+
+@query()
+def q_nms_kept(spark, sf):
+    return dedup.suppress(_boxes(spark, sf), ["l_orderkey", "label"], 0.3).select("l_orderkey", "label", "id")
+
+
+# --- headings ---
+
+
+@query("""
+WITH f AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, event_id, CAST(sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS run FROM f""")
+def q_span_merge_titles(spark, sf):
+    return headings.runs_of(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("user_id", "event_id", "run")
+
+
+_LEVELS = "h AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level FROM conversations)"
+
+
+@query(f"""
+WITH {_LEVELS}
+SELECT conv_id, turn, level, CASE WHEN level = 3 THEN coalesce(max(CASE WHEN level = 2 THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) ELSE -1 END AS parent FROM h""")
+def q_parent_heading(spark, sf):
+    levels = table(spark, sf, "conversations").select("conv_id", "turn", F.col("turn").alias("id"), F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3).alias("level"))
+    return headings.parents(levels, "conv_id", ["turn"]).select("conv_id", "turn", "level", F.coalesce("parent_id", F.lit(-1)).alias("parent"))
+
+
+@query("""
+WITH h AS (SELECT conv_id, turn, CAST(sum(length(text)) OVER w AS BIGINT) - length(text) AS start, CAST(sum(length(text)) OVER (PARTITION BY conv_id) AS BIGINT) AS height FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, turn, start, coalesce(lead(start) OVER (PARTITION BY conv_id ORDER BY turn), height) AS end FROM h""")
+def q_sections(spark, sf):
+    from pyspark.sql import Window
+
+    w, size = Window.partitionBy("conv_id"), F.length("text").cast("long")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", (F.sum(size).over(w.orderBy("turn")) - size).alias("start"), F.sum(size).over(w).alias("height"))
+    return headings.sections(rows, "conv_id", "start", "height", ["turn"]).select("conv_id", "turn", "start", "end")
+
+
+@query("""SELECT url, 1 AS level, rtrim(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)) AS text, length(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)) > 0 AS found FROM pages""")
+def q_heading_lines(spark, sf):
+    """Headings of pages as Markdown lines, read back with their levels."""
+    inner = F.regexp_extract("html", r"(?i)<h1[^>]*>(.*?)</h1>", 1)
+    line = F.concat(F.lit("# "), inner)
+    return table(spark, sf, "pages").select("url", T.heading_marks(line).alias("level"), T.heading_text(line).alias("text"), (T.heading_marks(line) > 0).alias("found"))
+
+
+@query("""
+SELECT pack_id, level, expected, recognised FROM (
+  SELECT conv_id AS pack_id, 2 AS level, count(DISTINCT turn) FILTER (WHERE role = 'user') AS expected, count(*) FILTER (WHERE role = 'assistant' ) AS recognised FROM conversations GROUP BY conv_id) WHERE expected > 0 OR recognised > 0""")
+def q_heading_budget(spark, sf):
+    turns = table(spark, sf, "conversations").withColumnRenamed("conv_id", "pack_id").withColumn("level", F.lit(2))
+    hints = turns.where("role = 'user'").select("pack_id", "level", F.col("turn").alias("heading_id"))
+    return headings.heading_budget(hints.unionByName(hints), turns.where("role = 'assistant'").select("pack_id", "level"))
+
+
+_NUMBERED = ["1 总则", "1.1 范围", "1.1.1 定义", "1.2.3.4.5 深", "100 页", "99、", "第三章 保险", "第五节 责任", "第十条", "一、概述", "（一）说明", "(2) 其他", "1. x", "1) x", "正文", "12．标题", "　3 空格"]
+_EXPECTED = [2, 3, 4, 5, 0, 2, 2, 3, 3, 2, 4, 4, 0, 0, 0, 2, 2]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', {b})" for a, b in zip(_NUMBERED, _EXPECTED, strict=True)) + ") AS v(line, level)")
+def q_numbered_level(spark, sf):
+    rows = spark.createDataFrame([(x,) for x in _NUMBERED], "line string")
+    return rows.select("line", F.coalesce(T.numbered_level(F.col("line")), F.lit(0)).alias("level"))
+
+
+@query("SELECT doc_id, sha256(trim(text, ' ' || chr(10))) AS inner_hash, true AS same FROM documents WHERE text <> ''")
+def q_fence_strip(spark, sf):
+    docs = table(spark, sf, "documents").where("text <> ''")
+    fenced = T.strip_fence(F.concat(F.lit("```markdown\n"), F.col("text"), F.lit("\n```")))
+    return docs.select("doc_id", F.sha2(fenced, 256).alias("inner_hash"), (fenced == T.strip(F.col("text"))).alias("same"))
+
+
+@query(r"""
+WITH f AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s#：:，,。．.、（）()\-—_]', '', 'g')) AS signature FROM documents)
+SELECT doc_id, signature, CAST(length(signature) AS INTEGER) AS n FROM f""")
+def q_signature(spark, sf):
+    first = T.signature(F.split("text", "\n")[0])
+    return table(spark, sf, "documents").select("doc_id", first.alias("signature"), F.length(first).alias("n"))
+
+
+@query("""SELECT event_id, event_type = 'error' AS busy, CASE WHEN user_id % 2 = 0 THEN '' ELSE 'read' END AS prompt FROM events""")
+def q_busy_message(spark, sf):
+    message = F.when(F.col("event_type") == "error", F.concat(F.lit("  Too Many Requests "), F.col("props"))).otherwise(F.col("props"))
+    protocol = F.when(F.col("user_id") % 2 == 0, "official_multipart").otherwise("chat_completions")
+    return table(spark, sf, "events").select("event_id", T.is_busy(message).alias("busy"), T.prompt_for(protocol, F.lit("read")).alias("prompt"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 5 < 2 THEN props ELSE 'none' END AS content,
+  CASE event_id % 5 WHEN 2 THEN 'permanent' WHEN 3 THEN 'temporary' WHEN 4 THEN 'empty' ELSE 'none' END AS error FROM events""")
+def q_response_parse(spark, sf):
+    inner = lambda c: F.to_json(F.struct(F.array(F.struct(F.struct(c.alias("content")).alias("message"))).alias("choices")))
+    reply = lambda c: F.to_json(F.struct(F.lit(True).alias("success"), F.struct(inner(c).alias("result")).alias("result")))
+    kind = F.col("event_id") % 5
+    fenced = F.concat(F.lit("```md\n"), F.col("props"), F.lit("\n```"))
+    payload = (
+        F.when(kind == 0, reply(F.col("props"))).when(kind == 1, reply(fenced)).when(kind == 2, F.lit('{"success": false, "message": "无权限"}'))
+        .when(kind == 3, F.lit('{"success": false, "message": "请求过载"}')).otherwise(reply(F.lit("  ")))
+    )
+    told = T.response_content(payload)
+    return table(spark, sf, "events").select("event_id", F.coalesce(told["content"], F.lit("none")).alias("content"), F.coalesce(told["error"], F.lit("none")).alias("error"))
+
+
+@query(r"""
+WITH h AS (SELECT doc_id, regexp_extract(html, '<body[^>]*>', 0) AS x, page_id FROM pages, (SELECT 1 AS doc_id))
+SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) > 0 AS shows, false AS truncated_empty FROM pages""")
+def q_html_strip(spark, sf):
+    return table(spark, sf, "pages").select("page_id", (F.length(T.visible_html(F.col("html"))) > 0).alias("shows"), T.is_truncated_empty(F.col("html")).alias("truncated_empty"))
+
+
+@query("""SELECT doc_id, sha256(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')) AS escaped_hash FROM documents""")
+def q_html_escape(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.sha2(T.html_escape(F.col("text")), 256).alias("escaped_hash"))
+
+
+@query(r"SELECT doc_id, substr(regexp_replace(text, '\s+', ' ', 'g'), 1, 240) AS preview FROM documents")
+def q_preview(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.preview(F.col("text")).alias("preview"))
+
+
+@query()
+def q_heading_ratio(spark, sf):
+    """How alike the first lines of neighbouring documents of a source are."""
+    from pyspark.sql import Window
+
+    first = table(spark, sf, "documents").select("doc_id", "source", F.split("text", "\n")[0].alias("line"))
+    before = first.withColumn("before", F.lag("line").over(Window.partitionBy("source").orderBy("doc_id"))).where("before IS NOT NULL")
+    return before.select("doc_id", F.round(T.heading_ratio(F.col("line"), F.col("before")), 6).alias("ratio"))
+
+
+# --- merging ---
+
+
+@query("""
+WITH s AS (SELECT doc_id, rtrim(substr(text, 1, 1500), ' ' || chr(10)) AS l, ltrim(substr(text, 1301), ' ' || chr(10)) AS r FROM documents WHERE n_chars > 2000),
+n AS (SELECT doc_id, l, r, coalesce(list_max(list_filter(generate_series(20, least(1600, length(l), length(r))), lambda k: right(l, CAST(k AS BIGINT)) = left(r, CAST(k AS BIGINT)))), 0) AS k FROM s)
+SELECT doc_id, sha256(l || substr(r, k + 1)) AS merged_hash FROM n WHERE k > 0""")
+def q_overlap_merge(spark, sf):
+    docs = table(spark, sf, "documents").where("n_chars > 2000").select("doc_id", F.substring("text", 1, 1500).alias("l"), F.expr("substring(text, 1301)").alias("r"))
+    joined = docs.withColumn("m", merge.seam("l", "r")).where(F.length("m") < F.length(F.rtrim("l")) + F.length(F.ltrim("r")))
+    return joined.select("doc_id", F.sha2("m", 256).alias("merged_hash"))
+
+
+@query("""SELECT conv_id, sha256(string_agg(trim(text), chr(10) || chr(10) ORDER BY turn) FILTER (WHERE trim(text) <> '')) AS merged_hash, count(*) AS turns FROM conversations GROUP BY conv_id""")
+def q_conv_merge(spark, sf):
+    turns = table(spark, sf, "conversations")
+    text = merge.joined(turns, "conv_id", "turn", "text")
+    return text.join(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")), "conv_id").select("conv_id", F.sha2("markdown", 256).alias("merged_hash"), "turns")
+
+
+@query("""
+WITH RECURSIVE o AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+p AS (SELECT source, doc_id, i, n_chars AS used, 1 AS pack FROM o WHERE i = 1
+  UNION ALL SELECT o.source, o.doc_id, o.i, CASE WHEN used + n_chars > 7800 THEN n_chars ELSE used + n_chars END, CASE WHEN used + n_chars > 7800 THEN pack + 1 ELSE pack END FROM p JOIN o ON o.source = p.source AND o.i = p.i + 1)
+SELECT source, doc_id, pack FROM p""")
+def q_pack_sections(spark, sf):
+    return headings.pack_sections(table(spark, sf, "documents"), "source", "doc_id", "n_chars", 7800)
+
+
+@query(r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM l)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE line = before) AS repeated FROM p GROUP BY doc_id""")
+def q_line_dedup_seam(spark, sf):
+    """Lines that only repeat the line before them, as at the seams of parts."""
+    lines = F.split("text", "\n")
+    again = F.size(F.filter(F.zip_with(F.slice(lines, F.lit(1), F.size(lines) - 1), F.slice(lines, F.lit(2), F.size(lines)), lambda a, b: a == b), lambda x: x))
+    return table(spark, sf, "documents").select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.when(F.size(lines) > 1, again).otherwise(0).cast("long").alias("repeated"))
+
+
+@query("""
+WITH b AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, event_type AS text FROM events WHERE user_id < 40)
+SELECT user_id, CAST(i // 3 AS INTEGER) AS line, string_agg(text, ' ' ORDER BY i) AS text FROM b GROUP BY user_id, i // 3""")
+def q_visual_lines(spark, sf):
+    """Three boxes to a line with jitter in height, given in any order, come back as lines."""
+    from pyspark.sql import Window
+
+    i = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    b = table(spark, sf, "events").where("user_id < 40").select("user_id", i.alias("i"), F.col("event_type").alias("text"))
+    y = (F.floor(F.col("i") / 3) * 40 + (F.col("i") % 2) * 5).cast("double")
+    boxes = b.select("user_id", "text", ((F.col("i") % 3) * 100).cast("double").alias("x1"), y.alias("y1"), ((F.col("i") % 3) * 100 + 90).cast("double").alias("x2"), (y + 20).alias("y2"))
+    return merge.line_texts(merge.visual_lines(boxes, "user_id"), "user_id").select("user_id", "line", "text")
+
+
+# --- tables ---
+
+_GRID = """
+g AS (SELECT o_custkey % 50 AS k, r, c, count(*) FILTER (WHERE CAST(left(o_orderpriority, 1) AS INTEGER) - 1 = r AND strpos('FOP', o_orderstatus) - 1 = c) AS n
+  FROM orders, unnest(generate_series(0, 4)) AS a(r), unnest(generate_series(0, 2)) AS b(c) GROUP BY ALL)"""
+
+
+def _grid(spark, sf):
+    """(k, r, c, n): orders by priority and status for 50 groups of customers, zeros included."""
+    orders = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("k"), (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("r"), (F.instr(F.lit("FOP"), F.col("o_orderstatus")) - 1).alias("c"))
+    counted = orders.groupBy("k", "r", "c").agg(F.count(F.lit(1)).alias("n"))
+    places = orders.select("k").distinct().withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(4)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    return places.join(counted, ["k", "r", "c"], "left").na.fill(0, ["n"])
+
+
+@query(f"""
+WITH {_GRID} SELECT k, array_to_string(list(line ORDER BY r), '|') AS mask FROM (SELECT k, r, array_to_string(list(CASE WHEN n >= 21 THEN '1' ELSE '0' END ORDER BY c), '') AS line FROM g GROUP BY k, r) GROUP BY k""")
+def q_grid_mask(spark, sf):
+    """Pixels in the middle of the cells that hold many orders, back to a mask of the grid."""
+    edges = lambda n: F.sequence(F.lit(0), F.lit(100 * n), F.lit(100))
+    pixels = _grid(spark, sf).select("k", (F.col("c") * 100 + 50).alias("x"), (F.col("r") * 100 + 50).alias("y"), (F.col("n") >= 21).alias("ink"), edges(5).alias("rows"), edges(3).alias("columns"))
+    mask = tables.ink_mask(pixels, "k", "rows", "columns")
+    return mask.select("k", F.array_join(F.transform("mask", lambda r: F.array_join(F.transform(r, lambda x: x.cast("int").cast("string")), "")), "|").alias("mask"))
+
+
+@query(f"""
+WITH {_GRID}, v AS (SELECT k, r, n, row_number() OVER (PARTITION BY k, r ORDER BY c) AS i FROM g WHERE n >= 21), m AS (SELECT k, r, c, row_number() OVER (PARTITION BY k, r ORDER BY c) AS i FROM g WHERE n < 40 AND c <> 1)
+SELECT m.k, CAST(m.r AS INTEGER) AS r, CAST(m.c AS INTEGER) AS c, coalesce(CAST(n AS VARCHAR), '') AS text FROM m LEFT JOIN v ON m.k = v.k AND m.r = v.r AND m.i = v.i""")
+def q_soft_align(spark, sf):
+    grid = _grid(spark, sf)
+    values, mask = grid.where("n >= 21").select("k", "r", "c", F.col("n").cast("string").alias("text")), grid.select("k", "r", "c", ((F.col("n") < 40) & (F.col("c") != 1)).alias("ink"))
+    return tables.soft_places(values, mask, ["k", "r"]).select("k", "r", "c", F.coalesce("text", F.lit("")).alias("text"))
+
+
+@query(f"""
+WITH {_GRID}, l AS (SELECT k, r, '<tr>' || string_agg('<td>' || n || '</td>', '' ORDER BY c) || '</tr>' AS line FROM g GROUP BY k, r)
+SELECT k, '<table>' || string_agg(line, '' ORDER BY r) || '</table>' AS html FROM l GROUP BY k""")
+def q_render_html(spark, sf):
+    return tables.render_rows(_grid(spark, sf).select("k", "r", "c", F.col("n").cast("string").alias("text")), "k")
+
+
+@query(f"""WITH {_GRID} SELECT k, 5 AS n_rows, 3 AS n_columns, string_agg(n, ',' ORDER BY r, c) AS texts FROM g GROUP BY k""")
+def q_parse_html(spark, sf):
+    """Rendered tables parsed back to cells."""
+    told = tables.parsed(q_render_html(spark, sf), "k", "html")
+    return told.select("k", "n_rows", "n_columns", F.array_join(F.transform("cells", lambda c: c["text"]), ",").alias("texts"))
+
+
+@query(f"""
+WITH {_GRID}, f AS (SELECT k, min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM g WHERE n >= 22 GROUP BY k)
+SELECT g.k, CAST(r - r0 AS INTEGER) AS r, CAST(c - c0 AS INTEGER) AS c, CASE WHEN n >= 22 THEN CAST(n AS VARCHAR) ELSE '' END AS text FROM g JOIN f ON g.k = f.k WHERE r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1""")
+def q_trim_matrix(spark, sf):
+    return tables.trimmed(_grid(spark, sf).select("k", "r", "c", F.when(F.col("n") >= 22, F.col("n").cast("string")).otherwise("").alias("text")), "k")
+
+
+@query(f"""WITH {_GRID} SELECT k, CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, CAST(n AS VARCHAR) AS text FROM g""")
+def q_tile_merge(spark, sf):
+    """Two tiles of each grid, the second with the first column repeated as context, back in one."""
+    grid = _grid(spark, sf)
+    text = F.col("n").cast("string").alias("text")
+    fixed = lambda start, context: [F.lit(0).alias("row_start"), F.lit(start).alias("column_start"), F.lit(0).alias("context_rows"), F.lit(context).alias("context_columns")]
+    left = grid.where("c < 2").select("k", F.lit(0).alias("tile"), *fixed(0, 0), "r", "c", text)
+    stub = grid.where("c = 0").select("k", F.lit(1).alias("tile"), *fixed(2, 1), "r", F.lit(0).alias("c"), text)
+    right = grid.where("c = 2").select("k", F.lit(1).alias("tile"), *fixed(2, 1), "r", F.lit(1).alias("c"), text)
+    cells, _ = tables.merge_tiles(left.unionByName(stub).unionByName(right), "k")
+    return cells
+
+
+@query(f"""WITH {_GRID} SELECT k, CAST(15 AS BIGINT) AS covered_cells, CAST(0 AS BIGINT) AS conflicts FROM g GROUP BY k""")
+def q_tile_coverage(spark, sf):
+    grid = _grid(spark, sf).select("k", "r", "c", F.col("n").cast("string").alias("text"))
+    whole = grid.select("k", F.explode(F.array(F.lit(0), F.lit(1))).alias("tile"), F.lit(0).alias("row_start"), F.lit(0).alias("column_start"), F.lit(0).alias("context_rows"), F.lit(0).alias("context_columns"), "r", "c", "text")
+    return tables.merge_tiles(whole, "k")[1]
+
+
+@query("""
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS r, '| ' || l_partkey || ' | ' || l_suppkey || ' |' AS line FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem WHERE l_orderkey % 10 = 0)""")
+def q_md_vmerge(spark, sf):
+    """Each order's rows in two parts that share the row at the seam."""
+    from pyspark.sql import Window
+
+    rows = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").distinct()
+    i = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
+    line = F.concat(F.lit("| "), F.col("l_partkey").cast("string"), F.lit(" | "), F.col("l_suppkey").cast("string"), F.lit(" |"))
+    numbered = rows.select("l_orderkey", i.alias("i"), line.alias("line"))
+    first = numbered.where("i <= 2").select("l_orderkey", F.lit(0).alias("part"), F.col("i").alias("r"), "line")
+    second = numbered.where("i >= 2").select("l_orderkey", F.lit(1).alias("part"), F.col("i").alias("r"), "line")
+    return tables.merge_rows(first.unionByName(second), "l_orderkey").select("l_orderkey", "r", "line")
+
+
+@query(f"""WITH {_GRID} SELECT k, CAST(r AS INTEGER) AS r, string_agg(n, ',' ORDER BY c) AS cells FROM g GROUP BY k, r""")
+def q_md_hmerge(spark, sf):
+    """Two blocks of columns that share the one at the seam."""
+    grid = _grid(spark, sf)
+    block = lambda part, where: grid.where(where).groupBy("k", "r").agg(F.transform(F.array_sort(F.collect_list(F.struct("c", F.col("n").cast("string").alias("t")))), lambda x: x["t"]).alias("cells")).select("k", F.lit(part).alias("part"), "r", "cells")
+    return tables.merge_columns(block(0, "c <= 1").unionByName(block(1, "c >= 1")), "k").select("k", "r", F.array_join("cells", ",").alias("cells"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN quality = 1 THEN sha256(split_part(text, chr(10), 1) || chr(10) || chr(10) || '<table></table>') ELSE sha256('<table></table>') END AS titled_hash FROM documents LEFT JOIN labels USING (doc_id) WHERE trim(split_part(text, chr(10), 1)) <> ''""")
+def q_top_context(spark, sf):
+    """A title once above its table; titles that failed are left out."""
+    docs = table(spark, sf, "documents").select("doc_id", F.split("text", "\n")[0].alias("line")).where("trim(line) <> ''")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    titles = docs.join(labels, "doc_id").select("doc_id", F.when(F.col("quality") == 1, F.col("line")).alias("result"), F.when(F.col("quality") == 0, "failed").alias("error"))
+    return recognise.with_optional_title(docs, titles, "doc_id").select("doc_id", F.sha2(tables.with_title(F.col("title"), F.lit("<table></table>")), 256).alias("titled_hash"))
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def q_hourly_counts(spark, sf):
+    from lamina.streaming.ingest import windowed_counts
+
+    return windowed_counts(table(spark, sf, "events")).withColumn("start", F.col("start").cast("timestamp_ntz"))
