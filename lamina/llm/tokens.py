@@ -95,7 +95,7 @@ CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
 
 def token_counts(docs: DataFrame, vocabulary: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens, cached) for every row, through a cache of counts.
+    """(id, n_bytes, n_tokens) for every row, through a cache of counts.
 
     A text's key is the SHA-256 digest of its normalised content together with the digest of the tokenizer's file.
     Byte-level vocabularies tell all bytes apart, so normalising goes no further than null becoming empty; anything
@@ -125,8 +125,9 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str | None = None, id_
     made = texts.repartition("digest").mapInArrow(_count_misses(vocabulary), CACHE_SCHEMA)
     made.write.mode("append").parquet(cache)
 
-    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version).dropDuplicates(["digest"]).select("digest", "n_tokens")
-    return keys.join(counts, "digest").select("id", "n_bytes", "n_tokens")
+    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
+    # Written first: the join then stands on plain exchanges alone, of which a hot digest's can be split.
+    return keys.join(scratch.table(counts, "counts"), "digest").select("id", "n_bytes", "n_tokens")
 
 
 #: Digests remembered in a task at once; a digest met again after that only costs a repeated row.
