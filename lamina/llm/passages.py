@@ -29,7 +29,7 @@ from .common import Scratch
 #: Fixed odd multipliers of the rolling hash and its last mixing.
 BASE, STIR = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 #: Stretches that an automaton is compiled for at once.
-CHUNK = 4096
+CHUNK = 8192
 #: Anchors in fewer stretches aren't salted.
 FREQUENT = 1000
 RUNS = -1  # stands for a digest in rows that count an anchor's stretches
@@ -98,57 +98,60 @@ def _phrase(n: int) -> int:
     return max(1, min(10, n // 3))
 
 
-class _Locator:
-    """Collects confirmed windows and stretches of consecutive anchors; a full chunk goes through one automaton."""
-
-    def __init__(self, n: int, k: int):
-        self.n, self.k = n, k
-        self.windows: dict[int, set[int]] = {}
-        self.phrases: dict[str, int] = {}
-        self.stretches: list[tuple] = []
-        self.now: int | None = None
-
-    def confirm(self, anchor: int, digest: int) -> None:
-        if anchor != self.now:
-            self.now = anchor
-        self.windows.setdefault(anchor, set()).add(digest)
-
-    def add(self, anchor: int, key, text_hash: int, start: int, at: int, text: str) -> None:
-        if anchor not in self.windows:
-            return
-        words = text.split(" ")
-        self.phrases.setdefault(f" {' '.join(words[at : at + self.k])} ", anchor)
-        self.stretches.append((key, text_hash, start, text, words))
-
-    def flush(self) -> list[tuple]:
-        import ahocorasick
-
-        found: list[tuple] = []
-        if self.stretches:
-            automaton = ahocorasick.Automaton()
-            for phrase, anchor in self.phrases.items():
-                automaton.add_word(phrase, (anchor, len(phrase)))
-            automaton.make_automaton()
-            for key, text_hash, start, text, words in self.stretches:
-                digests = rolling(word_hashes([x.encode("utf-8") for x in words]), self.n).view(np.int64).tolist()
-                covered = []
-                for end, (anchor, length) in automaton.iter(f" {text} "):
-                    at = text.count(" ", 0, max(0, end - length + 1))  # words before the phrase
-                    known = self.windows[anchor]
-                    covered += [i for i in range(max(0, at + self.k - self.n), min(at, len(digests) - 1) + 1) if digests[i] in known]
-                since = upto = -1
-                for i in sorted(set(covered)):
-                    if i > upto:
-                        if upto > since:
-                            found.append((key, text_hash, start + since, start + upto))
-                        since = i
-                    upto = i + self.n
-                if upto > since:
-                    found.append((key, text_hash, start + since, start + upto))
-        last = self.windows.get(self.now)
-        self.windows = {} if last is None else {self.now: last}
-        self.phrases, self.stretches = {}, []
-        return found
+def _pair(anchor: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """One 64-bit key of an anchor and a window's digest."""
+    with np.errstate(over="ignore"):
+        return (anchor.view(np.uint64) * np.uint64(BASE)) ^ (digest.view(np.uint64) * STIR)
+
+
+def locate(anchors_: np.ndarray, confirmed: tuple[np.ndarray, np.ndarray], at: np.ndarray, texts: list[str], n: int, k: int):
+    """(stretch, since, upto): words covered by confirmed windows in stretches of text, by their number.
+
+    Equal stretches are searched once.  One automaton holds the phrases of all anchors; the texts, joined, run through
+    it, and the windows around each hit are looked up among the confirmed ones of the hit's anchor.
+    """
+    import ahocorasick
+
+    number: dict[str, int] = {}
+    own = np.fromiter((number.setdefault(t, len(number)) for t in texts), np.int64, len(texts))
+    distinct = list(number)
+    words = " ".join(distinct).split(" ")
+    sizes = np.fromiter((t.count(" ") + 1 for t in distinct), np.int64, len(distinct))
+    after = np.cumsum(sizes)
+    first = after - sizes
+    of = np.repeat(np.arange(len(distinct)), sizes)
+    automaton = ahocorasick.Automaton()
+    anchor_list, where = np.unique(anchors_, return_index=True)
+    for a, i in zip(anchor_list.tolist(), where.tolist(), strict=True):
+        p = first[own[i]] + at[i]
+        phrase = f" {' '.join(words[p : p + k])} "
+        automaton.add_word(phrase, (a, len(phrase)))
+    automaton.make_automaton()
+    # Each word is preceded by a space; a text ends with a space and a line break.
+    starts = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - np.fromiter(map(len, words), np.int64, len(words)) + 2 * of
+    hits = [(end - length + 2, a) for end, (a, length) in automaton.iter("\n".join(f" {t} " for t in distinct))]
+    if not hits:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    position, hit = np.array([h[0] for h in hits], np.int64), np.array([h[1] for h in hits], np.int64)
+    p = np.searchsorted(starts, position)
+    low = np.maximum(p + k - n, first[of[p]])
+    count = np.maximum(0, np.minimum(p, after[of[p]] - n) - low + 1)
+    window = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    digests = rolling(word_hashes([w.encode("utf-8") for w in words]), n).view(np.int64)
+    known = np.isin(_pair(np.repeat(hit, count), digests[window]), _pair(*confirmed))
+    window = np.unique(window[known])
+    new = np.ones(len(window), bool)
+    new[1:] = (window[1:] > window[:-1] + n) | (of[window[1:]] != of[window[:-1]])
+    since = window[new]
+    upto = window[np.append(np.flatnonzero(new)[1:], len(window)) - 1] + n if len(window) else since
+    text = of[since]
+    # Back to every stretch of that text.
+    spans = np.bincount(text, minlength=len(distinct))
+    begin = np.cumsum(spans) - spans
+    copies = spans[own]
+    index = np.repeat(begin[own] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
+    return np.repeat(np.arange(len(own)), copies), since[index] - first[text[index]], upto[index] - first[text[index]]
 
 
 def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id", text_col: str = "text", into: str = "passages", frequent: int = FREQUENT) -> DataFrame:
@@ -204,34 +207,49 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     def stretches(batches):
         table = salts.value
         for batch in batches:
-            rows: list[tuple] = []
-            for key, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            rows, numbers, texts = [], [np.zeros((4, 0), np.int64)], []
+            for row, (text_hash, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 words, _, a, at, first, after = suspected(text.as_py())
-                for anchor, p, i, j in zip(a.view(np.int64).tolist(), at.tolist(), first.tolist(), after.tolist(), strict=True):
-                    salt = (text_hash + i) % table[anchor] if anchor in table else 0
-                    rows.append((anchor, salt, 1, 0, key, text_hash, i, p - i, b" ".join(words[i : j + n - 1]).decode("utf-8")))
-            yield _batch(rows)
+                if len(a):
+                    a = a.view(np.int64)
+                    salt = [(text_hash + i) % table[x] if x in table else 0 for x, i in zip(a.tolist(), first.tolist(), strict=True)] if table else np.zeros(len(a), np.int64)
+                    numbers.append(np.stack([a, np.asarray(salt, np.int64), first, at - first]))
+                    rows.append(np.full(len(a), row))
+                    texts += [b" ".join(words[i:j]) for i, j in zip(first.tolist(), (after + n - 1).tolist(), strict=True)]
+            anchor, salt, start, at = np.concatenate(numbers, 1)
+            rows = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
+            yield _batch(anchor, salt, 1, np.zeros(len(anchor), np.int64), batch.column(0).take(rows), batch.column(1).take(rows), start, at, pa.array(texts, pa.binary()).cast(pa.string()))
 
     def copies(batches):
         table = salts.value
         for batch in batches:
-            yield _batch([(a, s, 0, d, None, 0, 0, 0, None) for a, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for s in range(table.get(a, 1))])
-
-    def locate(batches):
-        here = _Locator(n, k)
+            anchor, digest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            times = np.fromiter((table.get(a, 1) for a in anchor.tolist()), np.int64, len(anchor)) if table else np.ones(len(anchor), np.int64)
+            salt = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            none = np.zeros(len(salt), np.int64)
+            yield _batch(np.repeat(anchor, times), salt, 0, np.repeat(digest, times), pa.nulls(len(salt), pa.int64()), pa.array(none), none, none, pa.nulls(len(salt), pa.string()))
+
+    def find(batches):
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for anchor, kind, digest, key, text_hash, start, at, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6, 7, 8)), strict=True):
-                if kind == 0:
-                    here.confirm(anchor, digest)
-                else:
-                    here.add(anchor, key, text_hash, start, at, text)
-                if len(here.stretches) >= CHUNK:
-                    yield _spans(here.flush())
-        yield _spans(here.flush())
+            if not batch.num_rows:
+                continue
+            anchor, kind, digest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            confirmed = tuple(np.concatenate([h, x[kind == 0]]) for h, x in zip(held, (anchor, digest), strict=True))
+            rows = np.flatnonzero((kind == 1) & np.isin(anchor, confirmed[0]))
+            for lo in range(0, len(rows), CHUNK):
+                some = pa.array(rows[lo : lo + CHUNK])
+                key, text_hash, start, at, text = (batch.column(i).take(some) for i in (4, 5, 6, 7, 8))
+                stretch, since, upto = locate(anchor[rows[lo : lo + CHUNK]], confirmed, at.to_numpy(), text.to_pylist(), n, k)
+                base = start.to_numpy()[stretch]
+                which = pa.array(stretch)
+                yield pa.RecordBatch.from_arrays([key.take(which), text_hash.take(which), pa.array(base + since), pa.array(base + upto)], ["id", "text_hash", "since", "upto"])
+            # The last anchor may go on in the next batch.
+            held = tuple(x[confirmed[0] == anchor[-1]] for x in confirmed)
 
     schema = "anchor long, salt long, kind int, digest long, id long, text_hash long, start long, at long, text string"
     dealt = confirmed.where(F.col("digest") != RUNS).select("anchor", "digest").mapInArrow(copies, schema).unionByName(keyed.mapInArrow(stretches, schema))
-    spans = dealt.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "kind").mapInArrow(locate, "id long, text_hash long, since long, upto long")
+    spans = dealt.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "kind").mapInArrow(find, "id long, text_hash long, since long, upto long")
     own = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("since", "upto")).alias("spans"))  # within one text
 
     @F.pandas_udf("text string, n_words long, n_removed long")
@@ -253,12 +271,6 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     return joined.select("kept.*", cut("text", F.col("spans.since"), F.col("spans.upto")).alias(into))
 
 
-def _batch(rows: list[tuple]):
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-    columns = list(zip(*rows, strict=True)) or [[]] * 9
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["anchor", "salt", "kind", "digest", "id", "text_hash", "start", "at", "text"])
-
-
-def _spans(rows: list[tuple]):
-    columns = list(zip(*rows, strict=True)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "text_hash", "since", "upto"])
+def _batch(anchor, salt, kind: int, digest, key, text_hash, start, at, text):
+    columns = [pa.array(anchor), pa.array(salt), pa.array(np.full(len(anchor), kind, np.int32)), pa.array(digest), key, text_hash, pa.array(start), pa.array(at), text]
+    return pa.RecordBatch.from_arrays(columns, ["anchor", "salt", "kind", "digest", "id", "text_hash", "start", "at", "text"])
