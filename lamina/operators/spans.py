@@ -16,7 +16,7 @@ def detection_windows(pages: DataFrame, key: str, height: str, window: int = 204
     last = F.greatest(h - window, F.lit(0))
     regular = F.filter(F.sequence(F.lit(0).cast("long"), last, F.lit(stride).cast("long")), lambda s: s < last)
     starts = F.concat(regular, F.array(last))
-    rows = pages.select(key, h.alias("h"), F.posexplode(starts).alias("window_index", "start_y"), starts.alias("starts"))
+    rows = pages.select(key, h.alias("h"), starts.alias("starts")).select("*", F.posexplode("starts").alias("window_index", "start_y"))
     return _owned(rows, key, F.lit(window), "window_index", "start_y", "end_y", "ownership_start_y", "ownership_end_y", halves_up=False)
 
 
@@ -138,7 +138,7 @@ def fixed_slices(images: DataFrame, key: str, height: str, chunk: int = 2048, ov
     step, h = chunk - overlap, F.col(height).cast("long")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), h - overlap - 1), F.lit(step).cast("long"))
     keep = F.filter(starts, lambda s: (s == 0) | (h - s >= tail))
-    rows = images.where(h > 0).select(key, h.alias("h"), keep.alias("starts"), F.posexplode(keep).alias("index", "start_y"))
+    rows = images.where(h > 0).select(key, h.alias("h"), keep.alias("starts")).select("*", F.posexplode("starts").alias("index", "start_y"))
     return rows.select(key, "index", "start_y", F.when(F.col("index") == F.size("starts") - 1, F.col("h")).otherwise(F.least(F.col("start_y") + chunk, F.col("h"))).alias("end_y"))
 
 

@@ -113,7 +113,7 @@ def align(rows: list[list[str]], mask: list[list[bool]]) -> tuple[list[list[str]
     while len(rows) > height and any(r == rows[0] for r in rows[1:]):
         rows.pop(1 + next(i for i, r in enumerate(rows[1:]) if r == rows[0]))
         told.append("repeated header removed")
-    if len(rows) == height + 1 and height and len(rows) > 2 and sum(bool(x.strip()) for x in rows[0]) <= sum(bool(x.strip()) for x in rows[1]):
+    if len(rows) == height + 1 and len(rows) > 2 and not all(x.strip() for x in rows[0] + rows[1]) or len(rows) == height + 1 > 2 and len(rows[0]) < len(rows[1]):
         a, b = rows[0], rows[1]
         n = max(len(a), len(b))
         pick = lambda r, i: r[i].strip() if i < len(r) else ""
