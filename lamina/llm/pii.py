@@ -34,16 +34,18 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _given = "|".join(n for names in GIVEN.values() for n in names)
 #: Entity types in the order in which they are tried.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
-    "name": rf"(?<![\p{{L}}])(?:(?:{'|'.join(TITLES)})\.? {SURNAME}|(?:{_given}) {SURNAME})(?![\p{{L}}])",
+    "name": rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? {SURNAME}|(?:{_given}) {SURNAME})(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What every entity holds: a digit, an at sign, the start of a key, or a title or given name.  Most texts don't.
+GATE = rf"[0-9@]|AKIA|gh[pousr]_|sk-|(?=\p{{Lu}})(?<!\p{{L}})(?:{'|'.join(TITLES)}|{_given})(?!\p{{L}})"
 #: Entities that share a surrogate are kept in a literal map; more than this many is an error of the key.
 MOST_MOVED = 10_000
 
@@ -154,9 +156,14 @@ def _attempt(m: Column, moved: dict[str, int]) -> Column:
     return F.coalesce(F.element_at(table, normal(m, kind(m))), F.lit(0))
 
 
+def mentions(text: Column) -> Column:
+    """All entities of a text in order; the long pattern runs only over texts that pass the gate."""
+    return F.when(text.rlike(GATE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct (entity) mentions of all texts."""
-    return docs.where(F.col(text_col).rlike(ANY)).select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))).alias("entity")).distinct()
+    return docs.select(F.explode(mentions(F.col(text_col))).alias("entity")).distinct()
 
 
 def moved_entities(found: DataFrame, key: str, scratch: Scratch, tries: int = 8) -> dict[str, int]:
@@ -193,9 +200,8 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", into: st
     found = scratch.table(entities(docs, text_col), "entities")
     moved = moved_entities(found, key, scratch)
     text = F.col(text_col)
-    has = text.rlike(ANY)
-    mentions = F.when(has, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    split = docs.withColumn("__mentions", mentions).withColumn("__between", F.when(has, F.split(text, ANY, -1)))
+    has = F.size("__mentions") > 0
+    split = docs.withColumn("__mentions", mentions(text)).withColumn("__between", F.when(has, F.split(text, ANY, -1)))
     written = F.transform("__mentions", lambda m: surrogate(m, key, _attempt(m, moved)))
     counts = F.struct(*[_number_of("__kinds", n).alias(n) for n in PATTERNS])
     joined = F.array_join(F.zip_with("__between", F.concat("__written", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
