@@ -229,3 +229,44 @@ def test_result_gate(spark):
     rows = ["<table><tr><td>1</td></tr></table>", "<table><tr>", "<table></table><table></table>", "x" * 20 + "abc def ghi jkl mno pq " * 30]
     frame = spark.createDataFrame([(r,) for r in rows], "m string")
     assert [r.v for r in frame.select(recognise.is_valid_result(F.col("m")).alias("v")).collect()] == [True, False, False, False]
+
+
+def test_contents_region(spark):
+    rows = [("p", 0, True, True, 1.5)] + [("p", 10 * i, False, False, 1.0) for i in range(1, 11)] + [("p", 200, False, True, 2.2)]
+    frame = spark.createDataFrame(rows, "page string, y1 int, is_anchor boolean, centred boolean, ratio double")
+    found = headings.contents_region(frame, "page").collect()
+    assert [(r.start_y, r.end_y) for r in found] == [(0, 200)]
+
+
+def test_semantic_packs(spark):
+    rows = [("p", 1, "a", 1000, 100), ("p", 2, "a", 2000, 100), ("p", 3, "b", 3000, 100), ("p", 4, "b", 3000, 100), ("p", 5, "c", 5000, 100)]
+    found = headings.semantic_packs(spark.createDataFrame(rows, "page string, ord long, h2_id string, height int, context int"), "page")
+    got = {r.ord: (r.pack, r.body_scale) for r in found.collect()}
+    assert got[1][0] == got[2][0] and len({got[i][0] for i in (2, 3, 4, 5)}) == 4 and got[5][1] < 1
+
+
+def test_headings_gate(spark):
+    rows = [(0.7, True, 1.1, 0.1), (0.5, True, 1.1, 0.1), (None, False, 1.4, 0.7), (0.9, True, 3.0, 0.9)]
+    frame = spark.createDataFrame(rows, "confidence double, matched boolean, ratio double, whitespace double")
+    assert [r.h for r in frame.select(headings.is_heading(frame).alias("h")).collect()] == [True, False, True, False]
+
+
+def test_title_rows_merge(spark):
+    rows = [("p", "a", 10, 0, 90, 20, True), ("p", "b", 15, 24, 85, 44, True), ("p", "c", 0, 200, 50, 220, True), ("p", "d", 0, 222, 50, 240, False)]
+    found = headings.merge_title_rows(spark.createDataFrame(rows, "page string, id string, x1 int, y1 int, x2 int, y2 int, centred boolean"), "page", 10)
+    assert sorted(r.member_ids for r in found.collect()) == [["a", "b"], ["c"], ["d"]]
+
+
+def test_lines_in_a_heading_box_are_one_heading(spark):
+    from lamina.operators import merge
+
+    lines = spark.createDataFrame([(1, 0, 10.0, "保险责任"), (1, 1, 30.0, "说明"), (1, 2, 80.0, "正文")], "image int, line int, y double, text string")
+    boxes = spark.createDataFrame([(1, 0, 45, 2)], "image int, y1 int, y2 int, level int")
+    assert merge.headed_lines(lines, boxes, "image").first().markdown == "## 保险责任说明\n正文"
+
+
+def test_axis_falls_back_to_white_bands(spark):
+    black = spark.createDataFrame([(1, 0), (1, 50), (1, 100), (2, 0), (2, 100)], "k int, p int")
+    white = spark.createDataFrame([(1, 0), (1, 100), (2, 0), (2, 30), (2, 100)], "k int, p int")
+    got = {(r.k, r.source): 0 for r in bands.grid_axis(black, white, ["k"]).collect()}
+    assert set(got) == {(1, "black_line"), (2, "white_band")}
