@@ -82,9 +82,12 @@ def is_blank(ink: Column, dark: Column, pixels: Column, least: Column, most: Col
     return ((ink <= F.greatest(F.lit(2), F.floor(pixels * F.lit(1e-5)))) & (dark <= 0)) | (most - least <= 2)
 
 
-def branch(path: Column, height_: Column, model: str) -> Column:
-    """Which way an image goes: by its folder, and for one model by its height."""
-    folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    if model == "firered":
-        return F.when(F.array_contains(F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - 1), "tiles"), "table").otherwise("text")
-    return F.when(folder == "tiles", "table").when(height_ <= 2048, "layout").otherwise("ocr")
+def branch(path: Column, height_: Column, anywhere: bool = False) -> Column:
+    """Which way an image goes: a table if its folder is ``tiles`` (or any folder above it, if ``anywhere``).
+
+    Where only the folder counts, other images go to layout analysis up to a height of 2048 and to plain text beyond.
+    """
+    folders = F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - 1)
+    if anywhere:
+        return F.when(F.array_contains(folders, "tiles"), "table").otherwise("text")
+    return F.when(F.element_at(folders, -1) == "tiles", "table").when(height_ <= 2048, "layout").otherwise("ocr")
