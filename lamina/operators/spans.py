@@ -17,14 +17,14 @@ def detection_windows(pages: DataFrame, key: str, height: str, window: int = 204
     regular = F.filter(F.sequence(F.lit(0).cast("long"), last, F.lit(stride).cast("long")), lambda s: s < last)
     starts = F.concat(regular, F.array(last))
     rows = pages.select(key, h.alias("h"), starts.alias("starts")).select("*", F.posexplode("starts").alias("window_index", "start_y"))
-    return _owned(rows, key, F.lit(window), "window_index", "start_y", "end_y", "ownership_start_y", "ownership_end_y", halves_up=False)
+    return _owned(rows, key, F.lit(window), "window_index", "start_y", "end_y", "ownership_start_y", "ownership_end_y")
 
 
-def _owned(rows: DataFrame, key: str, size: Column, index: str, start: str, end: str, own_start: str, own_end: str, halves_up: bool) -> DataFrame:
+def _owned(rows: DataFrame, key: str, size: Column, index: str, start: str, end: str, own_start: str, own_end: str, to_even: bool = False) -> DataFrame:
     """Ends and ownership from the row's own array of starts: no window over pages is needed."""
     i, n = F.col(index), F.size("starts")
     stop = lambda at: F.least(at + size, F.col("h"))
-    middle = (lambda a, b: F.bround((a + b) / 2).cast("long")) if halves_up is None else (lambda a, b: F.floor((a + b) / 2))
+    middle = (lambda a, b: F.bround((a + b) / 2).cast("long")) if to_even else (lambda a, b: F.floor((a + b) / 2))
     before, after = F.element_at("starts", F.greatest(i, F.lit(1))), F.element_at("starts", F.least(i + 2, n))
     return rows.select(
         key,
@@ -51,7 +51,7 @@ def axis_spans(items: DataFrame, key: str, length: str, most: int, overlap: int,
     """(key, index, start, end, own_start, own_end) along one axis; halves of an overlap are rounded to even."""
     starts, size = axis_starts(F.col(length), most, overlap)
     rows = items.select(key, F.col(length).cast("long").alias("h"), starts.alias("starts"), size.alias("size")).select("*", F.posexplode("starts").alias("index", "start"))
-    out = _owned(rows, key, F.col("size"), "index", "start", "end", "own_start", "own_end", halves_up=None)
+    out = _owned(rows, key, F.col("size"), "index", "start", "end", "own_start", "own_end", to_even=True)
     return out.select(key, *[F.col(c).alias(prefix + c) for c in ("index", "start", "end", "own_start", "own_end")])
 
 

@@ -127,3 +127,10 @@ def test_overlaps_join_once():
 def test_parts_keep_the_first_header():
     assert M.merge_parts([("# 目录\n第一部分", 0), ("# 目录\n\n第二部分", 0)]) == "# 目录\n第一部分\n\n第二部分"
     assert M.merge_parts([]) == ""
+
+
+def test_pack_repair():
+    assert H.repair_pack("# 8 释义\n正文", [("a", 2)]) == "## 8 释义\n正文"
+    assert H.repair_pack("# 一、概述\n正文", [("a", 3)]) == "### 一、概述\n正文"
+    assert H.repair_pack("保险条款\n正文。", [("a", 1)]) == "# 保险条款\n正文。"
+    assert H.repair_pack("目录\n1 总则", [("a", 1)], "table_of_contents") == "# 目录\n1 总则"
