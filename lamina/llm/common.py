@@ -35,9 +35,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/lamina-{name}-{uuid.uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -190,7 +190,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "search")
-    index = scratch.table(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_index, INDEX), "index")
+    index = scratch.table(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_index, INDEX), "index", maxRecordsPerFile=4)  # a shard is large
     n_docs, total = docs.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)))).first()
     mean_length = (total or 0) / max(1, n_docs)
 
