@@ -1,9 +1,11 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+os.environ["PYTHONPATH"] = os.pathsep.join([*sys.path[:2], os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
