@@ -50,19 +50,22 @@ def _blocks(once: np.ndarray, twice: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], ["block", "once", "twice"])
 
 
-def repeats(rows: DataFrame, hashes, bits: int) -> np.ndarray:
+def repeats(rows: DataFrame, hashes, bits: int, at_once: int | None = None) -> np.ndarray:
     """The bitmap of hashes met twice or more.
 
-    ``hashes`` gives, for an Arrow batch, a uint64 array in which each occurrence that counts is one entry.
+    ``hashes`` gives, for an Arrow batch, a uint64 array in which each occurrence that counts is one entry; they are
+    taken ``at_once`` at a time where it is given, in less memory.
     """
 
     def fill(batches):
         once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
         for batch in batches:
-            h, n = np.unique(hashes(batch), return_counts=True)
-            again = (n > 1) | contains(once, h, bits)
-            _insert(twice, h[again], bits)
-            _insert(once, h[~again | (n > 1)], bits)
+            met = hashes(batch)
+            for i in range(0, len(met), at_once or max(1, len(met))):
+                h, n = np.unique(met[i : i + at_once] if at_once else met, return_counts=True)
+                again = (n > 1) | contains(once, h, bits)
+                _insert(twice, h[again], bits)
+                _insert(once, h[~again | (n > 1)], bits)
         yield from _blocks(once, twice)
 
     def merge(batches):

@@ -31,19 +31,25 @@ SHARD = 6_000
 PAIRS = 1 << 21
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """The unsigned 64-bit fingerprint of a whole text; zero if it has no word."""
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """The hash of each of a whole text's shingles, in order; none if it has no word."""
     import xxhash
 
     words = text.encode("utf-8").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.dtype("<u8"))
     joined, hashed = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - [len(w) + 1 for w in words]).tolist()
     n = max(1, len(words) - shingle + 1)
     stops = (ends - 1).tolist()[min(shingle, len(words)) - 1 :]
-    hashes = np.fromiter((hashed(joined[a:b], seed) for a, b in zip(starts, stops, strict=False)), np.dtype("<u8"), n)
+    return np.fromiter((hashed(joined[a:b], seed) for a, b in zip(starts, stops, strict=False)), np.dtype("<u8"), n)
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """The unsigned 64-bit fingerprint of a whole text; zero if it has no word."""
+    hashes = shingle_hashes(text, shingle, seed)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 15):
         part = hashes[i : i + (1 << 15)]
@@ -222,12 +228,12 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed:
     return rows.join(by_fp, "fp").select("id", "text_hash", "fp", F.col("label").alias("class_fp"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates, **options) -> DataFrame:
     """One row of each component, with its columns: the smallest id's, null ids last, by text where ids repeat.
 
-    Of rows that repeat in id and text one stays.
+    ``find`` tells the components, by fingerprints or otherwise.  Of rows that repeat in id and text one stays.
     """
-    classed = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    classed = find(docs, id_col=id_col, text_col=text_col, **options)
     scratch = Scratch(docs.sparkSession, "one-of-each")
     classed = scratch.table(classed, "classed")
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("text_hash"))

@@ -1,12 +1,16 @@
 """The pipeline's stages against what each is to do with its own input."""
 
+import random
+import zlib
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline
-from lamina.llm import packing, quality, tokens
+from lamina.llm import jaccard, packing, quality, tokens
 from lamina.llm.common import Scratch
 from lamina.llm.queries import vocabulary
-from test_operators import brute_classes, brute_fingerprint, brute_lines, check_mix
+from test_operators import brute_classes, brute_fingerprint, brute_lines, check_mix, words
 
 
 def test_stages(spark, sf):
@@ -41,3 +45,49 @@ def test_stages(spark, sf):
 def test_empty_documents(spark, tmp_path, sf):
     spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def brute_similar(texts, similarity=0.8):
+    sets = []
+    for t in texts:
+        w = words((t or "").lower())
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return root
+
+
+def near_copies():
+    """Copies with more and more words changed, chains of them, exact copies, passages in common, empty texts."""
+    rng, texts = random.Random(8), [None, "", "one two", "One  two"]
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    passage = [word() for _ in range(30)]
+    for k in range(30):
+        base = [word() for _ in range(rng.randint(20, 160))] + passage * (k % 3 == 0)
+        texts += [" ".join(base)] * (1 + k % 2)
+        for n in (1, 2, 3, 5, 8):
+            base = list(base) if n % 2 else base  # some follow from the copy before
+            for _ in range(n):
+                base[rng.randrange(len(base))] = word()
+            texts.append(" ".join(base))
+    return texts
+
+
+def test_near_dedup_equals_brute_jaccard(spark):
+    texts = near_copies()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    root = brute_similar(texts)
+    found = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in found.collect()) == sorted(set(root))
+    assert len(set(root)) < len(set(brute_classes([brute_fingerprint(t) for t in texts])))
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
+def test_exact_links():
+    sets = [np.unique(np.fromiter((zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(0, len(w) - 4))), np.uint64)) for w in (words(t) for t in near_copies()[4:])]
+    wanted = [min(j for j, r in enumerate(brute) if r == x) for brute in [brute_similar(near_copies()[4:])] for x in brute]
+    assert jaccard.exact_links(sets, 0.8).tolist() == wanted and jaccard.exact_links([], 0.8).tolist() == []
