@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lamina.llm import jaccard, packing, quality, tokens
@@ -91,3 +92,18 @@ def test_exact_links():
     sets = [np.unique(np.fromiter((zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(0, len(w) - 4))), np.uint64)) for w in (words(t) for t in near_copies()[4:])]
     wanted = [min(j for j, r in enumerate(brute) if r == x) for brute in [brute_similar(near_copies()[4:])] for x in brute]
     assert jaccard.exact_links(sets, 0.8).tolist() == wanted and jaccard.exact_links([], 0.8).tolist() == []
+
+
+def test_one_of_many_copies_keeps_its_text(spark, sf, tmp_path):
+    text = "The committee met on Tuesday to discuss the budget.\nAfter a short break most members agreed that the new library should open before winter.\nNobody objected to the plan."
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    row = docs.limit(1).drop("doc_id", "text")
+    copies = spark.range(90_000, 90_015).withColumnRenamed("id", "doc_id").crossJoin(row).withColumn("text", F.lit(text)).select(docs.columns)
+    docs.where("doc_id < 20").unionByName(copies).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = Scratch(spark, "test").table(stage(spark, docs, str(tmp_path)), "stage")
+    kept = docs.where("doc_id >= 90000 AND text <> ''").collect()  # the emptied copies are one empty row
+    assert [(r.doc_id, r.text, r.n_chars) for r in kept] == [(90_000, text, len(text))]
+    packed = {r.doc_id: r.length for r in corpus_pipeline.run(spark, str(tmp_path)).where("doc_id >= 90000").collect()}
+    assert packed[90_000] == len(tokens.encoder(vocabulary("byte_bpe_50k.json")).encode([text])[0]) + 1
