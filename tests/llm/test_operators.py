@@ -185,6 +185,25 @@ def test_bands_reject_what_a_vocabulary_cannot_read():
     assert not told("zq " * 5 + " ".join(f"{w}!!" for w in ["AB", "CD"] * 200))[-1]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "הוועדה נפגשה ביום שלישי כדי לדון בתקציב ולאחר הפסקה קצרה רוב החברים הסכימו שהספרייה החדשה צריכה להיפתח לפני החורף והמסמך נשמר",
+        "समिति की बैठक मंगलवार को बजट पर चर्चा करने के लिए हुई और थोड़े विराम के बाद अधिकांश सदस्य सहमत हुए कि नया पुस्तकालय सर्दियों से पहले खुलना चाहिए",
+        "اجتمعت اللجنة يوم الثلاثاء لمناقشة الميزانية وبعد استراحة قصيرة اتفق معظم الأعضاء على أن تفتح المكتبة الجديدة قبل حلول الشتاء",
+    ],
+)
+def test_one_latin_word_does_not_make_a_text_latin(text):
+    piece, is_byte = quality._vocabulary(vocabulary("piece_bpe_32k.model"))
+    told = [quality.assess(t, None, piece, is_byte, quality.BANDS) for t in (text, text + " PDF")]
+    assert [x[6] for x in told] == ["other", "other"] and [x[-1] for x in told] == [True, True]
+
+
+def test_letters_vote_for_the_script():
+    assert quality.script("naïve café 12") == "latin" and quality.script("12 — 3") == quality.script("") == quality.script("12") == "other"
+    assert quality.script("αβγ abcd") == "latin" and quality.script("αβγδε abc") == "greek" and quality.script("שלום abc") == "other"
+
+
 # --- near-duplicates ---
 
 
