@@ -105,7 +105,8 @@ class Shard:
         self.score = np.zeros(len(self.ids))
 
     def top(self, terms: np.ndarray, idf: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) that may be among the k best, all with scores of at least ``floor``."""
+        """(documents, scores) that may be among the k best, all with rounded scores of at least ``floor``."""
+        least, floor = floor, floor - 10.0**-DIGITS  # a score may be less than what it is rounded to
         order = np.argsort(-(idf * self.bound[terms]), kind="stable")
         terms, idf = terms[order], idf[order]
         rest = np.append(np.cumsum((idf * self.bound[terms])[::-1])[::-1], 0.0)
@@ -139,7 +140,7 @@ class Shard:
         for part in seen:
             score[part] = 0.0
         score[maybe] = 0.0
-        keep = found >= floor
+        keep = found >= least
         maybe, found = maybe[keep], found[keep]
         if len(maybe) > k:
             best = np.lexsort((self.ids[maybe], -found))[:k]

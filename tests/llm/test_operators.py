@@ -411,6 +411,19 @@ def test_pruning_keeps_the_best():
         assert sorted(zip((-score).tolist(), docs.tolist())) == [(pytest.approx(s), i) for s, i in best]
 
 
+def test_ties_survive_later_rounds(spark):
+    """Equal copies over more shards than the first round takes: the smallest ids win, however the score is rounded."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(12)) + f" own{g}" for g in range(12)]
+    mine = [(40 * g + i, t) for g, t in enumerate(texts) for i in range(40)]
+    docs = spark.createDataFrame(sorted(mine, key=lambda r: -(r[0] % 40)), "doc_id long, text string").repartitionByRange(20, F.desc(F.col("doc_id") % 40))
+    found = search.top_k(docs, docs.where("doc_id % 40 = 0"), k=10)
+    got = defaultdict(list)
+    for r in found.orderBy("rank").collect():
+        got[r.query_id].append(r.id)
+    assert got == {40 * g: [40 * g + i for i in range(10)] for g in range(12)}
+
+
 # --- personal data ---
 
 
