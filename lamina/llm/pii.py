@@ -3,7 +3,8 @@
 Entities are found by one pattern of alternatives.  Each is replaced by a surrogate of its own type that depends on a
 key and the entity's normalised form alone, so an entity gets the same surrogate everywhere (coreference) without any
 table of entities.  Numbers keep their length and punctuation: their digits go through a keyed alternating Feistel
-network, a permutation of the numbers of that length, so different numbers stay different.  IPv4 addresses are permuted
+network, a permutation of the numbers of that length, so different numbers stay different; country codes stay, and an
+IBAN's letters are permuted place by place.  IPv4 addresses are permuted
 the same way on 32 bits.  Given names are permuted within a list of their own gender and script; e-mail names, secrets
 and other surnames are written from a keyed digest, and a check over all distinct entities finds surrogates that two of
 them share and moves all but one to the next key until none is left.
@@ -37,7 +38,7 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?=(?:[A-Z ]*\d){8})(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
@@ -46,6 +47,8 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds: a digit, an at sign, the start of a key, or a title or given name.  Most texts don't.
 GATE = rf"[0-9@]|AKIA|gh[pousr]_|sk-|(?=\p{{Lu}})(?<!\p{{L}})(?:{'|'.join(TITLES)}|{_given})(?!\p{{L}})"
+#: Country codes of one and two digits; all others have three.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Entities that share a surrogate are kept in a literal map; more than this many is an error of the key.
 MOST_MOVED = 10_000
 
@@ -57,9 +60,9 @@ def kind(m: Column) -> Column:
 
 
 def normal(m: Column, of: Column) -> Column:
-    """What two mentions of one entity share: its type and its letters and digits."""
-    plain = F.when(of.isin("email"), F.lower(m)).when(of.isin("phone", "card", "ssn", "iban"), F.regexp_replace(m, "[^0-9A-Za-z]", "")).otherwise(m)
-    return F.concat(of, F.lit(":"), plain)
+    """What two mentions of one entity share: its type and its letters and digits, an address's numbers, a phone's plus."""
+    plain = F.when(of.isin("email"), F.lower(m)).when(of.isin("card", "ssn", "iban"), F.regexp_replace(m, "[^0-9A-Za-z]", "")).when(of == "phone", F.regexp_replace(m, "[^0-9+]", ""))
+    return F.concat(of, F.lit(":"), plain.when(of == "ip", F.regexp_replace(m, r"(?<!\d)0+(?=\d)", "")).otherwise(m))
 
 
 def _number(text: Column, digits: int = 15) -> Column:
@@ -82,12 +85,19 @@ def feistel_digits(digits: Column, key: Column, rounds: int = 4) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, step, lambda s: F.concat(s["a"], s["b"]))
 
 
-def with_digits(m: Column, digits: Column) -> Column:
-    """``m`` with its digits replaced in order."""
+def with_digits(m: Column, digits: Column, places: str = "0-9") -> Column:
+    """``m`` with its digits, or the characters of ``places``, replaced in order."""
     chars = F.sequence(F.lit(1), F.length(m))
-    before = lambda i: F.length(F.regexp_replace(F.substring(m, F.lit(1), i), "[^0-9]", ""))
+    before = lambda i: F.length(F.regexp_replace(F.substring(m, F.lit(1), i), f"[^{places}]", ""))
     at = lambda i: F.substring(m, i, F.lit(1))
-    return F.array_join(F.transform(chars, lambda i: F.when(at(i).rlike("[0-9]"), F.substring(digits, before(i), F.lit(1))).otherwise(at(i))), "")
+    return F.array_join(F.transform(chars, lambda i: F.when(at(i).rlike(f"[{places}]"), F.substring(digits, before(i), F.lit(1))).otherwise(at(i))), "")
+
+
+def shifted_letters(plain: Column, key: Column) -> Column:
+    """A keyed permutation of the capitals at each place; other characters stay."""
+    at = lambda i: F.substring(plain, i, F.lit(1))
+    moved = lambda i: F.chr(F.pmod(F.ascii(at(i)) - 65 + _number(F.concat_ws("|", key, F.lit("letter"), i.cast("string"))), F.lit(26)) + 65)
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(plain)), lambda i: F.when(at(i).rlike("[A-Z]"), moved(i)).otherwise(at(i))), "")
 
 
 def feistel_ip(m: Column, key: Column) -> Column:
@@ -129,18 +139,19 @@ def surrogate(m: Column, key: str, attempt: Column) -> Column:
     told = normal(m, of)
     keyed = F.concat_ws("|", F.lit(key), attempt.cast("string"), told)
     digest = F.sha2(keyed, 512)
-    number = F.concat(F.lit(key + "|"), of)
-    country = F.regexp_extract(m, r"^(\+\d{1,3}[ .-]?|[A-Z]{2})", 1)
-    body = F.substring(m, F.length(country) + 1, F.length(m))
-    digits = lambda x: with_digits(x, feistel_digits(F.regexp_replace(x, "[^0-9]", ""), number))
+    number = F.concat_ws("|", F.lit(key), attempt.cast("string"), of)
+    plain = F.substring_index(told, ":", -1)
+    country = F.when(of == "phone", F.regexp_extract(plain, COUNTRY, 0)).when(of == "iban", F.substring(plain, 1, 2)).otherwise("")
+    body = F.substring(plain, F.length(country) + 1, F.length(plain))
+    permuted = with_digits(shifted_letters(body, number), feistel_digits(F.regexp_replace(body, "[^0-9]", ""), number))
+    numbered = with_digits(m, F.concat(country, permuted), "0-9A-Z+")
     domain = F.sha2(F.concat(F.lit(key + "|domain|"), F.lower(F.substring_index(m, "@", -1))), 256)
     first, last = F.substring_index(m, " ", 1), F.sha2(F.concat_ws("|", F.lit(key), attempt.cast("string"), F.lit("surname"), F.substring_index(m, " ", -1)), 256)
     return (
         F.when(of == "email", F.concat(_surname_lower(digest), F.lit("."), F.substring(digest, 9, 14), F.lit("@"), F.substring(domain, 1, 12), F.lit(".example."), F.element_at(F.split(m, r"\."), -1)))
         .when(of == "secret", _like(m, digest))
         .when(of == "ip", feistel_ip(m, number))
-        .when(of.isin("phone", "iban"), F.concat(country, digits(body)))
-        .when(of.isin("card", "ssn"), digits(m))
+        .when(of.isin("phone", "iban", "card", "ssn"), numbered)
         .otherwise(F.concat(F.coalesce(_given_for(first, key), first), F.lit(" "), _surname(last)))
     )
 
@@ -173,8 +184,8 @@ def moved_entities(found: DataFrame, key: str, scratch: Scratch, tries: int = 8)
     for _ in range(tries):
         known = found.select(normal(m, kind(m)).alias("told"), surrogate(m, key, _attempt(m, moved)).alias("written"))
         # Mentions of one entity that differ in punctuation are written in as many ways.
-        plain = F.when(F.col("told").rlike("^(phone|card|ssn|iban):"), F.regexp_replace("written", "[^0-9A-Za-z]", "")).otherwise(F.col("written"))
-        shared = known.groupBy(F.substring_index("told", ":", 1).alias("type"), plain.alias("plain")).agg(F.min("told").alias("stays"), F.max("told").alias("other")).where(F.col("stays") != F.col("other"))
+        of = F.substring_index("told", ":", 1)
+        shared = known.groupBy(normal(F.col("written"), of).alias("plain")).agg(F.min("told").alias("stays"), F.max("told").alias("other")).where(F.col("stays") != F.col("other"))
         clashing = shared.select("other").distinct().limit(MOST_MOVED + 1).collect()
         if not clashing:
             return moved

@@ -464,6 +464,22 @@ def test_shared_surrogates_are_moved(spark, monkeypatch):
     assert len(set(written)) == 12
 
 
+def test_number_clashes(spark):
+    """Spellings of one number share a surrogate; numbers apart stay apart, also on a later attempt."""
+    groups = [["1.2.3.4", "1.2.3.04"], ["1.2.3.5"], ["+1 (743) 555-3824", "+17435553824", "+1 743-555-3824"], ["(743) 555-3824", "743-555-3824"], ["+49 30 1234567", "+49301234567"], ["+43 1234 5678"], ["(431) 234-5678"]]
+    groups += [["GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819"], ["GB29 NWBL 6016 1331 9268 19"], ["4111 1111 1111 1111", "4111111111111111"], ["123-45-6789"]]
+    found = spark.createDataFrame([(x,) for g in groups for x in g], "entity string")
+    assert pii.moved_entities(found, "k", Scratch(spark, "test")) == {}
+    m = F.col("entity")
+    plain = lambda attempt: {r.entity: r.p for r in found.select(m, pii.normal(pii.surrogate(m, "k", F.lit(attempt)), pii.kind(m)).alias("p")).collect()}
+    told, later = plain(0), plain(1)
+    assert all(len({told[x] for x in g}) == 1 for g in groups) and len(set(told.values())) == len(groups)
+    assert all(told[x] != later[x] for x in told) and told["+49301234567"].startswith("phone:+49") and "NWBK" not in told["GB29NWBK60161331926819"]
+    docs = spark.createDataFrame([(1, "from 1.2.3.4 and 1.2.3.04, GB29 NWBK 6016 1331 9268 19.")], "doc_id long, text string")
+    done = pii.replace_entities(docs, "k").first().pii
+    assert done.counts.iban == 1 and done.counts.ip == 2 and len(set(re.findall(r"[\d.]+\d", done.text.split(" GB")[0]))) == 1
+
+
 def test_surrogates_odd_cases(odd, empty):
     found = pii.replace_entities(odd, "k").collect()
     assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, r.pii.text) for r in found) == Counter((r[0], r[1]) for r in odd_rows())
