@@ -28,8 +28,12 @@ GIVEN = {
 }
 #: Titles that announce a surname.
 TITLES = ["Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora"]
-#: Syllables of made-up surnames.
-SYLLABLES = ["ba", "ber", "da", "del", "fa", "gor", "ha", "kel", "la", "mar", "nor", "pe", "ral", "sen", "tor", "vin"]
+#: Syllables of made-up surnames by script.
+SYLLABLES = {
+    "latin": ["ba", "ber", "da", "del", "fa", "gor", "ha", "kel", "la", "mar", "nor", "pe", "ral", "sen", "tor", "vin"],
+    "cyrillic": ["ба", "бер", "да", "дел", "фа", "гор", "ха", "кел", "ла", "мар", "нор", "пе", "рал", "сен", "тор", "вин"],
+    "greek": ["βα", "βερ", "δα", "δελ", "φα", "γορ", "χα", "κελ", "λα", "μαρ", "νορ", "πε", "ραλ", "σεν", "τορ", "βιν"],
+}
 SURNAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _given = "|".join(n for names in GIVEN.values() for n in names)
@@ -116,12 +120,19 @@ def _like(m: Column, digest: Column) -> Column:
     return F.concat(prefix, F.when(m.rlike("[A-Z]") & ~m.rlike("^gh|^sk|[a-z]"), F.upper(body)).otherwise(body))
 
 
-def _surname(digest: Column) -> Column:
+def _surname(digest: Column, script: str = "latin") -> Column:
     """Six syllables of a digest, capitalised."""
-    syllable = F.array(*[F.lit(s) for s in SYLLABLES])
+    syllable = F.array(*[F.lit(s) for s in SYLLABLES[script]])
     return F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.element_at(syllable, (F.conv(F.substring(digest, i, F.lit(1)), 16, 10).cast("int") + 1))), ""))
 
 
+def _surname_like(last: Column, first: Column, digest: Column) -> Column:
+    """A surname in the script of ``last``; Cyrillic ones end by the gender of the given name, or of ``last``."""
+    feminine = F.when(first.isin(GIVEN["f", "cyrillic"]), True).when(first.isin(GIVEN["m", "cyrillic"]), False).otherwise(last.rlike("[ая]$"))
+    slavic = F.concat(_surname(digest, "cyrillic"), F.when(feminine, "ова").otherwise("ов"))
+    return F.when(last.rlike(r"\p{IsCyrillic}"), slavic).when(last.rlike(r"\p{IsGreek}"), F.concat(_surname(digest, "greek"), F.lit("ης"))).otherwise(_surname(digest))
+
+
 def _given_for(name: Column, key: str) -> Column:
     """The name's image under a keyed rotation of its own list, never the name itself."""
     from hashlib import sha256
@@ -152,7 +163,7 @@ def surrogate(m: Column, key: str, attempt: Column) -> Column:
         .when(of == "secret", _like(m, digest))
         .when(of == "ip", feistel_ip(m, number))
         .when(of.isin("phone", "iban", "card", "ssn"), numbered)
-        .otherwise(F.concat(F.coalesce(_given_for(first, key), first), F.lit(" "), _surname(last)))
+        .otherwise(F.concat(F.coalesce(_given_for(first, key), first), F.lit(" "), _surname_like(F.substring_index(m, " ", -1), first, last)))
     )
 
 

@@ -464,6 +464,13 @@ def test_shared_surrogates_are_moved(spark, monkeypatch):
     assert len(set(written)) == 12
 
 
+def test_whole_names_stay_in_their_script(spark):
+    names = {"Сергей Иванов": r"[А-Яа-яё]+ [А-Яа-я]+ов", "Анна Иванова": r"[А-Яа-яё]+ [А-Яа-я]+ова", "Dr. Петрова": r"Dr\. [А-Яа-я]+ова", "Νίκος Παπαδόπουλος": r"[Ͱ-Ͽ]+ [Ͱ-Ͽ]+", "Maria Lopez": r"[A-Z][a-z]+ [A-Z][a-z]+"}
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, text string")
+    found = {r.text: r.pii.text for r in pii.replace_entities(docs, "k").collect()}
+    assert all(re.fullmatch(p, found[n]) and found[n].split()[-1] != n.split()[-1] for n, p in names.items())
+
+
 def test_number_clashes(spark):
     """Spellings of one number share a surrogate; numbers apart stay apart, also on a later attempt."""
     groups = [["1.2.3.4", "1.2.3.04"], ["1.2.3.5"], ["+1 (743) 555-3824", "+17435553824", "+1 743-555-3824"], ["(743) 555-3824", "743-555-3824"], ["+49 30 1234567", "+49301234567"], ["+43 1234 5678"], ["(431) 234-5678"]]
