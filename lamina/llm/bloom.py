@@ -50,6 +50,46 @@ def _blocks(once: np.ndarray, twice: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], ["block", "once", "twice"])
 
 
+#: Cells of a sketch, at most: 16 MB while it is filled, 4 MB once told.
+MOST_CELLS = 1 << 22
+
+
+def sketch_cells(n_hashes: int) -> int:
+    return min(MOST_CELLS, max(BLOCK, 1 << max(0, n_hashes // 4).bit_length()))
+
+
+def cell(h: np.ndarray, cells: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)
+
+
+def sketch(rows: DataFrame, hashes, cells: int) -> np.ndarray:
+    """How often hashes of each cell were met, as four times the logarithm of the count (one byte a cell)."""
+
+    def fill(batches):
+        counts = np.zeros(cells, np.uint32)
+        for batch in batches:
+            np.add.at(counts, cell(hashes(batch), cells), np.uint32(1))
+        for k, part in enumerate(counts.reshape(-1, BLOCK)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "counts"])
+
+    def merge(batches):
+        have: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                part = np.frombuffer(zlib.decompress(part), np.uint32)
+                have[k] = have[k] + part if k in have else part.astype(np.uint64)
+        told = [np.minimum(4 * np.log2(x + 1.0), 255).astype(np.uint8).tobytes() for x in have.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array(told, pa.binary())], ["block", "told"])
+
+    filled = rows.mapInArrow(fill, "block int, counts binary").repartition("block").mapInArrow(merge, "block int, told binary")
+    out = np.zeros(cells, np.uint8)
+    for row in filled.collect():  # MOST_CELLS bounds what arrives; an iterator would merge one partition at a time
+        out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.told, np.uint8)
+    return out
+
+
 def repeats(rows: DataFrame, hashes, bits: int, at_once: int | None = None) -> np.ndarray:
     """The bitmap of hashes met twice or more.
 
@@ -82,6 +122,6 @@ def repeats(rows: DataFrame, hashes, bits: int, at_once: int | None = None) -> n
 
     filled = rows.mapInArrow(fill, "block int, once binary, twice binary").repartition("block").mapInArrow(merge, "block int, twice binary")
     out = np.zeros(bits >> 3, np.uint8)
-    for row in filled.toLocalIterator():  # MOST_BITS bounds what arrives
+    for row in filled.collect():  # MOST_BITS bounds what arrives; an iterator would merge one partition at a time
         out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.twice, np.uint8)
     return out

@@ -16,14 +16,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver share (``spark.checkpoint.dir``).
 
-    Where the session names none, as in tests on one machine, a folder under the system's temporary directory is
-    set for the session.
+    Where a session on one machine names none, as in tests, a folder under the system's temporary directory is set for
+    it; on a cluster, whose executors would not see that folder, its absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -46,6 +48,20 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def others(docs: DataFrame, *taken: str) -> list[Column]:
+    """The columns of ``docs`` but for those that new columns of the names ``taken`` replace (letter case apart)."""
+    gone = {name.lower() for name in taken}
+    return [F.col(f"`{c}`") for c in docs.columns if c.lower() not in gone]
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    held = {c.lower() for c in docs.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words, on the JVM; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -57,3 +73,11 @@ def words(text: str | None) -> list[bytes]:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels beside the documents; none where the folder has no such table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/labels.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return spark.createDataFrame([], "doc_id long, quality int, toxic int")

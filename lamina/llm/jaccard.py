@@ -1,12 +1,15 @@
-"""Near-dedup by exact shingle similarity: prefix filter, candidate components, exact links.
+"""Near-dedup by exact shingle similarity: rarest shingles first, candidate components, exact links.
 
 A text is the set of its word shingles' hashes.  In one order of all hashes, two sets of Jaccard similarity s or more
 share a hash among the first n - ceil(s n) + 1 of each, so only those prefixes are matched and no pair is lost.  The
 order puts hashes that no other set holds first (a Bloom filter of repeats tells them): they match nothing and are not
-sent on, and a text of which more than a share of 1 - s is its own sends nothing.  Components over shared prefix hashes
-hold every similar pair; the sets of one component meet in one task, which compares them exactly.
+sent on, and a text of which more than a share of 1 - s is its own sends nothing.  The rest come by a bounded sketch of
+how many texts hold them, rarest first, so that passages which many unlike texts share seldom lie in a prefix.  Any
+fixed order gives the same links; the sketch only makes for fewer candidates.
 
-A component is one task's work: a large group of near copies is not dealt over several.
+Fingerprints of the sets that send something go through SimHash's vantage-point tree, which finds the closest copies;
+shared prefix hashes find the others.  Components over both hold every similar pair.  The sets of a component meet in
+tasks of at most two blocks of ``BLOCK_SETS``, which compare them exactly and send on spanning links.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,36 +24,63 @@ from pyspark.sql import functions as F
 from . import bloom
 from .common import Scratch, word_count
 from .components import components
-from .simhash import shingle_hashes
+from .passages import rolling, word_hashes
+from .simhash import fingerprint_links, fold_bits
 
 #: Bits of the filter a shingle: bits that two tasks set count as met twice, so 4 let some 1 in 200 pass by chance.
 PER_HASH = 4
 #: Hashes that a task puts into the filter at once.
 AT_ONCE = 1 << 18
+#: Sets of a component that make a block; a task compares two blocks at most.
+BLOCK_SETS = 3_000
+#: Sets remembered in a task; one met again after that only costs a repeated row.
+REMEMBERED = 200_000
 
 
-def exact_links(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+def shingle_set(text: str | None, n: int) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles of ``n`` words, A-Z lower-cased; all words of a shorter text."""
+    words = text.encode("utf-8").lower().split() if text else []
+    return np.unique(rolling(word_hashes(words), min(n, len(words)))) if words else np.zeros(0, np.uint64)
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def exact_links(sets: list[np.ndarray], sizes: np.ndarray, similarity: float) -> np.ndarray:
     """The component of each set over all pairs of at least ``similarity``, as the least index of its sets.
 
-    A pivot is compared with all sets.  Jaccard distance obeys the triangle inequality, so a set of the pivot's
+    ``sets`` may lack hashes that no other set holds; ``sizes`` count them.  A pivot is compared with the sets that share
+    a hash with it, through inverted lists.  Jaccard distance obeys the triangle inequality, so a set of the pivot's
     component that lies further than 1 - ``similarity`` from all sets outside needs no comparison of its own.
     """
     m = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    distinct, codes = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True)
-    row, starts = np.repeat(np.arange(m), sizes), np.concatenate([[0], np.cumsum(sizes)])
-    label, done, held = np.arange(m), np.zeros(m, bool), np.zeros(len(distinct), bool)
+    lengths = np.fromiter(map(len, sets), np.int64, m)
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    order = np.argsort(flat, kind="stable")
+    rows = np.repeat(np.arange(m, dtype=np.int32), lengths)[order]
+    ranked = flat[order]
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    code = np.empty(len(flat), np.int32)
+    code[order] = np.cumsum(new) - 1
+    lists = np.append(np.flatnonzero(new), len(ranked))
+    del flat, ranked, order, new
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    label, done = np.arange(m), np.zeros(m, bool)
     for p in range(m):
         if done[p]:
             continue
-        own = codes[starts[p] : starts[p + 1]]
-        held[own] = True
-        common = np.bincount(row[held[codes]], minlength=m)
-        held[own] = False
+        own = code[starts[p] : starts[p + 1]]
+        n = lists[own + 1] - lists[own]
+        at = np.repeat(lists[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(rows[at], minlength=m)
+        common[p] = sizes[p]
         either = sizes + sizes[p] - common
         alike = common + 1e-9 >= similarity * either
         joined = np.unique(label[alike | (np.arange(m) == p)])
-        label[np.isin(label, joined)] = joined[0]
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
         inside, apart = label == label[p], 1 - common / np.maximum(either, 1)
         least = apart[~inside].min(initial=np.inf)
         done |= inside & (apart + (1 - similarity) + 1e-9 < least)
@@ -59,49 +88,96 @@ def exact_links(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return label
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK_SETS) -> DataFrame:
     """(id, text_hash, class_fp) for every row; ``class_fp`` is one for rows that links of ``similarity`` or more join.
 
-    Words are as for SimHash, shingles are ``shingle`` words (all words of a shorter text).  Texts without a word are
-    alike.  Sets count as equal if a 64-bit hash of theirs is.  An empty table gives none.
+    Words are as for SimHash, shingles are ``shingle`` words (all words of a shorter text).  Texts without a word, null
+    ones too, are alike.  Sets count as equal if a 64-bit hash of theirs is; repeated rows and null ids each give their
+    row.  Long texts are whole sets.  An empty table gives none.
     """
-    scratch = Scratch(docs.sparkSession, "jaccard")
-    hashes = lambda text: np.unique(shingle_hashes(text, shingle, seed))
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "jaccard")
+    texts = docs.select(F.col(text_col).alias("text"))
     n_words = docs.agg(F.sum(word_count(F.col(text_col)))).first()[0] or 0
     bits = bloom.filter_bits(n_words, PER_HASH)
-    met = lambda batch: np.concatenate([np.zeros(0, np.uint64), *(hashes(x.as_py()) for x in batch.column(0))])
-    twice = docs.sparkSession.sparkContext.broadcast(bloom.repeats(docs.select(F.col(text_col)), met, bits, at_once=AT_ONCE))
+    met = lambda batch: np.concatenate([np.zeros(0, np.uint64), *(shingle_set(x.as_py(), shingle) for x in batch.column(0))])
+    twice = spark.sparkContext.broadcast(bloom.repeats(texts, met, bits, at_once=AT_ONCE))
+
+    def repeated(batch):
+        found = met(batch)
+        return found[bloom.contains(twice.value, found, bits)]
+
+    cells = bloom.sketch_cells(n_words)
+    common = spark.sparkContext.broadcast(bloom.sketch(texts, repeated, cells))
 
-    @F.pandas_udf("set_key long, prefix array<long>")
-    def made(texts: pd.Series) -> pd.DataFrame:
+    def sets_of(batches):
         import xxhash
 
-        keys, prefixes = np.zeros(len(texts), np.uint64), []
-        for i, text in enumerate(texts):
-            own = hashes(text)
-            keys[i] = xxhash.xxh3_64_intdigest(own.tobytes())
-            again = own[bloom.contains(twice.value, own, bits)]
-            most = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 - (len(own) - len(again))
-            prefixes.append(again[: max(0, most)].view(np.int64))
-        return pd.DataFrame({"set_key": keys.view(np.int64), "prefix": prefixes})
-
-    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(3), F.col(text_col)).alias("text_hash"), made(F.col(text_col)).alias("made"))
-    rows = scratch.table(keyed.select("id", "text_hash", "made.*"), "rows")
-    sent = scratch.table(rows.select(F.explode("prefix").alias("hash"), "set_key").distinct(), "prefixes")
-    least = sent.groupBy("hash").agg(F.min("set_key").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    links = scratch.table(sent.join(least, "hash").select(F.col("set_key").alias("a"), "b").where("a <> b").distinct(), "links")
-    labels = scratch.table(components(links, scratch), "labels")
-    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("text_hash"))).alias("first")
-    chosen = rows.select("set_key", "id", "text_hash").join(labels.withColumnRenamed("node", "set_key"), "set_key").groupBy("set_key", "label").agg(first)
-    chosen = scratch.table(chosen.select("set_key", "label", F.col("first.id").alias("chosen_id"), F.col("first.text_hash").alias("chosen_hash")), "chosen")
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(3), F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    candidates = texts.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("text_hash") == F.col("chosen_hash"))).select("label", "set_key", "text")
-
-    def confirmed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("set_key").sort_values("set_key", ignore_index=True)
-        root = exact_links([hashes(x) for x in pdf["text"]], similarity)
-        keys = pdf["set_key"].to_numpy(np.int64)
-        return pd.DataFrame({"set_key": keys, "class_fp": keys[root]})
-
-    classes = scratch.table(candidates.groupBy("label").applyInPandas(confirmed, "set_key long, class_fp long").where("set_key <> class_fp"), "classes")
+        seen: set[int] = set()
+        for batch in batches:
+            keys, sizes, fps, prefixes, codes = [], [], [], [], []
+            for text in batch.column(2):
+                own = shingle_set(text.as_py(), shingle)
+                key = xxhash.xxh3_64_intdigest(own.tobytes())
+                again = own[bloom.contains(twice.value, own, bits)]
+                most = prefix_length(len(own), similarity) - (len(own) - len(again))
+                keys.append(key)
+                sizes.append(len(own))
+                if most <= 0 or key in seen:
+                    fps.append(None)
+                    prefixes.append(None)
+                    codes.append(None)
+                    continue
+                seen.add(key)
+                rank = np.lexsort((again, common.value[bloom.cell(again, cells)]))
+                fps.append(int(np.uint64(fold_bits(own)).view(np.int64)))
+                prefixes.append(again[rank[:most]].view(np.int64))
+                codes.append(again.tobytes())
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            columns = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(codes, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "text_hash", "set_key", "n", "fp", "prefix", "codes"])
+
+    id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
+    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(3), F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    rows = scratch.table(keyed.mapInArrow(sets_of, f"id {id_type}, text_hash long, set_key long, n int, fp long, prefix array<long>, codes binary"), "rows")
+    sending = rows.where(F.col("fp").isNotNull())
+    sent = sending.select(F.explode("prefix").alias("hash"), "set_key").distinct()
+    least = sent.groupBy("hash").agg(F.min("set_key").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    links = sent.join(least, "hash").select(F.col("set_key").alias("a"), "b").where("a <> b").distinct()
+    points = scratch.table(sending.select("fp", "set_key").distinct(), "fingerprints")
+    firsts = scratch.table(points.groupBy("fp").agg(F.min("set_key").alias("first")), "distinct")
+    close = fingerprint_links(firsts.select("fp"), max_bits, scratch, firsts.count())
+    ends = [firsts.select(F.col("fp").alias(f"fp_{x}"), F.col("first").alias(x)) for x in ("a", "b")]
+    close = close.select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b")).join(ends[0], "fp_a").join(ends[1], "fp_b").select("a", "b")
+    same = points.join(firsts, "fp").where("set_key <> first").select(F.col("set_key").alias("a"), F.col("first").alias("b"))
+    links = scratch.table(links.unionByName(close).unionByName(same), "links")
+    labels = scratch.table(components(links, scratch), "labels").withColumnRenamed("node", "set_key")
+
+    # Blocks of large components meet two by two.
+    blocks = labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64(F.lit(17), "set_key"), F.col("blocks")).cast("int")
+    held = labels.join(blocks, "label").select("set_key", "label", "blocks", own.alias("own"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: (i != F.col("own")) | (F.col("blocks") == 1))
+    dealt = held.withColumn("other", F.explode(others)).select("set_key", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("blocks") > 1).alias("split"))
+    sets = sending.groupBy("set_key").agg(F.first("n").alias("n"), F.first("codes").alias("codes"))
+    together = dealt.join(sets, "set_key")
+
+    def confirmed(table: pa.Table) -> pa.Table:
+        keys = table.column("set_key").to_numpy()
+        order = np.argsort(keys)
+        found = table.column("codes").combine_chunks()
+        root = exact_links([np.frombuffer(found[int(i)].as_py(), np.uint64) for i in order], table.column("n").to_numpy()[order].astype(np.int64), similarity)
+        keys = keys[order]
+        linked = keys != keys[root]
+        split = pa.array(np.full(int(linked.sum()), bool(table.column("split")[0].as_py())))
+        return pa.table({"a": pa.array(keys[linked]), "b": pa.array(keys[root][linked]), "split": split})
+
+    exact = scratch.table(together.groupBy("label", "low", "high").applyInArrow(confirmed, "a long, b long, split boolean"), "exact")
+    classes = exact.where("NOT split").select(F.col("a").alias("set_key"), F.col("b").alias("class_fp"))
+    split = exact.where("split").select("a", "b")
+    if split.limit(1).count():
+        whole = components(split, scratch).where("node <> label")
+        classes = classes.unionByName(whole.select(F.col("node").alias("set_key"), F.col("label").alias("class_fp")))
+    classes = scratch.table(classes, "classes")
     return rows.select("id", "text_hash", "set_key").join(classes, "set_key", "left").select("id", "text_hash", F.coalesce("class_fp", "set_key").alias("class_fp"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, labels
 
 
 def vocabulary(name: str) -> str:
@@ -44,9 +44,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality import judge
+    """Bands by language or script, measured on documents that ``labels`` calls good."""
+    from .quality import calibrate, judge
 
-    return judge(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
+    docs, path = documents(spark, sf_dir).select("doc_id", "text", "lang"), vocabulary("piece_bpe_32k.model")
+    bands = calibrate(docs, labels(spark, sf_dir), path)
+    return judge(docs, path, bands, lang_col="lang").select("doc_id", "quality.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,11 @@ def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.nda
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """The unsigned 64-bit fingerprint of a whole text; zero if it has no word."""
-    hashes = shingle_hashes(text, shingle, seed)
+    return fold_bits(shingle_hashes(text, shingle, seed))
+
+
+def fold_bits(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the hashes."""
     n = len(hashes)
     ones = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 15):
@@ -228,11 +232,19 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed:
     return rows.join(by_fp, "fp").select("id", "text_hash", "fp", F.col("label").alias("class_fp"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None, **options) -> DataFrame:
     """One row of each component, with its columns: the smallest id's, null ids last, by text where ids repeat.
 
-    ``find`` tells the components, by fingerprints or otherwise.  Of rows that repeat in id and text one stays.
+    Components are those of fingerprints within ``max_bits``; with ``similarity`` they are those of all pairs whose
+    shingle sets have that Jaccard similarity or more, for which fingerprints only find a part of the candidates.  Of
+    rows that repeat in id and text one stays.
     """
+    if similarity is None:
+        find = near_duplicates
+    else:
+        from .jaccard import similar_documents as find
+
+        options["similarity"] = similarity
     classed = find(docs, id_col=id_col, text_col=text_col, **options)
     scratch = Scratch(docs.sparkSession, "one-of-each")
     classed = scratch.table(classed, "classed")

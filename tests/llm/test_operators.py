@@ -199,6 +199,23 @@ def test_one_latin_word_does_not_make_a_text_latin(text):
     assert [x[6] for x in told] == ["other", "other"] and [x[-1] for x in told] == [True, True]
 
 
+def test_calibrated_bands_reject_labelled_junk(spark):
+    sf = "/root/testdata/sf0.01"
+    judged = queries.op4_quality(spark, sf).where("NOT base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in judged}
+    assert n[0, False] > 0.7 * (n[0, False] + n.get((0, True), 0)), n
+    assert n.get((1, False), 0) < 0.03 * n[1, True], n
+
+
+def test_bands_of_few_labels_fall_back(spark, odd, empty):
+    path = vocabulary("piece_bpe_32k.model")
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(70)] + [(None, 1, None)], "doc_id long, quality int, toxic int")
+    assert quality.calibrate(odd, labels, path) == {} == quality.calibrate(empty, labels, path) == quality.calibrate(odd, labels.limit(0), path)
+    bands = quality.calibrate(odd, labels, path, least=3)
+    assert "latin" in bands and set(bands) <= {"latin", "other", "en", "de"}
+    assert quality.judge(odd, path, bands, lang_col="lang").count() == len(odd_rows())
+
+
 def test_letters_vote_for_the_script():
     assert quality.script("naïve café 12") == "latin" and quality.script("12 — 3") == quality.script("") == quality.script("12") == "other"
     assert quality.script("αβγ abcd") == "latin" and quality.script("αβγδε abc") == "greek" and quality.script("שלום abc") == "other"

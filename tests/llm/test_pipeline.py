@@ -11,7 +11,7 @@ import corpus_pipeline
 from lamina.llm import jaccard, packing, quality, tokens
 from lamina.llm.common import Scratch
 from lamina.llm.queries import vocabulary
-from test_operators import brute_classes, brute_fingerprint, brute_lines, check_mix, words
+from test_operators import brute_classes, brute_fingerprint, words
 
 
 def test_stages(spark, sf):
@@ -23,15 +23,14 @@ def test_stages(spark, sf):
         kept.append((docs.collect(), out.collect()))
         docs = out
     piece, is_byte = quality._vocabulary(vocabulary("piece_bpe_32k.model"))
+    bands = quality.BANDS | quality.calibrate(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"), vocabulary("piece_bpe_32k.model"))
     before, after = kept[0]
-    assert {r.doc_id for r in after} == {r.doc_id for r in before if quality.assess(r.text, None, piece, is_byte, quality.BANDS)[-1]}
+    assert {r.doc_id for r in after} == {r.doc_id for r in before if quality.assess(r.text, r.lang, piece, is_byte, bands)[-1]}
     before, after = kept[1]
-    wanted = {r.doc_id: "\n".join(x) for r, (_, x) in zip(before, brute_lines([r.text for r in before], 10), strict=True)}
-    assert {r.doc_id: r.text for r in after} == wanted and all(r.n_chars == len(r.text) for r in after)
+    assert {r.doc_id: r.text for r in after} == brute_first_lines({r.doc_id: r.text for r in before}, 10) and all(r.n_chars == len(r.text) for r in after)
     before, after = kept[2]
-    roots = brute_classes([brute_fingerprint(r.text) for r in before])
     least: dict[int, int] = {}
-    for r, root in zip(before, roots, strict=True):
+    for r, root in zip(before, brute_similar([r.text for r in before]), strict=True):
         least[root] = min(r.doc_id, least.get(root, r.doc_id))
     assert sorted(r.doc_id for r in after) == sorted(least.values())
     before, after = kept[3]
@@ -43,6 +42,20 @@ def test_stages(spark, sf):
     assert Counter((r.doc_id, r.length) for r in corpus_pipeline.run(spark, sf).collect()) == Counter((r.doc_id, r.length) for r in after)
 
 
+def brute_first_lines(texts, least):
+    key = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(" \t\n\v\f\r"))
+    n, met, out = Counter(k for t in texts.values() for k in {key(x) for x in t.split("\n")} if k), set(), {}
+    for i in sorted(texts):
+        kept = []
+        for line in texts[i].split("\n"):
+            if n[key(line)] < least or key(line) not in met:
+                kept.append(line)
+            if n[key(line)] >= least:
+                met.add(key(line))
+        out[i] = "\n".join(kept)
+    return out
+
+
 def test_empty_documents(spark, tmp_path, sf):
     spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
@@ -91,7 +104,23 @@ def test_near_dedup_equals_brute_jaccard(spark):
 def test_exact_links():
     sets = [np.unique(np.fromiter((zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(0, len(w) - 4))), np.uint64)) for w in (words(t) for t in near_copies()[4:])]
     wanted = [min(j for j, r in enumerate(brute) if r == x) for brute in [brute_similar(near_copies()[4:])] for x in brute]
-    assert jaccard.exact_links(sets, 0.8).tolist() == wanted and jaccard.exact_links([], 0.8).tolist() == []
+    assert jaccard.exact_links(sets, np.array(list(map(len, sets))), 0.8).tolist() == wanted and jaccard.exact_links([], np.zeros(0, np.int64), 0.8).tolist() == []
+
+
+def test_blocks_of_a_large_component_lose_no_link(spark):
+    texts = near_copies()
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[5])], "doc_id long, text string").repartition(3)
+    root = brute_similar([*texts, texts[5]])
+    found = jaccard.similar_documents(docs, block=4).collect()
+    ids = list(range(len(texts))) + [None]
+    classes = {}
+    for r in found:
+        classes.setdefault(r.class_fp, []).append(r.id)
+    wanted = {}
+    for i, r in zip(ids, root, strict=True):
+        wanted.setdefault(r, []).append(i)
+    order = lambda c: sorted(sorted(x, key=lambda i: (i is None, i)) for x in c.values() if None not in x)
+    assert order(classes) == order(wanted) and len(found) == len(ids)
 
 
 def test_one_of_many_copies_keeps_its_text(spark, sf, tmp_path):
