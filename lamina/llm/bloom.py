@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 PROBES = 4
+#: Rows whose hashes are held at once.
+ROWS = 1_000
 BLOCK = 1 << 16
 #: The largest filter: 32 MB.  With more than some 16 million different hashes more of them pass by chance, so more
 #: rows go on to the exact step; none is lost.
@@ -38,6 +40,13 @@ def contains(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return found
 
 
+def parts(batches):
+    """Batches in slices of few rows, so that what a task holds at once stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
 def _insert(bitmap: np.ndarray, h: np.ndarray, bits: int) -> None:
     for p in positions(h, bits):
         np.bitwise_or.at(bitmap, p >> 3, np.left_shift(np.uint8(1), (p & 7).astype(np.uint8)))
@@ -68,7 +77,7 @@ def sketch(rows: DataFrame, hashes, cells: int) -> np.ndarray:
 
     def fill(batches):
         counts = np.zeros(cells, np.uint32)
-        for batch in batches:
+        for batch in parts(batches):
             np.add.at(counts, cell(hashes(batch), cells), np.uint32(1))
         for k, part in enumerate(counts.reshape(-1, BLOCK)):
             if part.any():
@@ -99,7 +108,7 @@ def repeats(rows: DataFrame, hashes, bits: int, at_once: int | None = None) -> n
 
     def fill(batches):
         once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
-        for batch in batches:
+        for batch in parts(batches):
             met = hashes(batch)
             for i in range(0, len(met), at_once or max(1, len(met))):
                 h, n = np.unique(met[i : i + at_once] if at_once else met, return_counts=True)

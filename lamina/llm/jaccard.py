@@ -114,7 +114,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
         import xxhash
 
         seen: set[int] = set()
-        for batch in batches:
+        for batch in bloom.parts(batches):
             keys, sizes, fps, prefixes, codes = [], [], [], [], []
             for text in batch.column(2):
                 own = shingle_set(text.as_py(), shingle)

@@ -1,36 +1,43 @@
-"""Exact top-k BM25 search over sharded inverted indexes with block-max pruning.
+"""Exact top-k BM25 search over sharded inverted indexes with block-max WAND pruning.
 
-Each task turns the documents it reads into shards: postings by term, with the largest impact of every list and of every
-block of 128 postings.  Texts are not shuffled; document frequencies of the query terms, the number of documents and
-their mean length are global, so scores of different shards compare.
+Each task turns the documents it reads into shards.  A shard's documents are ordered by a clustering of their frequent
+words and by length and cut into blocks of ``BLOCK``.  The index stores postings with their impacts and, for the
+shard's frequent words, the largest impact of every block (one byte, rounded up).  Texts are not shuffled; document
+frequencies, the number of documents and their mean length are global, so scores of different shards compare.
 
-Queries go through the shards in bounded blocks and in rounds over growing shares of the shards.  A query enters a round
-with the k-th best score so far as its threshold, so later shards send on only what may still be among the best.
-Within a shard a query adds up its lists from the highest bound down until the bounds of the rest stay below the
-threshold: a document in none of the lists so far can be skipped (the WAND condition).  Those that remain are bounded by
-the maxima of the blocks they lie in, and only what passes is scored to the end.
+Within a shard, block maxima of a query's frequent words, times their weights, give bounds of all blocks as one matrix
+product for many queries.  The lists of its other words are short and are added up; a document's bound is its sum plus
+its block's bound.  The best bounded documents are scored first and raise the query's threshold; a document whose bound
+stays below it is skipped (the WAND condition), so the long lists are never walked: what passes looks its counts up.
+
+Queries go through the shards in bounded blocks and in rounds over growing shares of the shards.  A query enters a
+round with the k-th best score so far as its threshold, so later shards send on only what may still be among the best.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, word_count
 
 K1, B = 1.2, 0.75
-BLOCK = 128
-#: Postings of a shard, about; bounds what a task holds.
-SHARD_POSTINGS = 3_000_000
-#: Query terms broadcast at once (16 bytes each).
-BLOCK_TERMS = 2_000_000
+#: Documents of a block.
+BLOCK = 8
+#: Postings of a shard, about, and documents at most; they bound what a task holds.
+SHARD_POSTINGS, SHARD_DOCS = 3_000_000, 60_000
+#: Words of a shard that have block maxima: those in more than a share of its documents, the most frequent at most.
+FREQUENT_SHARE, FREQUENT = 1 / 8, 512
+#: Lists of more postings are added up one by one, shorter ones together.
+LONG = 200
+#: Query terms broadcast at once, about (16 bytes each), and queries whose bounds are made at once.
+BLOCK_TERMS, AT_ONCE = 2_000_000, 256
 #: Scores are compared after rounding to so many digits.
 DIGITS = 6
-INDEX = "share double, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
+INDEX = "share double, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary, frequent binary, maxima binary"
+KINDS = {"ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.uint16, "counts": np.int32, "frequent": np.int64, "maxima": np.uint8}
 
 
 def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -42,110 +49,164 @@ def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return h, n, len(words)
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return zlib.compress(a.tobytes(), 1)
+def impact(count: np.ndarray, length: np.ndarray, mean_length: float) -> np.ndarray:
+    return count * (K1 + 1) / (count + K1 * (1 - B + B * length / max(mean_length, 1e-9)))
+
+
+def _clusters(docs: np.ndarray, codes: np.ndarray, n_docs: int, n_codes: int, k: int = 12) -> np.ndarray:
+    """A cluster for each document by its frequent words: seeds far apart, then one round of means."""
+    held = np.zeros((n_docs, n_codes), np.float32)
+    held[docs, codes] = 1
+    held /= np.maximum(np.sqrt(held.sum(1, keepdims=True)), 1)
+    centres, near = held[:1], held @ held[0]
+    while len(centres) < min(k, n_docs):
+        centres = np.vstack([centres, held[near.argmin()]])
+        near = np.maximum(near, held @ centres[-1])
+    own = (held @ centres.T).argmax(1)
+    sums = np.zeros((len(centres), n_codes), np.float32)
+    np.add.at(sums, own, held)
+    return (held @ (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).T).argmax(1)
+
+
+def build_shard(ids: list, lengths: list[int], terms: list[np.ndarray], counts: list[np.ndarray], mean_length: float) -> dict[str, np.ndarray]:
+    """The arrays of one shard, by the names of ``KINDS``."""
+    n_docs, sizes = len(ids), [len(t) for t in terms]
+    term, docs, count, length = np.concatenate(terms), np.repeat(np.arange(n_docs), sizes), np.concatenate(counts), np.array(lengths, np.int64)
+    found, code = np.unique(term, return_inverse=True)
+    df = np.bincount(code, minlength=len(found))
+    frequent = np.argsort(-df, kind="stable")[: min(FREQUENT, int((df > max(2 * BLOCK, FREQUENT_SHARE * n_docs)).sum()))]
+    place = np.full(len(found), -1)
+    place[frequent] = np.arange(len(frequent))
+    of = place[code]
+    if len(frequent):
+        top = (of >= 0) & (of < 256)
+        own = _clusters(docs[top], of[top], n_docs, min(256, len(frequent)))
+        order = np.lexsort((length, own))
+        at = np.empty(n_docs, np.int64)
+        at[order] = np.arange(n_docs)
+        ids, length, docs = [ids[i] for i in order], length[order], at[docs]
+    sort = np.lexsort((docs, code))
+    docs, count, of, code = docs[sort].astype(np.uint16), count[sort].astype(np.int32), of[sort], code[sort]
+    exact = impact(count, length[docs], mean_length)
+    n_blocks = -(-n_docs // BLOCK)
+    maxima = np.zeros(len(frequent) * n_blocks, np.uint8)
+    top = of >= 0
+    np.maximum.at(maxima, of[top] * n_blocks + docs[top].astype(np.int64) // BLOCK, np.ceil(exact[top] * (255 / (K1 + 1))).astype(np.uint8))
+    known = np.array([i is not None for i in ids], np.int64)
+    raw = np.array([i or 0 for i in ids], np.int64)
+    starts = np.append(np.searchsorted(code, np.arange(len(found))), len(code))
+    return {"ids": np.stack([raw, known]), "lengths": length, "terms": found, "starts": starts.astype(np.int64), "docs": docs, "counts": count, "frequent": frequent.astype(np.int64), "maxima": maxima}
+
+
+def _index(mean_length: float):
+    def run(batches):
+        import zlib
 
+        import zstandard
 
-def _index(batches):
-    ids, lengths, terms, counts, held = [], [], [], [], 0
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        ids, lengths, terms, counts, held = [], [], [], [], 0
 
-    def shard():
-        sizes = [len(t) for t in terms]
-        term, docs, count = np.concatenate(terms), np.repeat(np.arange(len(ids), dtype=np.int32), sizes), np.concatenate(counts).astype(np.int32)
-        order = np.lexsort((docs, term))
-        found, starts = np.unique(term[order], return_index=True)
-        known = np.array([i is not None for i in ids], bool)
-        raw = np.array([i or 0 for i in ids], np.int64)
-        share = zlib.crc32(raw.tobytes()) / (1 << 32)
-        parts = [np.stack([raw, known.astype(np.int64)]), np.array(lengths, np.int64), found, np.append(starts, len(term)).astype(np.int64), docs[order], count[order]]
-        return pa.RecordBatch.from_arrays([pa.array([share]), *(pa.array([_pack(p)], pa.binary()) for p in parts)], [x.split()[0] for x in INDEX.split(", ")])
+        def shard():
+            parts = build_shard(ids, lengths, terms, counts, mean_length)
+            share = zlib.crc32(parts["ids"].tobytes()) / (1 << 32)
+            return pa.RecordBatch.from_arrays([pa.array([share]), *(pa.array([squeeze(parts[k].tobytes())], pa.binary()) for k in KINDS)], ["share", *KINDS])
 
-    for batch in batches:
-        for key, text in zip(batch.column(0), batch.column(1), strict=True):
-            h, n, size = term_counts(text.as_py())
-            ids.append(key.as_py())
-            lengths.append(size)
-            terms.append(h)
-            counts.append(n)
-            held += len(h)
-            if held > SHARD_POSTINGS:
-                yield shard()
-                ids, lengths, terms, counts, held = [], [], [], [], 0
-    if ids:
-        yield shard()
+        for batch in batches:
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                h, n, size = term_counts(text.as_py())
+                ids.append(key.as_py())
+                lengths.append(size)
+                terms.append(h)
+                counts.append(n)
+                held += len(h)
+                if held > SHARD_POSTINGS or len(ids) >= SHARD_DOCS:
+                    yield shard()
+                    ids, lengths, terms, counts, held = [], [], [], [], 0
+        if ids:
+            yield shard()
+
+    return run
+
+
+def _load(row: dict, name: str) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(row[name]), KINDS[name])
 
 
 def _frequencies(batches):
     for batch in batches:
-        for terms, starts in zip(batch.column(0), batch.column(1), strict=True):
-            t = np.frombuffer(zlib.decompress(terms.as_py()), np.int64)
-            n = np.diff(np.frombuffer(zlib.decompress(starts.as_py()), np.int64))
+        for row in batch.to_pylist():
+            t, n = _load(row, "terms").view(np.int64), np.diff(_load(row, "starts"))
             for i in range(0, len(t), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(t[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], ["term", "n"])
 
 
 class Shard:
-    """One shard's postings, with impacts for the corpus's mean length and their bounds."""
+    """One shard's postings, with the counts of its frequent words by document."""
 
     def __init__(self, row: dict, mean_length: float):
-        load = lambda k, t: np.frombuffer(zlib.decompress(row[k]), t)
-        self.ids, self.known = load("ids", np.int64).reshape(2, -1)
-        self.terms, self.starts, self.docs = load("terms", np.uint64), load("starts", np.int64), load("docs", np.int32)
-        count, length = load("counts", np.int32).astype(np.float64), load("lengths", np.int64)
-        self.impact = count * (K1 + 1) / (count + K1 * (1 - B + B * length[self.docs] / max(mean_length, 1e-9)))
-        sizes = np.diff(self.starts)
-        self.bound = np.maximum.reduceat(self.impact, self.starts[:-1]) if len(self.terms) else self.impact
-        # Blocks start anew with each term.
-        n_blocks = -(-sizes // BLOCK)
-        self.first_block = np.concatenate([[0], np.cumsum(n_blocks)])
-        inner = np.arange(self.first_block[-1]) - np.repeat(self.first_block[:-1], n_blocks)
-        block_starts = np.repeat(self.starts[:-1], n_blocks) + inner * BLOCK
-        self.block_max = np.maximum.reduceat(self.impact, block_starts) if len(block_starts) else self.impact
-        self.block_first = self.docs[block_starts] if len(block_starts) else self.docs
-        self.score = np.zeros(len(self.ids))
-
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        self.ids, self.known = _load(row, "ids").reshape(2, -1)
+        self.lengths, self.terms, self.starts, counts, frequent = (_load(row, k) for k in ("lengths", "terms", "starts", "counts", "frequent"))
+        self.docs = _load(row, "docs").astype(np.int64)
+        self.impacts = impact(counts, self.lengths[self.docs], mean_length)
+        self.mean_length, self.n_blocks = mean_length, -(-len(self.ids) // BLOCK)
+        self.maxima = _load(row, "maxima").reshape(len(frequent), self.n_blocks).astype(np.float32) * np.float32((K1 + 1) / 255)
+        self.place = np.full(len(self.terms), -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.often = np.zeros((len(self.ids), len(frequent)))
+        for k, t in enumerate(frequent.tolist()):
+            a, b = self.starts[t], self.starts[t + 1]
+            self.often[self.docs[a:b], k] = self.impacts[a:b]
+
+    def bounds(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Bounds of what frequent words add, by query and block, with room for the rounding of single precision."""
+        weights = np.zeros((len(queries), len(self.maxima)), np.float32)
+        for i, (terms, idf) in enumerate(queries):
+            own = self.place[terms]
+            weights[i, own[own >= 0]] = idf[own >= 0]
+        return (weights @ self.maxima).astype(np.float64) * (1 + 1e-4)
+
+    def _sums(self, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """What the lists of these words add to each document, and to none for the rest of the last block."""
+        begin, n = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
+        short = n <= LONG
+        size = n[short]
+        at = np.repeat(begin[short] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        out = np.bincount(self.docs[at], self.impacts[at] * np.repeat(idf[short], size), minlength=self.n_blocks * BLOCK)
+        for a, b, w in zip(begin[~short].tolist(), (begin + n)[~short].tolist(), idf[~short].tolist(), strict=True):
+            out[self.docs[a:b]] += w * self.impacts[a:b]
+        return out
+
+    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, floor: float, block_bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) that may be among the k best, all with rounded scores of at least ``floor``."""
-        least, floor = floor, floor - 10.0**-DIGITS  # a score may be less than what it is rounded to
-        order = np.argsort(-(idf * self.bound[terms]), kind="stable")
-        terms, idf = terms[order], idf[order]
-        rest = np.append(np.cumsum((idf * self.bound[terms])[::-1])[::-1], 0.0)
-        score, seen, i = self.score, [], 0
-        while i < len(terms) and not rest[i] < floor:
-            for j in range(i, min(i + 16, len(terms))):
-                a, b = self.starts[terms[j]], self.starts[terms[j] + 1]
-                score[self.docs[a:b]] += idf[j] * self.impact[a:b]
-                seen.append(self.docs[a:b])
-            i = min(i + 16, len(terms))
-            if i < len(terms) and rest[i] > 0 and sum(map(len, seen)) >= k:
-                positive = score[score > 0]
-                if len(positive) > k:
-                    floor = max(floor, float(np.partition(positive, -k)[-k]) - 10.0**-DIGITS)
-        maybe = np.flatnonzero(score > 0)
-        maybe = maybe[score[maybe] + rest[i] >= floor]
-        if i < len(terms) and len(maybe):
-            # The blocks that the remaining documents lie in bound what the remaining lists can add.
-            bound = score[maybe].copy()
-            for j in range(i, len(terms)):
-                a, b = self.first_block[terms[j]], self.first_block[terms[j] + 1]
-                at = np.searchsorted(self.block_first[a:b], maybe, "right") - 1
-                bound += np.where(at >= 0, idf[j] * self.block_max[a + np.maximum(at, 0)], 0.0)
-            maybe = maybe[bound >= floor]
-            for j in range(i, len(terms)):
-                a, b = self.starts[terms[j]], self.starts[terms[j] + 1]
-                at = np.minimum(np.searchsorted(self.docs[a:b], maybe), b - a - 1)
-                hit = self.docs[a:b][at] == maybe
-                score[maybe[hit]] += idf[j] * self.impact[a:b][at[hit]]
-        found = np.round(score[maybe], DIGITS)
-        for part in seen:
-            score[part] = 0.0
-        score[maybe] = 0.0
-        keep = found >= least
-        maybe, found = maybe[keep], found[keep]
-        if len(maybe) > k:
-            best = np.lexsort((self.ids[maybe], -found))[:k]
-            maybe, found = maybe[best], found[best]
-        return maybe, found
+        place = self.place[terms]
+        rare = place < 0
+        columns, weights = place[~rare], idf[~rare]
+        sums = self._sums(terms[rare], idf[rare])
+        bound = (sums.reshape(self.n_blocks, BLOCK) + block_bounds[:, None]).ravel()[: len(self.ids)]
+
+        def scores_of(docs: np.ndarray) -> np.ndarray:
+            return np.round(sums[docs] + self.often[docs[:, None], columns[None, :]] @ weights, DIGITS)
+
+        low = max(floor - 10.0**-DIGITS, 1e-12)  # a score may be less than what it is rounded to
+        found = np.flatnonzero(bound >= low)
+        if len(found) > 4 * k:
+            order = np.argpartition(bound[found], len(found) - 4 * k)
+            found, later = found[order[len(found) - 4 * k :]], found[order[: len(found) - 4 * k]]
+            scores = scores_of(found)
+            least = max(floor, float(np.partition(scores, -k)[-k]))
+            later = later[bound[later] >= least - 10.0**-DIGITS]
+            found, scores = np.concatenate([found, later]), np.concatenate([scores, scores_of(later)])
+        else:
+            scores = scores_of(found)
+        keep = (scores >= floor) & (scores > 0)
+        found, scores = found[keep], scores[keep]
+        if len(found) > k:
+            best = np.lexsort((self.ids[found], -self.known[found], -scores))[:k]
+            found, scores = found[best], scores[best]
+        return found, scores
 
 
 def _search(block, mean_length: float, k: int):
@@ -161,17 +222,17 @@ def _search(block, mean_length: float, k: int):
                     continue
                 at = np.minimum(np.searchsorted(shard.terms, distinct), len(shard.terms) - 1)
                 at = np.where(shard.terms[at] == distinct, at, -1)
-                query, doc, score = [], [], []
-                for q in range(len(ids)):
-                    lo, hi = offsets[q], offsets[q + 1]
-                    own = at[back[lo:hi]]
-                    here = own >= 0
-                    if here.any():
-                        docs, found = shard.top(own[here], idf[lo:hi][here], k, floors[q])
-                        query += [ids[q]] * len(docs)
-                        doc += [int(i) if yes else None for i, yes in zip(shard.ids[docs], shard.known[docs], strict=True)]
-                        score += found.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(doc, pa.int64()), pa.array(score, pa.float64())], ["query_id", "id", "score"])
+                for lo in range(0, len(ids), AT_ONCE):
+                    some, query, doc, score = range(lo, min(lo + AT_ONCE, len(ids))), [], [], []
+                    own = [at[back[offsets[q] : offsets[q + 1]]] for q in some]
+                    asked = [(t[t >= 0], idf[offsets[q] : offsets[q + 1]][t >= 0]) for q, t in zip(some, own, strict=True)]
+                    for q, (t, w), bounds in zip(some, asked, shard.bounds(asked), strict=True):
+                        if len(t):
+                            docs, found = shard.top(t, w, k, floors[q], bounds)
+                            query += [ids[q]] * len(docs)
+                            doc += [int(i) if yes else None for i, yes in zip(shard.ids[docs], shard.known[docs], strict=True)]
+                            score += found.tolist()
+                    yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(doc, pa.int64()), pa.array(score, pa.float64())], ["query_id", "id", "score"])
 
     return run
 
@@ -187,13 +248,14 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     Words are lower-cased (A-Z) and split at ASCII white space; a query counts each distinct word of its whole text
     once.  Documents without a word of the query don't match, so a query may have fewer than k rows; null and empty
     texts match nothing.  Queries of one id are one query; null query ids are none; null document ids are found and
-    come last among ties.  Repeated rows are separate documents.
+    come last among ties.  Repeated rows are separate documents.  Empty tables give no rows; other columns play no part.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "search")
-    index = scratch.table(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_index, INDEX), "index", maxRecordsPerFile=4)  # a shard is large
-    n_docs, total = docs.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)))).first()
+    n_docs, total = docs.agg(F.count(F.lit(1)), F.sum(word_count(F.col(text_col)))).first()
     mean_length = (total or 0) / max(1, n_docs)
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    index = scratch.table(source.mapInArrow(_index(mean_length), INDEX), "index", maxRecordsPerFile=4)  # a shard is large
 
     def query_terms(batches):
         for batch in batches:
@@ -204,29 +266,38 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
                 terms.append(h)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), pa.array(np.concatenate(terms).view(np.int64))], ["query_id", "term"])
 
-    asked = queries.where(F.col(query_id).isNotNull()).select(F.col(query_id).cast("long").alias("query_id"), F.col(query_text).alias("text")).mapInArrow(query_terms, "query_id long, term long").distinct()
-    df = index.select("terms", "starts").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    asked = queries.where(F.col(query_id).isNotNull()).select(F.col(query_id).cast("long").alias("query_id"), F.col(query_text).alias("text")).mapInArrow(query_terms, "query_id long, term long")
+    asked = scratch.table(asked.distinct(), "terms")
+    wanted = asked.select("term").distinct()
+    df = index.select("terms", "starts").mapInArrow(_frequencies, "term long, n long").join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
     idf = F.log(1 + (F.lit(float(n_docs)) - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    asked = scratch.table(asked.join(df, "term").groupBy("query_id").agg(F.collect_list(F.struct("term", idf.alias("idf"))).alias("terms")), "asked")  # a query's own words
+    n_blocks = -(-asked.count() // block_terms)
+    number = F.pmod(F.xxhash64(F.lit(23), "query_id"), F.lit(max(1, n_blocks))).cast("int").alias("block")
+    weighted = asked.join(df, "term").groupBy("query_id").agg(F.collect_list("term").alias("terms"), F.collect_list(idf).alias("idf"))  # a query's own words
+    weighted = scratch.table(weighted.select("query_id", "terms", "idf", number), "asked")
     n_shards = index.count()
-    first = min(1.0, 8 / max(1, n_shards))
-    edges = [0.0, first]
+    edges = [0.0, min(1.0, 8 / max(1, n_shards))]
     while edges[-1] < 1:
         edges.append(min(1.0, edges[-1] * 4))
     done = []
-    for number, part in enumerate(_blocks(asked, block_terms)):
-        floors = np.zeros(len(part[0]))
-        hits = None
+    for b in range(n_blocks):
+        block = weighted.where(F.col("block") == b).toArrow().combine_chunks()  # about ``block_terms`` terms
+        if not block.num_rows:
+            continue
+        sizes = np.array(block.column("terms").combine_chunks().value_lengths())
+        flat = lambda c: block.column(c).combine_chunks().flatten().to_numpy()
+        part = block.column("query_id").to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), flat("terms").view(np.uint64), flat("idf")
+        floors, hits = np.zeros(block.num_rows), None
         for step, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
-            block = spark.sparkContext.broadcast((*part, floors))
+            shared = spark.sparkContext.broadcast((*part, floors))
             some = index.where((F.col("share") >= lo) & (F.col("share") < (hi if hi < 1 else 2)))
-            new = some.mapInArrow(_search(block, mean_length, k), "query_id long, id long, score double")
-            best = scratch.table(_best(new if hits is None else hits.unionByName(new), k).select("query_id", "id", "score", "rank"), f"hits-{number}-{step}")
+            new = some.mapInArrow(_search(shared, mean_length, k), "query_id long, id long, score double")
+            best = scratch.table(_best(new if hits is None else hits.unionByName(new), k).select("query_id", "id", "score", "rank"), f"hits-{b}-{step}")
             hits = best.drop("rank")
             if hi < 1:
                 kth = {r.query_id: r.score for r in best.where(F.col("rank") == k).select("query_id", "score").collect()}  # one row a query of the block
                 floors = np.array([kth.get(q, 0.0) for q in part[0].tolist()])
-            block.unpersist()
+            shared.unpersist()
         done.append(best)
     if not done:
         return spark.createDataFrame([], "query_id long, id long, score double, rank int")
@@ -234,23 +305,3 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     for more in done[1:]:
         out = out.unionByName(more)
     return out
-
-
-def _blocks(asked: DataFrame, most: int):
-    """Blocks of queries of at most ``most`` terms, or of one query."""
-    ids, offsets, terms, idf = [], [0], [], []
-
-    def made():
-        return np.array(ids, np.int64), np.array(offsets, np.int64), np.concatenate(terms), np.concatenate(idf)
-
-    for row in asked.toLocalIterator():
-        own = np.array([t.term for t in row.terms], np.int64).view(np.uint64)
-        if ids and offsets[-1] + len(own) > most:
-            yield made()
-            ids, offsets, terms, idf = [], [0], [], []
-        ids.append(row.query_id)
-        offsets.append(offsets[-1] + len(own))
-        terms.append(own)
-        idf.append(np.array([t.idf for t in row.terms]))
-    if ids:
-        yield made()
