@@ -12,8 +12,13 @@ BUSY = ["识别失败", "请求过载", "请求超载", "服务器繁忙", "系
 #: Protocols that take no prompt.
 WITHOUT_PROMPT = ["official_multipart", "local_paddleocr_vl", "local_firered_ocr"]
 #: White space beyond ASCII that trimming removes as well.
-BLANK = r"[\s\x{0085}\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]"
+BLANK = r"[\s\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: Chinese numerals of numbered headings, and the patterns of those that aren't Arabic with their levels.
 _NUMERAL = "一二三四五六七八九十百"
+NUMBERED = [(f"^第[{_NUMERAL}0-9]+章", 2), (f"^第[{_NUMERAL}0-9]+[节条]", 3), (f"^[{_NUMERAL}]+[、．.]", 2), (f"^[（(][{_NUMERAL}0-9]+[）)]", 4)]
+#: What a heading's signature leaves out besides white space, and the ends of a sentence.
+PUNCTUATION = r"#：:，,。．.、（）()\-—_"
+SENTENCE_ENDS = "。；;，,"
 
 
 def strip(text: Column) -> Column:
@@ -22,7 +27,7 @@ def strip(text: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    return F.split(text, "\r\n|\n|\r")
+    return F.split(text, r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{0085}\x{2028}\x{2029}]")
 
 
 def strip_fence(text: Column) -> Column:
@@ -45,14 +50,10 @@ def numbered_level(text: Column) -> Column:
     arabic = r"^(\d+(?:\.\d+){0,4})(?:[\s\x{3000}、．]|$)"
     number = F.regexp_extract(value, arabic, 1)
     dots = F.length(number) - F.length(F.replace(number, F.lit("."), F.lit("")))
-    return (
-        F.when((number != "") & ((dots > 0) | (F.length(F.regexp_replace(number, "^0+", "")) <= 2)), F.least(F.lit(5), dots + 2))
-        .when(number != "", F.lit(None).cast("int"))
-        .when(value.rlike(f"^第[{_NUMERAL}0-9]+章"), F.lit(2))
-        .when(value.rlike(f"^第[{_NUMERAL}0-9]+[节条]"), F.lit(3))
-        .when(value.rlike(f"^[{_NUMERAL}]+[、．.]"), F.lit(2))
-        .when(value.rlike(f"^[（(][{_NUMERAL}0-9]+[）)]"), F.lit(4))
-    )
+    out = F.when((number != "") & ((dots > 0) | (F.length(F.regexp_replace(number, "^0+", "")) <= 2)), F.least(F.lit(5), dots + 2)).when(number != "", F.lit(None).cast("int"))
+    for pattern, level in NUMBERED:
+        out = out.when(value.rlike(pattern), F.lit(level))
+    return out
 
 
 def heading_marks(line: Column) -> Column:
@@ -66,7 +67,7 @@ def heading_text(line: Column) -> Column:
 
 def signature(text: Column) -> Column:
     """A heading without white space and punctuation, lower-cased."""
-    return F.lower(F.regexp_replace(text, r"[\s\x{3000}#：:，,。．.、（）()\-—_]", ""))
+    return F.lower(F.regexp_replace(text, rf"[\s\x{{3000}}{PUNCTUATION}]", ""))
 
 
 def preview(text: Column, most: int = 240) -> Column:
@@ -105,27 +106,39 @@ def part_name(index: Column, column: Column, x: Column) -> Column:
     return F.format_string("part_%03d_c%02d_x%05d.png", index.cast("int"), column.cast("int"), x.cast("int"))
 
 
+_OUTER = "struct<success:string,message:string,result:struct<result:string>>"
+_INNER = "struct<choices:array<struct<message:struct<content:string>>>>"
+
+
 def response_content(payload: Column) -> Column:
     """A struct (content, error) of a service's nested response.
 
     ``error`` is ``permanent``, ``temporary``, ``empty`` or null.  The inner result may be a JSON string; the content
-    may be a string or a list of texts.
+    may be a string or a list of texts.  Each level is parsed once: a one-element array carries what it gives on.
     """
-    get = F.get_json_object
-    message = F.coalesce(get(payload, "$.message"), F.lit("success=false"))
-    inner = get(payload, "$.result.result")
-    content = get(inner, "$.choices[0].message.content")
-    listed = F.array_join(F.transform(F.from_json(content, "array<struct<text:string>>"), lambda x: F.coalesce(x["text"], F.lit(""))), "")
-    text = strip_fence(F.when(content.rlike(r"^\s*\[\s*\{"), F.coalesce(listed, content)).otherwise(content))
-    failed = F.coalesce(get(payload, "$.success"), F.lit("")) != "true"
-    error = (
-        F.when(failed & F.lower(message).contains("content is empty"), "empty")
-        .when(failed & is_busy(message), "temporary")
-        .when(failed | get(payload, "$.result").isNull() | inner.isNull() | content.isNull(), "permanent")
-        .when(text == "", "empty")
-        .when((F.length(text) <= 240) & is_busy(text), "temporary")
-    )
-    return F.struct(F.when(error.isNull(), text).alias("content"), error.alias("error"))
+    with_one = lambda value, f: F.transform(F.array(value), f)[0]
+
+    def told(outer: Column) -> Column:
+        content = F.from_json(outer["result"]["result"], _INNER)["choices"][0]["message"]["content"]
+        return with_one(content, lambda c: with_one(stripped(c), lambda text: judged(outer, c, text)))
+
+    def stripped(content: Column) -> Column:
+        listed = F.array_join(F.transform(F.from_json(content, "array<struct<text:string>>"), lambda x: F.coalesce(x["text"], F.lit(""))), "")
+        return strip_fence(F.when(content.rlike(r"^\s*\[\s*\{"), F.coalesce(listed, content)).otherwise(content))
+
+    def judged(outer: Column, content: Column, text: Column) -> Column:
+        message = F.coalesce(outer["message"], F.lit("success=false"))
+        failed = F.coalesce(outer["success"], F.lit("")) != "true"
+        error = (
+            F.when(failed & F.lower(message).contains("content is empty"), "empty")
+            .when(failed & is_busy(message), "temporary")
+            .when(failed | content.isNull(), "permanent")
+            .when(text == "", "empty")
+            .when((F.length(text) <= 240) & is_busy(text), "temporary")
+        )
+        return F.struct(F.when(error.isNull(), text).alias("content"), error.alias("error"))
+
+    return with_one(F.from_json(payload, _OUTER), told)
 
 
 @F.pandas_udf(StringType())
@@ -147,5 +160,5 @@ def heading_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     import re
     from difflib import SequenceMatcher
 
-    plain = lambda s: re.sub(r"[\s#：:，,。．.、（）()\-—_]", "", s or "").lower()
+    plain = lambda s: re.sub(rf"[\s{PUNCTUATION}]", "", s or "").lower()
     return pd.Series([SequenceMatcher(None, plain(a), plain(b)).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")

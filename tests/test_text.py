@@ -4,6 +4,8 @@ import hashlib
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lamina.functions import boxes as B
@@ -95,42 +97,83 @@ def test_split_trigger(spark):
     assert split(1088, 3900) and not split(1088, 1800)
 
 
-def test_restore_levels_and_budget():
-    hints = [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
-    text = "保险条款\n正文内容，很长。\n## 1 总则\n1.1 范围\n1.1.1 定义\n1）枚举"
-    assert H.restore(text, hints) == "# 保险条款\n正文内容，很长。\n## 1 总则\n### 1.1 范围\n#### 1.1.1 定义\n1）枚举"
-    assert H.restore("目录\n1 总则", [("a", 1)], "table_of_contents") == "# 目录\n1 总则"
+HINTS = "array<struct<heading_id:string,level:int>>"
 
 
-def test_align_and_definitions():
-    assert H.align("### a\n#### b\n#### c", [2, 3]) == "## a\n### b\n### c"
-    assert H.align("**x**\n正文\n**y**", [2, 3]) == "## x\n正文\n### y"
-    assert H.align("# 长标题\n# 的后半", [1, 1]) == "# 长标题 的后半"
-    assert H.promote_definitions("**1. 甲：**\n**2. 乙：**\n**3. 丙：**") == "#### 1. 甲：\n#### 2. 乙：\n#### 3. 丙："
-    assert H.promote_definitions("**1. 甲：**\n**2. 乙：**") == "**1. 甲：**\n**2. 乙：**"
-    assert H.renumber("### 1 总则\n# 1.1 范围\n## 1.1.1 定义\n1 正文") == "## 1 总则\n### 1.1 范围\n#### 1.1.1 定义\n1 正文"
+def repaired(spark, f, text, hints=None, kind=HINTS, last=None):
+    frame = spark.createDataFrame([(text, hints, last)], f"t string, h {kind}, r {'boolean' if isinstance(last, bool) else 'string'}")
+    return frame.select(f(F.col("t"), F.col("h"), F.col("r")).alias("v")).first().v
 
 
-def test_context_is_removed_once():
-    assert H.strip_context("# 甲\n## 乙\n正文\n## 乙", ["甲", "乙"], True) == "正文\n## 乙"
-    assert H.strip_context("## 乙\n正文", ["甲", "乙"], True) == "正文"
-    assert H.strip_context("# 甲\n正文", ["甲"], False) == "# 甲\n正文"
+def test_restore_levels_and_budget(spark):
+    restore = lambda *a: repaired(spark, H.restore, *a)
+    hints = [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    text = "保险条款\n正文内容，很长。\n## 1 总则\n1.1 范围\n1.1.1 定义\n1）枚举"
+    assert restore(text, hints) == "# 保险条款\n正文内容，很长。\n## 1 总则\n### 1.1 范围\n#### 1.1.1 定义\n1）枚举"
+    assert repaired(spark, H.restore, "目录\n1 总则", [("a", 1)], HINTS, "table_of_contents") == "# 目录\n1 总则"
+    assert restore("# A\n# B\n# C", [("a", 1), ("b", 2), ("a", 3), ("c", 3)]) == "# A\n## B\n### C"  # an id counts once
+    assert restore("1 甲\n2 乙\n3 丙", [("a", 2), ("b", 2)]) == "## 1 甲\n## 2 乙\n3 丙"  # no more than hinted
+    assert restore("# x", None) == "# x" and restore(None, hints) is None and restore("", hints) == ""
+
+
+def test_align_and_definitions(spark):
+    align = lambda text, levels: repaired(spark, lambda t, h, r: H.align(t, h), text, levels, "array<int>")
+    promote = lambda text, known=False: repaired(spark, lambda t, h, r: H.promote_definitions(t, r), text, None, HINTS, known)
+    assert align("### a\n#### b\n#### c", [2, 3]) == "## a\n### b\n### c"
+    assert align("### a\n#### b", [2, 3]) == "## a\n### b" and align("# a\n###### b\nx", [3]) == "### a\n###### b\nx"
+    assert align("**x**\n正文\n**y**", [2, 3]) == "## x\n正文\n### y" and align("**x**", [2, 3]) == "**x**"
+    assert align("# 长标题\n# 的\n# 后半\n\n# 另一", [1, 1, 1, 1]) == "# 长标题 的 后半\n\n# 另一" and align("x", None) == "x"
+    three = "**1. 甲：**\n**2. 乙：**\n**3. 丙：**"
+    assert promote(three) == "#### 1. 甲：\n#### 2. 乙：\n#### 3. 丙：" and promote(three, True) == three
+    assert promote("**1. 甲：**\n**2. 乙：**") == "**1. 甲：**\n**2. 乙：**" and promote("**1. 甲：**\n**9. 乙：**\n**5. 丙：**\n**2. 丁：**") == "**1. 甲：**\n**9. 乙：**\n**5. 丙：**\n**2. 丁：**"
+    renumber = lambda t: repaired(spark, lambda t, h, r: H.renumber(t), t)
+    assert renumber("### 1 总则\n# 1.1 范围\n## 1.1.1 定义\n1 正文") == "## 1 总则\n### 1.1 范围\n#### 1.1.1 定义\n1 正文"
+
+
+def test_context_is_removed_once(spark):
+    strip = lambda text, context, already: repaired(spark, H.strip_context, text, context, "array<string>", already)
+    assert strip("# 甲\n\n## 乙\n正文\n## 乙", ["甲", "乙"], True) == "正文\n## 乙"
+    assert strip("## 乙\n正文", ["甲", "乙"], True) == "正文" and strip("# 甲\n## 丙\n正文", ["甲", "乙", "丙"], True) == "正文"
+    assert strip("## 丙\n正文", ["甲", "乙", "丙"], True) == "## 丙\n正文"  # two are missing
+    assert strip("# 甲\n正文", ["甲"], False) == "# 甲\n正文" and strip("正文", [], True) == "正文"
 
 
 def test_overlaps_join_once():
     shared = "0123456789" * 3
-    assert M.join_overlap("left " + shared, shared + " right") == f"left {shared} right"
-    assert M.join_overlap("a\nb c", "b  c\nd") == "a\nb c\nd"
-    assert M.join_overlap("a", "b") == "a\nb" and M.join_overlap("", "b") == "b"
-
-
-def test_parts_keep_the_first_header():
-    assert M.merge_parts([("# 目录\n第一部分", 0), ("# 目录\n\n第二部分", 0)]) == "# 目录\n第一部分\n\n第二部分"
-    assert M.merge_parts([]) == ""
-
-
-def test_pack_repair():
-    assert H.repair_pack("# 8 释义\n正文", [("a", 2)]) == "## 8 释义\n正文"
-    assert H.repair_pack("# 一、概述\n正文", [("a", 3)]) == "### 一、概述\n正文"
-    assert H.repair_pack("保险条款\n正文。", [("a", 1)]) == "# 保险条款\n正文。"
-    assert H.repair_pack("目录\n1 总则", [("a", 1)], "table_of_contents") == "# 目录\n1 总则"
+    assert M.seam_of("left " + shared, shared + " right") == f"left {shared} right"
+    assert M.seam_of("a\nb c", "b  c\nd") == "a\nb c\nd"
+    assert M.seam_of("a", "b") == "a\nb" and M.seam_of("", "b") == "b"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab\n ", max_size=70), st.text("ab\n ", max_size=70), st.booleans())
+def test_seams_equal_brute_force(left, right, overlapping):
+    right = left[-25:] + right if overlapping else right
+    a, b = left.rstrip(), right.lstrip()
+    n = max((k for k in range(20, min(len(a), len(b)) + 1) if a[-k:] == b[:k]), default=0)
+    if not a or not b:
+        wanted = a or b
+    elif n:
+        wanted = a + b[n:]
+    else:
+        bare, x, y = (lambda rows: ["".join(r.split()) for r in rows]), a.splitlines(), b.splitlines()
+        m = max((k for k in range(1, min(len(x), len(y), 20) + 1) if bare(x[-k:]) == bare(y[:k])), default=0)
+        wanted = "\n".join(x + y[m:]).strip() if m else f"{a}\n{b}"
+    assert M.seam_of(left, right) == wanted
+
+
+def test_parts_keep_the_first_header(spark):
+    shared = "0123456789" * 3
+    rows = [(1, 0, "# 目录\n第一部分", 0), (1, 1, "# 目录\n\n第二部分", 0), (2, 0, "x", 0), (3, 0, f"# A\n## B\nend {shared}", 0), (3, 1, f"# A\n\n## B!\n{shared} more\n# A", 5), (4, 0, "", 0), (4, 1, "# T\ny", 0), (4, 2, None, 0)]
+    parts = spark.createDataFrame(rows, "k int, n int, markdown string, overlap_top int")
+    got = {r.k: r.markdown for r in M.merged(parts, "k", ["n"], headings=2).collect()}
+    assert got == {1: "# 目录\n第一部分\n\n第二部分", 2: "x", 3: f"# A\n## B\nend {shared} more\n# A", 4: "# T\ny"}
+    assert M.merged(parts.limit(0), "k", ["n"]).count() == 0
+
+
+def test_pack_repair(spark):
+    repair = lambda *a: repaired(spark, H.repair_pack, *a)
+    assert repair("# 8 释义\n正文", [("a", 2)]) == "## 8 释义\n正文"
+    assert repair("# 一、概述\n正文", [("a", 3)]) == "### 一、概述\n正文"
+    assert repair("保险条款\n正文。", [("a", 1)]) == "# 保险条款\n正文。"
+    assert repaired(spark, H.repair_pack, "目录\n1 总则", [("a", 1)], HINTS, "table_of_contents") == "# 目录\n1 总则"
