@@ -22,14 +22,19 @@ def _distinct(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("sha256").agg(F.min("file_name").alias("canonical"), F.array_sort(F.collect_list("file_name")).alias("file_names"), F.first("h").alias("h")).select("sha256", "canonical", "file_names", "h.*")
 
 
-def prepare_long(spark: SparkSession, folder: str, config: LongConfig) -> DataFrame:
+def unreadable(distinct: DataFrame) -> DataFrame:
+    """Images whose header tells no size, as failure rows: they are reported, and the others go on."""
+    return distinct.where("height IS NULL OR width IS NULL").select("sha256", "file_names", F.coalesce("format", F.lit("unknown format")).alias("format"), F.lit("the header tells no size").alias("error"))
+
+
+def prepare_long(distinct: DataFrame, config: LongConfig) -> DataFrame:
     """Detection windows of each distinct tall image."""
-    return spans.detection_windows(_distinct(spark, folder).where("height IS NOT NULL"), "sha256", "height", config.window_height, config.window_stride)
+    return spans.detection_windows(distinct.where("height IS NOT NULL AND width IS NOT NULL"), "sha256", "height", config.window_height, config.window_stride)
 
 
-def prepare_tables(spark: SparkSession, folder: str, config: TableConfig) -> DataFrame:
+def prepare_tables(distinct: DataFrame, config: TableConfig) -> DataFrame:
     """Tiles of each distinct table image at native scale."""
-    return spans.pixel_tiles(_distinct(spark, folder).where("height IS NOT NULL"), "sha256", "width", "height", config.max_side, config.overlap)
+    return spans.pixel_tiles(distinct.where("height IS NOT NULL AND width IS NOT NULL"), "sha256", "width", "height", config.max_side, config.overlap)
 
 
 def combine(spark: SparkSession, template: str, branches: list[str], out: str) -> None:
@@ -63,7 +68,9 @@ def main(args: list[str] | None = None) -> None:
     else:
         kind, run = (LongConfig, prepare_long) if told.command == "prepare-long" else (TableConfig, prepare_tables)
         config = kind.from_json(told.config) if told.config else kind()
-        found = run(spark, told.folder, config).withColumn("config_digest", F.lit(config.digest()))
+        distinct = _distinct(spark, told.folder)
+        unreadable(distinct).write.mode("overwrite").parquet(f"{told.out}-failures")
+        found = run(distinct, config).withColumn("config_digest", F.lit(config.digest()))
     found.write.mode("overwrite").parquet(told.out)
     return None
 

@@ -28,11 +28,15 @@ def column_projection(raster: DataFrame, key: str, below: int = 0) -> DataFrame:
     return raster.where(F.col("y") >= below).groupBy(key, "x").agg(F.count_if("ink").alias("ink_count"), F.count(F.lit(1)).alias("pixels")).withColumn("ratio", F.col("ink_count") / F.col("pixels"))
 
 
-def islands(values: DataFrame, by: list[str], position: str, flag: Column, least: int = 1) -> DataFrame:
-    """(by, start, end, length): maximal runs of consecutive positions where ``flag`` holds."""
+def islands(values: DataFrame, by: list[str], position: str, flag: Column, least: int = 1, mean: str | None = None) -> DataFrame:
+    """(by, start, end, length): maximal runs of consecutive positions where ``flag`` holds.
+
+    ``mean`` names a column whose average over each run is wanted as well, as ``mean``.
+    """
     w = Window.partitionBy(*by).orderBy(position)
     marked = values.where(flag).withColumn("_run", F.col(position) - F.row_number().over(w))
-    runs = marked.groupBy(*by, "_run").agg(F.min(position).alias("start"), (F.max(position) + 1).alias("end"))
+    more = [F.avg(mean).alias("mean")] if mean else []
+    runs = marked.groupBy(*by, "_run").agg(F.min(position).alias("start"), (F.max(position) + 1).alias("end"), *more)
     return runs.withColumn("length", F.col("end") - F.col("start")).where(F.col("length") >= least).drop("_run")
 
 
@@ -43,11 +47,9 @@ def choose_boundary(projection: DataFrame, by: list[str], position: str, value:
     of least ink nearest the target.
     """
     inside = projection.where((F.col(position) >= F.col(lower)) & (F.col(position) <= F.col(upper)))
-    bands = islands(inside, [*by, target], position, F.col(value) <= blank, least)
-    b = bands.withColumnRenamed("start", "_s").withColumnRenamed("end", "_e")
-    means = b.join(inside.select(*by, position, value), by).where((F.col(position) >= F.col("_s")) & (F.col(position) < F.col("_e"))).groupBy(*by, target, "_s", "_e").agg(F.avg(value).alias("_m"))
-    middle = F.floor((F.col("_s") + F.col("_e")) / 2)
-    best = means.groupBy(*by).agg(F.min(F.struct(F.abs(middle - F.col(target)).alias("d"), F.col("_m").alias("m"), middle.alias("at"))).alias("_band"))
+    bands = islands(inside, [*by, target], position, F.col(value) <= blank, least, value)
+    middle = F.floor((F.col("start") + F.col("end")) / 2)
+    best = bands.groupBy(*by).agg(F.min(F.struct(F.abs(middle - F.col(target)).alias("d"), F.col("mean").alias("m"), middle.alias("at"))).alias("_band"))
     row = inside.groupBy(*by).agg(F.min(F.struct(F.col(value).alias("v"), F.abs(F.col(position) - F.col(target)).alias("d"), F.col(position).alias("at"))).alias("_row"))
     joined = row.join(best, by, "left")
     method = F.when(F.col("_band").isNotNull(), "blank_band").when(F.col("_row.v") <= blank * 5, "minimum_ink").otherwise("fallback_overlap")
@@ -57,12 +59,13 @@ def choose_boundary(projection: DataFrame, by: list[str], position: str, value:
 def column_gutter(projection: DataFrame, key: str, width: DataFrame, blank: float = 0.002) -> DataFrame:
     """(key, boundary): the middle of the blank band nearest the centre of a page, between 28 % and 72 % of its width.
 
-    ``width`` is (key, w).  Pages without one have no row: they are a single column.
+    Of bands equally near the one with less ink wins, then the left one.  ``width`` is (key, w).  Pages without one have
+    no row: they are a single column.
     """
     sized = projection.join(width, key).where((F.col("x") >= F.bround(F.col("w") * 0.28)) & (F.col("x") < F.bround(F.col("w") * 0.72)))
-    bands = islands(sized, [key, "w"], "x", F.col("ratio") <= blank).where(F.col("length") >= F.greatest(F.lit(12), F.bround(F.col("w") * 0.02)))
+    bands = islands(sized, [key, "w"], "x", F.col("ratio") <= blank, mean="ratio").where(F.col("length") >= F.greatest(F.lit(12), F.bround(F.col("w") * 0.02)))
     middle = F.floor((F.col("start") + F.col("end")) / 2)
-    return bands.groupBy(key).agg(F.min(F.struct(F.abs(middle - F.floor(F.col("w") / 2)).alias("d"), F.col("start").alias("s"), middle.alias("at"))).alias("b")).select(key, F.col("b.at").alias("boundary"))
+    return bands.groupBy(key).agg(F.min(F.struct(F.abs(middle - F.floor(F.col("w") / 2)).alias("d"), F.col("mean").alias("m"), F.col("start").alias("s"), middle.alias("at"))).alias("b")).select(key, F.col("b.at").alias("boundary"))
 
 
 def content_box(raster: DataFrame, key: str, least: int = 1) -> DataFrame:

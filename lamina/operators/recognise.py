@@ -5,6 +5,8 @@ Failures are columns of a row, never exceptions of the job; the policies decide
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -64,19 +66,31 @@ def run_model(work: DataFrame, keys: list[str], factory: Callable[[], Callable[[
     return work.mapInPandas(run, f"{schema}, {RESULT}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a table written once to the folder that the cluster shares (its checkpoint folder)."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
+    path = f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def recognise(work: DataFrame, cache: DataFrame, keys: list[str], factory, skip: Column | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """(results of all keys, the cache with new results): distinct keys that miss run once, blank ones not at all.
 
-    Failed results aren't stored; an empty one that was confirmed is, so it isn't asked for again.
+    A null ``skip`` doesn't skip.  Failed results aren't stored; an empty one that was confirmed is, so it isn't asked
+    for again.  New results are written before they are used, so reading both tables runs the model once.
     """
     todo = misses(work.dropDuplicates(keys), cache, keys)
-    blank = todo.where(skip) if skip is not None else todo.where(F.lit(False))
-    asked = todo.where(~skip) if skip is not None else todo
-    made = run_model(asked, keys, factory, **options)
-    none = blank.select(*keys, F.lit("").alias("result"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"))
-    new = made.unionByName(none)
-    now = F.current_timestamp()
-    stored = upsert(cache, new.where("error IS NULL").select(*keys, "result", now.alias("created_at")), keys, ["created_at"])
+    blank = F.coalesce(skip, F.lit(False)) if skip is not None else F.lit(False)
+    made = run_model(todo.where(~blank), keys, factory, **options)
+    none = todo.where(blank).select(*keys, F.lit("").alias("result"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"))
+    new = written(made.unionByName(none), "recognised")
+    stored = upsert(cache, new.where("error IS NULL").select(*keys, "result", F.current_timestamp().alias("created_at")), keys, ["created_at"])
     known = cache.select(*keys, "result", F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"))
     return known.join(work.select(*keys).distinct(), keys, "left_semi").unionByName(new), stored
 

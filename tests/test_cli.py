@@ -22,11 +22,13 @@ def test_commands(spark, tmp_path):
     folder.mkdir()
     for name in ("a.png", "b.png"):
         (folder / name).write_bytes(png(100, 5000))
+    (folder / "c.jpg").write_bytes(b"\xff\xd8\xff\xd9")  # no frame: a failure, not a stop
     main(["hash-report", str(folder), str(tmp_path / "report")])
     row = spark.read.parquet(str(tmp_path / "report")).first()
-    assert (row.image_count, row.unique_image_count, row.reusable_count, row.duplicate_groups) == (2, 1, 1, 1)
+    assert (row.image_count, row.unique_image_count, row.reusable_count, row.duplicate_groups) == (3, 2, 1, 1)
     main(["prepare-long", str(folder), str(tmp_path / "windows")])
     assert spark.read.parquet(str(tmp_path / "windows")).count() == 3
+    assert [r.file_names for r in spark.read.parquet(str(tmp_path / "windows-failures")).collect()] == [["c.jpg"]]
     main(["prepare-tables", str(folder), str(tmp_path / "tiles"), "--config", '{"max_side": 2000}'])
     assert spark.read.parquet(str(tmp_path / "tiles")).count() == 3
 

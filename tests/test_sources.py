@@ -27,6 +27,20 @@ def test_image_scan(spark, tmp_path):
     assert (found[0].h.format, found[0].h.width, found[0].h.height) == ("PNG", 70, 30)
 
 
+def test_sizes_of_all_formats(spark):
+    jpeg = b"\xff\xd8" + b"\xff\xe0" + struct.pack(">H", 16) + b"JFIF\0" + b"\0" * 9 + b"\xff\xfe" + struct.pack(">H", 300) + b"c" * 298 + b"\xff\xff\xc2" + struct.pack(">HBHHB", 17, 8, 480, 640, 3) + b"\0" * 9
+    lossy = b"RIFF\0\0\0\0WEBPVP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 640, 480)
+    lossless = b"RIFF\0\0\0\0WEBPVP8L\0\0\0\0\x2f" + struct.pack("<I", 639 | 479 << 14)
+    extended = b"RIFF\0\0\0\0WEBPVP8X\0\0\0\0\0\0\0\0" + (639).to_bytes(3, "little") + (479).to_bytes(3, "little")
+    tiff = lambda o: (b"II*\0" if o == "<" else b"MM\0*") + struct.pack(o + "I", 10) + b"\0\0" + struct.pack(o + "H", 3) + struct.pack(o + "HHIHH", 256, 3, 1, 640, 0) + struct.pack(o + "HHII", 257, 4, 1, 480) + struct.pack(o + "HHII", 258, 4, 1, 8)
+    bmp = b"BM" + b"\0" * 16 + struct.pack("<ii", 640, -480)
+    files = [("JPEG", jpeg), ("WEBP", lossy), ("WEBP", lossless), ("WEBP", extended), ("TIFF", tiff("<")), ("TIFF", tiff(">")), ("BMP", bmp), ("GIF", b"GIF89a" + struct.pack("<HH", 640, 480)), ("PNG", png(640, 480))]
+    found = spark.createDataFrame([(k, bytearray(c)) for k, c in files], "k string, c binary").select("k", images.header(F.col("c")).alias("h")).collect()
+    assert [(r.h.format, r.h.width, r.h.height) for r in found] == [(k, 640, 480) for k, _ in files]
+    broken = spark.createDataFrame([(bytearray(c),) for c in (b"\xff\xd8\xff", b"\xff\xd8\xff\xd9", b"", b"RIFF\0\0\0\0WEBP", b"II*\0", jpeg[:300], b"text")], "c binary").select(images.header(F.col("c")).alias("h"))
+    assert {(r.h.width, r.h.height) for r in broken.collect()} == {(None, None)}
+
+
 def test_submission_round_trip(spark, tmp_path):
     rows = [("b", "<table>\n\"x\",y</table>"), ("a", ""), ("c", "字" * 200_000)]
     results = spark.createDataFrame(rows, "file_name string, ground_truth string")
@@ -53,6 +67,8 @@ def test_dataset_order_and_repaired_names(spark):
     template = spark.createDataFrame([("t.png", 0), (official, 1)], "file_name string, ord int")
     found = images.resolve(template, spark.createDataFrame([(broken,)], "file_name string"), spark.createDataFrame([("t.png",)], "file_name string"))
     assert [(r.file_name, r.branch) for r in found.orderBy("ord").collect()] == [("t.png", "table"), (official, "long")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_caches(spark):
