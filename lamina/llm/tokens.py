@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import Scratch
 
 #: The pre-tokenisation pattern of the byte-level pre-tokenizer, and without its look-ahead, which only
@@ -119,11 +120,20 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str | None = None, id_
     stored = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version).select("digest") if stored else None
 
-    texts = docs.select(content.alias("text")).mapInArrow(_packed_once, "digest binary, packed binary")
-    if known is not None:
-        texts = texts.join(known, "digest", "left_anti")
+    texts = docs.select(content.alias("text"))
+    if known is None:
+        texts = texts.mapInArrow(_packed_once(), "digest binary, packed binary")
+    else:
+        # Only digests are joined to the cache; texts that miss are told by a bounded filter before they move.
+        missing = scratch.table(keys.select("digest").distinct().join(known, "digest", "left_anti"), "missing")
+        bits = bloom.filter_bits(missing.count())
+        twice = lambda batch: np.repeat(_heads(batch.column(0).to_pylist()), 2)
+        wanted = spark.sparkContext.broadcast(bloom.repeats(missing, twice, bits))
+        texts = texts.mapInArrow(_packed_once(wanted, bits), "digest binary, packed binary").join(missing, "digest", "left_semi")
     made = texts.repartition("digest").mapInArrow(_count_misses(vocabulary), CACHE_SCHEMA)
     made.write.mode("append").parquet(cache)
+    if known is not None:
+        wanted.destroy()
 
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
     # Written first: the join then stands on plain exchanges alone, of which a hot digest's can be split.
@@ -134,22 +144,33 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str | None = None, id_
 REMEMBERED = 500_000
 
 
-def _packed_once(batches):
-    import zstandard
+def _heads(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
+
+
+def _packed_once(wanted=None, bits: int = 0):
+    """Compressed texts by digest, once a task; with a broadcast filter ``wanted`` only those that pass it."""
+
+    def run(batches):
+        import zstandard
 
-    squeeze, seen = zstandard.ZstdCompressor(level=3).compress, set()
-    for batch in batches:
-        digests, packed = [], []
-        for text in batch.column(0):
-            raw = text.as_py().encode("utf-8")
-            digest = hashlib.sha256(raw).digest()
-            if digest not in seen:
-                seen.add(digest)
-                digests.append(digest)
-                packed.append(squeeze(raw))
-        if len(seen) > REMEMBERED:
-            seen.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], ["digest", "packed"])
+        squeeze, seen = zstandard.ZstdCompressor(level=3).compress, set()
+        for batch in batches:
+            new: dict[bytes, bytes] = {}
+            for text in batch.column(0):
+                raw = text.as_py().encode("utf-8")
+                digest = hashlib.sha256(raw).digest()
+                if digest not in seen:
+                    seen.add(digest)
+                    new[digest] = raw
+            if wanted is not None and new:
+                passed = bloom.contains(wanted.value, _heads(list(new)), bits)
+                new = {d: raw for (d, raw), yes in zip(new.items(), passed.tolist(), strict=True) if yes}
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array([squeeze(raw) for raw in new.values()], pa.binary())], ["digest", "packed"])
+
+    return run
 
 
 def _count_misses(vocabulary: str):
@@ -161,6 +182,8 @@ def _count_misses(vocabulary: str):
             digests, counts = [], []
             for digest, packed in zip(batch.column(0), batch.column(1), strict=True):
                 if (key := digest.as_py()) not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()  # counting a text again gives an equal row
                     seen.add(key)
                     digests.append(key)
                     counts.append(len(made.encode([expand(packed.as_py()).decode("utf-8")])[0]))
