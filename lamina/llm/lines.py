@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch
+from .common import Scratch, others
 
 SPACES = b" \t\n\v\f\r"
 #: Confirmed digests (16 bytes and an id each) are broadcast up to this number.
@@ -61,7 +61,7 @@ def drop_repeated_lines(
 
     Null and empty texts are one empty line and stay as they are (a null text stays null).  Each row counts as a
     document, repeated rows too.  Null ids come last for ``keep_first``.  Keys count as equal if their 128-bit digests
-    are.  An empty table gives no rows.
+    are.  A column named ``into`` gives way.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -101,10 +101,10 @@ def drop_repeated_lines(
     counted = texts.mapInArrow(suspects, "digest binary, n long, first_id long").groupBy("digest").agg(F.sum("n").alias("n"), F.min("first_id").alias("first_id"))
     confirmed = scratch.table(counted.where(F.col("n") >= min_docs).select("digest", "first_id"), "confirmed")
 
-    def apply(text: str | None, key: int | None, firsts) -> tuple:
+    def apply(text: str | None, key: int | None, firsts, digests: list[bytes | None]) -> tuple:
         lines = (text or "").split("\n")
         kept, met = [], set()
-        for line, d in zip(lines, _of(text, min_chars), strict=True):
+        for line, d in zip(lines, digests, strict=True):
             if d is None or d not in firsts:
                 kept.append(line)
             elif keep_first and firsts[d] == key and d not in met:
@@ -114,13 +114,28 @@ def drop_repeated_lines(
 
     fields = "text string, n_lines long, n_dropped long"
     if confirmed.count() <= broadcast_lines:
-        table = spark.sparkContext.broadcast({bytes(r.digest): r.first_id for r in confirmed.toLocalIterator()})
+        twice.destroy()  # else every worker keeps it
+        # 16 bytes a digest and 8 an id: sorted arrays, not a dict in each worker.
+        told = confirmed.orderBy("digest").toPandas()
+        digests = np.frombuffer(b"".join(map(bytes, told["digest"])), "S16") if len(told) else np.zeros(0, "S16")
+        ids = told["first_id"].astype("Int64")
+        table = spark.sparkContext.broadcast((digests, ids.fillna(0).to_numpy(np.int64), ids.notna().to_numpy()))
+
+        def firsts_of(own: list[bytes | None]) -> dict[bytes, int | None]:
+            asked = list({d for d in own if d})
+            keys, numbers, known = table.value
+            if not asked or not len(keys):
+                return {}
+            wanted = np.frombuffer(b"".join(asked), "S16")
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            return {asked[i]: int(numbers[at[i]]) if known[at[i]] else None for i in np.flatnonzero(keys[at] == wanted)}
 
         @F.pandas_udf(fields)
         def cleaned(keys: pd.Series, found: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([apply(t, None if pd.isna(k) else int(k), table.value) for k, t in zip(keys, found, strict=True)], columns=["text", "n_lines", "n_dropped"])
+            own = [_of(t, min_chars) for t in found]
+            return pd.DataFrame([apply(t, None if pd.isna(k) else int(k), firsts_of(d), d) for k, t, d in zip(keys, found, own, strict=True)], columns=["text", "n_lines", "n_dropped"])
 
-        return docs.withColumn(into, cleaned(F.col(id_col).cast("long"), F.col(text_col)))
+        return docs.select(*others(docs, into), cleaned(F.col(id_col).cast("long"), F.col(text_col)).alias(into))
 
     def lines_of(batches):
         for batch in batches:
@@ -135,18 +150,18 @@ def drop_repeated_lines(
     row_key = F.sha2(F.concat_ws("\x00", F.col(id_col).cast("string"), content), 256)
     own = docs.select(row_key.alias("row"), content.alias("text")).mapInArrow(lines_of, "row string, digest binary").join(confirmed, "digest")
     own = own.groupBy("row").agg(F.collect_set(F.struct("digest", "first_id")).alias("own"))  # no more than a row's lines
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), row_key.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    packed = docs.select(F.struct(F.lit(0).alias("__one"), *others(docs, into)).alias("kept"), row_key.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     @F.pandas_udf(fields)
     def cleaned_by_row(keys: pd.Series, found: pd.Series, digests: pd.Series, firsts: pd.Series) -> pd.DataFrame:
         rows = []
         for k, t, d, f in zip(keys, found, digests, firsts, strict=True):
             own = {} if d is None else {bytes(a): None if pd.isna(b) else int(b) for a, b in zip(d, f, strict=True)}
-            rows.append(apply(t, None if pd.isna(k) else int(k), own))
+            rows.append(apply(t, None if pd.isna(k) else int(k), own, _of(t, min_chars)))
         return pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
 
     joined = packed.join(own, "row", "left")
-    return joined.select("kept.*", cleaned_by_row("id", "text", F.col("own.digest"), F.col("own.first_id")).alias(into))
+    return joined.select("kept.*", cleaned_by_row("id", "text", F.col("own.digest"), F.col("own.first_id")).alias(into)).drop("__one")
 
 
 def _counted(held: dict[bytes, list]):
