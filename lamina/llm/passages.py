@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch
+from .common import Scratch, others
 
 #: Fixed odd multipliers of the rolling hash and its last mixing.
 BASE, STIR = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -161,7 +161,7 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     that also starts anywhere else, in the same document or another (a repeated row is another); windows are judged on
     the input.  Null text has no word and gives an empty text, as a text of white space does.  Documents of fewer than
     ``n`` words keep all.  Null ids are matched as a value.  An empty table gives no rows.  Windows count as equal if
-    their anchors' and their own 64-bit hashes are.
+    their anchors' and their own 64-bit hashes are.  A column named ``into`` gives way.
     """
     spark = docs.sparkSession
     scratch, k = Scratch(spark, "passages"), _phrase(n)
@@ -205,14 +205,16 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     salts = spark.sparkContext.broadcast({r.anchor: -(-r.n // often) for r in runs.where(F.col("n") > often).collect()})
 
     def stretches(batches):
-        table = salts.value
+        from pyspark import TaskContext
+
+        table, own = salts.value, TaskContext.get().partitionId() * 7919
         for batch in batches:
             rows, numbers, texts = [], [np.zeros((4, 0), np.int64)], []
             for row, (text_hash, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 words, _, a, at, first, after = suspected(text.as_py())
                 if len(a):
                     a = a.view(np.int64)
-                    salt = [(text_hash + i) % table[x] if x in table else 0 for x, i in zip(a.tolist(), first.tolist(), strict=True)] if table else np.zeros(len(a), np.int64)
+                    salt = [(own + row) % table[x] if x in table else 0 for x in a.tolist()] if table else np.zeros(len(a), np.int64)  # copies go to different salts
                     numbers.append(np.stack([a, np.asarray(salt, np.int64), first, at - first]))
                     rows.append(np.full(len(a), row))
                     texts += [b" ".join(words[i:j]) for i, j in zip(first.tolist(), (after + n - 1).tolist(), strict=True)]
@@ -250,7 +252,8 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     schema = "anchor long, salt long, kind int, digest long, id long, text_hash long, start long, at long, text string"
     dealt = confirmed.where(F.col("digest") != RUNS).select("anchor", "digest").mapInArrow(copies, schema).unionByName(keyed.mapInArrow(stretches, schema))
     spans = dealt.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "kind").mapInArrow(find, "id long, text_hash long, since long, upto long")
-    own = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("since", "upto")).alias("spans"))  # within one text
+    # Within one text; rows that repeat in id and text tell the same spans.
+    own = spans.groupBy("id", "text_hash").agg(F.collect_set(F.struct("since", "upto")).alias("spans"))
 
     @F.pandas_udf("text string, n_words long, n_removed long")
     def cut(texts: pd.Series, since: pd.Series, upto: pd.Series) -> pd.DataFrame:
@@ -266,9 +269,9 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
             rows.append((b" ".join(kept).decode("utf-8"), len(words), len(words) - len(kept)))
         return pd.DataFrame(rows, columns=["text", "n_words", "n_removed"])
 
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(F.lit(9), content).alias("own_hash"), F.col(text_col).alias("text"))
+    packed = docs.select(F.struct(F.lit(0).alias("__one"), *others(docs, into)).alias("kept"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(F.lit(9), content).alias("own_hash"), F.col(text_col).alias("text"))
     joined = packed.join(own, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
-    return joined.select("kept.*", cut("text", F.col("spans.since"), F.col("spans.upto")).alias(into))
+    return joined.select("kept.*", cut("text", F.col("spans.since"), F.col("spans.upto")).alias(into)).drop("__one")
 
 
 def _batch(anchor, salt, kind: int, digest, key, text_hash, start, at, text):
