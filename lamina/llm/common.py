@@ -30,11 +30,23 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Rows of an Arrow batch: whole texts can be long, and a batch is held by Spark and by Python at once.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows, unless the session asks for some other number than the default."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+
+
 class Scratch:
     """Tables written to the shared folder; they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        small_batches(spark)
         self.root = f"{shared_dir(spark)}/lamina-{name}-{uuid.uuid4().hex}"
 
     def table(self, df: DataFrame, name: str, **options) -> DataFrame:
@@ -72,6 +84,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -141,6 +141,8 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(3), F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     rows = scratch.table(keyed.mapInArrow(sets_of, f"id {id_type}, text_hash long, set_key long, n int, fp long, prefix array<long>, codes binary"), "rows")
+    for held in (twice, common):
+        held.destroy()  # else every worker keeps them
     sending = rows.where(F.col("fp").isNotNull())
     sent = sending.select(F.explode("prefix").alias("hash"), "set_key").distinct()
     least = sent.groupBy("hash").agg(F.min("set_key").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
@@ -180,4 +182,6 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
         whole = components(split, scratch).where("node <> label")
         classes = classes.unionByName(whole.select(F.col("node").alias("set_key"), F.col("label").alias("class_fp")))
     classes = scratch.table(classes, "classes")
+    for done in ("fingerprints", "distinct", "links", "labels", "exact"):
+        scratch.drop(done)
     return rows.select("id", "text_hash", "set_key").join(classes, "set_key", "left").select("id", "text_hash", F.coalesce("class_fp", "set_key").alias("class_fp"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, word_count
+from .common import Scratch, others, word_count
 
 CELLS = 1024
 #: Decisions are one row a source; they are broadcast up to this many rows (about 100 bytes each), joined beyond it.
@@ -77,7 +77,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """The documents with a struct ``mix`` (size, source_size, target, copies, taken); all columns stay.
+    """The documents with a struct ``mix`` (size, source_size, target, copies, taken); all columns stay but one named ``mix``.
 
     ``importance`` names a column of positive weights: a document is then due copies in proportion to it, at most
     ``cap``, so inclusion odds differ within a source (null counts as 1).
@@ -132,11 +132,11 @@ def mix(
     # A source without a crossing cell takes all that is ranked.
     decided = scratch.table(decided.select("source", "source_size", "target", "scaled", F.coalesce("low", F.lit(1.0)).alias("low"), "closing"), "decided")
 
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source_col).alias("source"), size.alias("size"), u.alias("u"), v.alias("v"))
+    packed = docs.select(F.struct(F.lit(0).alias("__one"), *others(docs, "mix")).alias("row"), F.col(source_col).alias("source"), size.alias("size"), u.alias("u"), v.alias("v"))
     out = due(with_source(packed, decided))
     copies = (F.col("whole") + F.coalesce(((F.col("t") <= F.col("low")) | F.coalesce(F.col("t") == F.col("closing"), F.lit(False))).cast("long"), F.lit(0))).cast("long")
     out = out.withColumn("copies", copies)
-    return out.select("row.*", F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")).alias("mix"))
+    return out.select("row.*", F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")).alias("mix")).drop("__one")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -103,7 +103,8 @@ FROM m GROUP BY r, doc_id
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import replace_entities
 
-    replaced = replace_entities(documents(spark, sf_dir).select("doc_id", "text"), key="lamina-production-key")
+    key = spark.conf.get("lamina.pii.key", "a key for trials")  # a real one is set in the session
+    replaced = replace_entities(documents(spark, sf_dir).select("doc_id", "text"), key=key)
     return replaced.select("doc_id", "pii.text", "pii.n_entities", *[F.col(f"pii.counts.{k}").alias(f"n_{k}") for k in ("email", "secret", "ip", "iban", "phone", "ssn", "card", "name")])
 
 

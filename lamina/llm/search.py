@@ -293,12 +293,16 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
             some = index.where((F.col("share") >= lo) & (F.col("share") < (hi if hi < 1 else 2)))
             new = some.mapInArrow(_search(shared, mean_length, k), "query_id long, id long, score double")
             best = scratch.table(_best(new if hits is None else hits.unionByName(new), k).select("query_id", "id", "score", "rank"), f"hits-{b}-{step}")
+            if step:
+                scratch.drop(f"hits-{b}-{step - 1}")
             hits = best.drop("rank")
             if hi < 1:
                 kth = {r.query_id: r.score for r in best.where(F.col("rank") == k).select("query_id", "score").collect()}  # one row a query of the block
                 floors = np.array([kth.get(q, 0.0) for q in part[0].tolist()])
-            shared.unpersist()
+            shared.destroy()
         done.append(best)
+    for table in ("index", "terms", "asked"):
+        scratch.drop(table)
     if not done:
         return spark.createDataFrame([], "query_id long, id long, score double, rank int")
     out = done[0]

@@ -229,6 +229,8 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed:
     own = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     class_ids = own.groupBy("label").agg(F.min("least").alias("component_id"))
     by_fp = scratch.table(own.join(class_ids, "label").select("fp", "label", "component_id"), "classes")
+    for done in ("distinct", "pairs", "labels"):
+        scratch.drop(done)
     return rows.join(by_fp, "fp").select("id", "text_hash", "fp", F.col("label").alias("class_fp"), "component_id")
 
 

@@ -77,8 +77,12 @@ def test_token_counts(odd, empty, tmp_path):
     assert stored == len({r[1] or "" for r in odd_rows()})
     assert Counter(map(tuple, tokens.token_counts(odd, path, str(tmp_path / "cache")).collect())) == found  # all from the cache
     assert odd.sparkSession.read.parquet(str(tmp_path / "cache")).count() == stored
+    more = odd.union(odd.sparkSession.createDataFrame([(900, "quite new", "en", "a", 7, "k", "r", -1, 5, "q")], SCHEMA))
+    assert Counter(map(tuple, tokens.token_counts(more, path, str(tmp_path / "cache")).collect())) == found + Counter([(900, 9, len(encode(["quite new"])[0]))])
+    stored += 1  # one miss among hits
+    assert odd.sparkSession.read.parquet(str(tmp_path / "cache")).count() == stored
     tokens.token_counts(odd, vocabulary("piece_bpe_32k.model"), str(tmp_path / "cache")).collect()  # another tokenizer
-    assert odd.sparkSession.read.parquet(str(tmp_path / "cache")).count() == 2 * stored
+    assert odd.sparkSession.read.parquet(str(tmp_path / "cache")).count() == 2 * stored - 1
     assert tokens.token_counts(empty, path).count() == 0
 
 
@@ -507,6 +511,45 @@ def test_number_clashes(spark):
     assert done.counts.iban == 1 and done.counts.ip == 2 and len(set(re.findall(r"[\d.]+\d", done.text.split(" GB")[0]))) == 1
 
 
+def luhn(n):
+    return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(n))) % 10 == 0
+
+
+def test_check_digits_stay_right(spark):
+    rng, cards = random.Random(7), []
+    for k in range(40):
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14 + k % 2))
+        cards.append(next(body + d for d in "0123456789" if luhn(body + d)))
+    ibans = ["DE89370400440532013000", "GB29NWBK60161331926819", "FR1420041010050500013M02606"]
+    found = spark.createDataFrame([(x,) for x in [*cards, *ibans, "4111111111111112"]], "entity string")
+    told = {r.entity: r.w for r in found.select("entity", pii.surrogate(F.col("entity"), "k", F.lit(0)).alias("w")).collect()}
+    assert all(luhn(told[c]) and told[c] != c and len(told[c]) == len(c) for c in cards) and len({told[c] for c in cards}) == len(set(cards))
+    assert all(int("".join(str(int(c, 36)) for c in told[i][4:] + told[i][:4])) % 97 == 1 and told[i] != i and told[i][:2] == i[:2] for i in ibans)
+    docs = spark.createDataFrame([(1, f"card {cards[0]} IBAN {ibans[1]}.")], "doc_id long, text string")
+    assert pii.replace_entities(docs, "k").first().pii.text == f"card {told[cards[0]]} IBAN {told[ibans[1]]}."
+
+
+def test_names_after_cues(spark):
+    docs = spark.createDataFrame([(1, "My name is Ottilie Kranz and Contact: Ottilie Kranz. The Big House"), (2, "Name: Зоя Петренко, deadbeefdeadbeefdeadbeefdeadbeef")], "doc_id long, text string")
+    got = {r.doc_id: r.pii for r in pii.replace_entities(docs, "k").collect()}
+    names = re.findall(r"(?:is|Contact:) (\S+ [^ .]+)", got[1].text)
+    assert got[1].counts.name == 2 and len(set(names)) == 1 and names[0] != "Ottilie Kranz" and got[1].text.endswith("The Big House")
+    assert got[2].n_entities == 2 and re.match(r"Name: [А-Яа-яё]+ [А-Яа-я]+, [0-9a-f]{32}$", got[2].text) and "Зоя" not in got[2].text
+
+
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "text", "lang", "source", "mentions", "between", "pii", "lines", "quality", "language", "passages", "mix", "kept", "row", "told", "size", "Lines"]
+    docs = spark.createDataFrame([(i, "a b c " * 20, "en", "s", *["x"] * 13) for i in range(3)], ", ".join(f"{n if n != 'Lines' else 'lines2'} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    path = vocabulary("piece_bpe_32k.model")
+    made = {"pii": pii.replace_entities(docs, "k"), "lines": lines.drop_repeated_lines(docs, min_docs=2), "quality": quality.judge(docs, path), "language": language.predict(docs, language.train(docs)), "passages": passages.remove_repeated_passages(docs), "mix": mixing.mix(docs)}
+    made["lines "] = lines.drop_repeated_lines(docs, min_docs=2, broadcast_lines=0)
+    for name, found in made.items():
+        name = name.strip()
+        assert sorted(found.columns) == sorted(docs.columns) and found.schema[name].dataType.typeName() == "struct"
+        row = found.select("*", f"{name}.*").first()
+        assert all(row[c] == "x" for c in ("told", "mentions", "between", "row") if c != name)
+
+
 def test_surrogates_odd_cases(odd, empty):
     found = pii.replace_entities(odd, "k").collect()
     assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, r.pii.text) for r in found) == Counter((r[0], r[1]) for r in odd_rows())
