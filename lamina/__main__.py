@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.config import LongConfig, TableConfig
-from lamina.operators import dedup, spans, submit
+from lamina.operators import dedup, merge, recognise, spans, submit
 from lamina.sources import images, submission
 
 
@@ -37,6 +37,33 @@ def prepare_tables(distinct: DataFrame, config: TableConfig) -> DataFrame:
     return spans.pixel_tiles(distinct.where("height IS NOT NULL AND width IS NOT NULL"), "sha256", "width", "height", config.max_side, config.overlap)
 
 
+def run_plan(spark: SparkSession, folder: str, plan: str, out: str, model: str, cache: str, branch: str) -> None:
+    """Recognise what was prepared, through a cache that lasts, and write one result a file name.
+
+    ``model`` is a plug-in (module:factory) that gets the rows of ``plan`` with their image's content.  Parts of a long
+    image are merged at their seams; tiles of a table stay in their order, each on its own.
+    """
+    parts = spark.read.parquet(plan)
+    order = "window_index" if branch == "long" else "tile"
+    if branch == "tables":
+        parts = parts.withColumn("tile", F.col("row_index") * 10_000 + F.col("column_index"))
+    files = images.scan(spark, folder).select("sha256", "file_name", "content")
+    content = files.groupBy("sha256").agg(F.first("content").alias("content"))
+    work, keys = parts.join(content, "sha256"), ["sha256", order, "config_digest"]
+    kind = {f.name: f.dataType.simpleString() for f in parts.schema}
+    schema = ", ".join(f"{k} {kind[k]}" for k in keys) + ", result string, created_at timestamp"
+    stored = spark.read.schema(schema).parquet(cache) if recognise.exists(spark, cache) else spark.createDataFrame([], schema)
+    done, _ = recognise.recognise(work, stored, keys, recognise.loaded(model))
+    kept, failed = recognise.continued(done, "error")
+    fresh = kept.join(stored.select(*keys), keys, "left_anti")
+    fresh.select(*keys, "result", F.current_timestamp().alias("created_at")).write.mode("append").parquet(cache)
+    failed.write.mode("overwrite").parquet(f"{out}-failures")
+    ordered = kept.select("sha256", F.col(order).alias("n"), F.col("result").alias("markdown"), F.lit(int(branch == "long")).alias("overlap_top"))
+    texts = merge.merged(ordered, "sha256", ["n"])
+    results = files.select("sha256", "file_name").join(texts, "sha256", "left").select("file_name", F.coalesce("markdown", F.lit("")).alias("ground_truth"))
+    results.orderBy("file_name").coalesce(1).write.mode("overwrite").options(header=True, quote='"', escape='"', quoteAll=True).csv(out)
+
+
 def combine(spark: SparkSession, template: str, branches: list[str], out: str) -> None:
     """Branch results in the template's order, as one file."""
     from pyspark.sql import Window
@@ -55,6 +82,12 @@ def main(args: list[str] | None = None) -> None:
         one.add_argument("folder")
         one.add_argument("out")
         one.add_argument("--config", help="JSON text")
+    for name in ("run-long", "run-tables", "run-local-long", "run-local-tables"):
+        one = commands.add_parser(name)
+        for field in ("folder", "plan", "out"):
+            one.add_argument(field)
+        one.add_argument("--model", required=True, help="module:factory; a local one or a client of a service")
+        one.add_argument("--cache", required=True, help="folder of stored results")
     both = commands.add_parser("combine-submissions")
     both.add_argument("template")
     both.add_argument("branches", nargs="+")
@@ -63,6 +96,8 @@ def main(args: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"lamina {told.command}").getOrCreate()
     if told.command == "combine-submissions":
         return combine(spark, told.template, told.branches, told.out)
+    if told.command.startswith("run-"):
+        return run_plan(spark, told.folder, told.plan, told.out, told.model, told.cache, "long" if told.command.endswith("long") else "tables")
     if told.command == "hash-report":
         found = hash_report(spark, told.folder)
     else:

@@ -57,3 +57,10 @@ def rotated(users: Column, start: Column) -> Column:
     kept = F.array_distinct(users)
     at = F.greatest(F.array_position(kept, start), F.lit(1)).cast("int")
     return F.concat(F.slice(kept, at, F.size(kept)), F.slice(kept, F.lit(1), at - 1))
+
+
+def credentials(text: Column) -> Column:
+    """(url, api_key, users) of a document of credentials, a value a line; what is missing is null or empty."""
+    one = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    users = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?im)^\s*user(?:[_ ]?id)?\s*[:=：]\s*([A-Za-z0-9_-]+)"), F.lit(1)))
+    return F.struct(one(r"(https?://[^\s\"']+)").alias("url"), one(r"(?i)api[_-]?key\s*[:=：]\s*[\"']?([A-Za-z0-9_-]+)").alias("api_key"), users.alias("users"))

@@ -17,6 +17,11 @@ def counters(items: DataFrame, by: list[str], failed: Column, done: Column, reus
     return told.select(*by, "image_count", "succeeded", "failed", pending.cast("long").alias("pending"), "reused", (F.col("succeeded") - F.col("reused")).alias("fresh"), status.alias("status"))
 
 
+def prepared_unique(processed: Column, failed: Column) -> Column:
+    """Distinct images that were prepared: those processed without those that failed."""
+    return F.greatest(F.lit(0), processed - failed)
+
+
 def failed_names(failures: DataFrame) -> DataFrame:
     """Groups and files of failures (file_names: array)."""
     return failures.agg(F.count(F.lit(1)).alias("failure_count"), F.coalesce(F.sum(F.size("file_names")), F.lit(0)).cast("long").alias("failed_image_count"))

@@ -18,6 +18,42 @@ def text_raster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return chars.where(F.col("c") != "").select(key, "y", "x", (~F.col("c").rlike(r"\s")).alias("ink"))
 
 
+def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, y, ink_count, pixels, start, end): what a text's lines hold, from lengths alone; empty lines have no row.
+
+    ``start`` and ``end`` bound the ink and are null where there is none.
+    """
+    rows = docs.select(key, F.posexplode(F.split(text, "\n")).alias("y", "line")).where("line <> ''")
+    ink, size = F.length(F.regexp_replace("line", r"\s", "")).cast("long"), F.length("line")
+    start, end = F.length(F.regexp_extract("line", r"^\s*", 0)), size - F.length(F.regexp_extract("line", r"\s*$", 0))
+    return rows.select(key, "y", ink.alias("ink_count"), size.cast("long").alias("pixels"), F.when(ink > 0, start).alias("start"), F.when(ink > 0, end).alias("end"))
+
+
+def row_extents(raster: DataFrame, key: str, position: str, along: str) -> DataFrame:
+    """(key, position, ink_count, start, end) of the rows with ink of a raster."""
+    return raster.where("ink").groupBy(key, position).agg(F.count(F.lit(1)).alias("ink_count"), F.min(along).alias("start"), (F.max(along) + 1).alias("end"))
+
+
+def median_height(lines: DataFrame, by: str, height: str) -> DataFrame:
+    """(by, median_height) of visual lines, the measure of headings."""
+    return lines.groupBy(by).agg(F.median(height).alias("median_height"))
+
+
+def smeared_box(raster: DataFrame, key: str, reach_x: int, reach_y: int, width: Column, height: Column) -> DataFrame:
+    """(key, x1, y1, x2, y2) of the ink spread by so many pixels, within the page; sparse marks at the edges count."""
+    ink = raster.where("ink").groupBy(key).agg(F.min("x").alias("a"), F.min("y").alias("b"), F.max("x").alias("c"), F.max("y").alias("d"), F.first(width).alias("w"), F.first(height).alias("h"))
+    low, high = lambda c, r: F.greatest(F.lit(0), F.col(c) - r), lambda c, r, m: F.least(F.col(m), F.col(c) + 1 + r)
+    return ink.select(key, low("a", reach_x).alias("x1"), low("b", reach_y).alias("y1"), high("c", reach_x, "w").alias("x2"), high("d", reach_y, "h").alias("y2"))
+
+
+def projected_tables(lines: DataFrame, key: str, page: str, gap: float = 0.10) -> DataFrame:
+    """(key, y1, y2, lines): tables told by their horizontal lines; a gap of more than ``gap`` of the page parts them."""
+    w = Window.partitionBy(key).orderBy("y")
+    apart = F.coalesce(F.col("y") - F.lag("y").over(w) > gap * F.col(page), F.lit(True))
+    numbered = lines.withColumn("_table", F.sum(apart.cast("int")).over(w))
+    return numbered.groupBy(key, "_table").agg(F.min("y").alias("y1"), (F.max("y") + 1).alias("y2"), F.count(F.lit(1)).alias("lines")).drop("_table")
+
+
 def row_projection(raster: DataFrame, key: str) -> DataFrame:
     """(key, y, ink_count, pixels, ratio)."""
     return raster.groupBy(key, "y").agg(F.count_if("ink").alias("ink_count"), F.count(F.lit(1)).alias("pixels")).withColumn("ratio", F.col("ink_count") / F.col("pixels"))
@@ -70,8 +106,13 @@ def column_gutter(projection: DataFrame, key: str, width: DataFrame, blank: floa
 
 def content_box(raster: DataFrame, key: str, least: int = 1) -> DataFrame:
     """(key, x1, y1, x2, y2) of the ink; rows with fewer than ``least`` inked pixels count as noise."""
-    rows = raster.where("ink").groupBy(key, "y").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).where(F.col("n") >= least)
-    return rows.groupBy(key).agg(F.min("a").alias("x1"), F.min("y").alias("y1"), (F.max("b") + 1).alias("x2"), (F.max("y") + 1).alias("y2"))
+    return box_of_rows(row_extents(raster, key, "y", "x"), key, least)
+
+
+def box_of_rows(rows: DataFrame, key: str, least: int = 1) -> DataFrame:
+    """``content_box`` of rows' extents."""
+    rows = rows.where(F.col("ink_count") >= max(1, least))
+    return rows.groupBy(key).agg(F.min("start").alias("x1"), F.min("y").alias("y1"), F.max("end").alias("x2"), (F.max("y") + 1).alias("y2"))
 
 
 def histogram(raster: DataFrame, key: str, gray: str = "gray") -> DataFrame:
@@ -82,9 +123,13 @@ def histogram(raster: DataFrame, key: str, gray: str = "gray") -> DataFrame:
 
 def line_segments(raster: DataFrame, key: str, position: str, along: str, coverage: float = 0.90, least_span: int = 1) -> DataFrame:
     """(key, position, start, end, coverage): rows whose ink fills their own active span."""
-    lines = raster.where("ink").groupBy(key, position).agg(F.min(along).alias("start"), (F.max(along) + 1).alias("end"), F.count(F.lit(1)).alias("n"))
-    lines = lines.withColumn("coverage", F.col("n") / (F.col("end") - F.col("start")))
-    return lines.where((F.col("end") - F.col("start") >= least_span) & (F.col("coverage") >= coverage)).drop("n")
+    return segments_of_rows(row_extents(raster, key, position, along), key, position, coverage, least_span)
+
+
+def segments_of_rows(rows: DataFrame, key: str, position: str, coverage: float = 0.90, least_span: int = 1) -> DataFrame:
+    """``line_segments`` of rows' extents."""
+    lines = rows.where("ink_count > 0").select(key, position, "start", "end", (F.col("ink_count") / (F.col("end") - F.col("start"))).alias("coverage"))
+    return lines.where((F.col("end") - F.col("start") >= least_span) & (F.col("coverage") >= coverage))
 
 
 def contrast_lines(columns: DataFrame, coverage: float = 0.95, contrast: int = 30, bypass: float = 0.98) -> DataFrame:

@@ -79,6 +79,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark, folder: str) -> bool:
+    """Whether a folder is there, in whatever file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def recognise(work: DataFrame, cache: DataFrame, keys: list[str], factory, skip: Column | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """(results of all keys, the cache with new results): distinct keys that miss run once, blank ones not at all.
 
@@ -95,6 +101,57 @@ def recognise(work: DataFrame, cache: DataFrame, keys: list[str], factory, skip:
     return known.join(work.select(*keys).distinct(), keys, "left_semi").unionByName(new), stored
 
 
+def continued(items: DataFrame, error: str) -> tuple[DataFrame, DataFrame]:
+    """(items that were prepared, failures): one failure doesn't stop the others."""
+    return items.where(F.col(error).isNull()).drop(error), items.where(F.col(error).isNotNull())
+
+
+def loaded(name: str):
+    """The factory that ``module:name`` tells: of a recogniser, an OCR engine or a layout detector."""
+    from importlib import import_module
+
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"module:factory is needed, not {name}")
+    return getattr(import_module(module), attribute)
+
+
+#: Fields of what detectors and OCR engines find.
+BOXES = "label string, text string, confidence double, x1 double, y1 double, x2 double, y2 double"
+
+
+def detect(images: DataFrame, keys: list[str], factory: Callable[[], Callable[[dict], list[tuple]]]) -> DataFrame:
+    """(keys, label, text, confidence, box) that an OCR engine or a layout detector finds in every row of ``images``.
+
+    The engine is made by ``factory`` in each worker when it meets its first row; it gives a list of boxes a row.
+    """
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in images.select(*keys).schema)
+    names = [*keys, *(x.split()[0] for x in BOXES.split(", "))]
+
+    def run(batches):
+        engine = None
+        for pdf in batches:
+            rows = pdf.to_dict("records")
+            engine = engine or (factory() if rows else None)
+            yield pd.DataFrame([(*(r[k] for k in keys), *box) for r in rows for box in engine(r)], columns=names)
+
+    return images.mapInPandas(run, f"{schema}, {BOXES}")
+
+
+#: Table detectors by name; each takes a relation of its own evidence.
+DETECTORS: dict[str, Callable] = {}
+
+
+def detector(name: str) -> Callable:
+    """A table detector; ``auto`` takes ink regions, and other names those that are registered."""
+    from lamina.operators import bands
+
+    known = {"ink": bands.ink_regions, "projection": bands.projected_tables, "auto": bands.ink_regions} | DETECTORS
+    if name not in known:
+        raise ValueError(f"no table detector {name}; there are {', '.join(sorted(known))}")
+    return known[name]
+
+
 def retry_schedule(attempts: DataFrame, n: str = "attempt") -> DataFrame:
     """Each attempt with its delay and what has passed by then."""
     from pyspark.sql import Window

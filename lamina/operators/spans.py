@@ -63,10 +63,20 @@ def patches(images: DataFrame, key: str, width: str, height: str, most: int = 20
 
 
 def owner_index(position: Column, length: Column, most: int, overlap: int) -> Column:
-    """Index of the span that owns a position, by arithmetic instead of a range join."""
-    starts, size = axis_starts(length, most, overlap)
-    edges = F.transform(F.sequence(F.lit(1), F.size(starts) - 1), lambda i: F.bround((F.element_at(starts, i) + size + F.element_at(starts, i + 1)) / 2))
-    return F.when(F.size(starts) == 1, F.lit(0)).otherwise(F.size(F.filter(edges, lambda e: e <= position)))
+    """Index of the span that owns a position: a division, corrected by at most one."""
+    length = length.cast("long")
+    count = F.greatest(F.lit(2).cast("long"), F.ceil((length - overlap) / F.lit(most - overlap)))
+    size = F.ceil((length + (count - 1) * overlap) / count)
+    stride = size - overlap
+    start = lambda i: F.when(i == count - 1, length - size).otherwise(i * stride)
+    edge = lambda i: F.bround((start(i) + start(i - 1) + size) / 2)
+    guess = F.least(count - 1, F.greatest(F.lit(0).cast("long"), F.floor((2 * position - size + stride) / (2 * stride))))
+
+    def corrected(g: Column) -> Column:
+        up, down = (g + 1 < count) & (position >= edge(g + 1)), (g > 0) & (position < edge(g))
+        return g + F.when(up, 1).when(down, -1).otherwise(0)
+
+    return F.when(length <= most, F.lit(0).cast("long")).otherwise(F.transform(F.array(guess), corrected)[0])
 
 
 def pixel_tiles(images: DataFrame, key: str, width: str, height: str, most: int = 3900, overlap: int = 160) -> DataFrame:

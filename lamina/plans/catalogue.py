@@ -120,11 +120,13 @@ def q_cache_delete(spark, sf):
 WITH a AS (SELECT user_id, event_type, 'tile_attempt_' || (event_id % 11) || '.md' AS name, event_id % 11 AS n, event_id FROM events WHERE event_id % 4 <> 0)
 SELECT user_id, event_type, name, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY n DESC, event_id DESC) AS k FROM a) WHERE k = 1""")
 def q_attempt_recency(spark, sf):
+    signed = [F.col("event_type").alias("tile_sha256"), F.lit("p").alias("prompt_sha256"), F.col("user_id").cast("string").alias("cache_key")]
+    name = F.concat(F.lit("tile_attempt_"), (F.col("event_id") % 11).cast("string"), F.lit(".md")).alias("name")
     events = table(spark, sf, "events")
-    attempts = events.select("user_id", "event_type", F.concat(F.lit("tile_attempt_"), (F.col("event_id") % 11).cast("string"), F.lit(".md")).alias("name"), "event_id", (F.col("event_id") % 4 == 0).alias("stale"))
-    matched = attempts.where(cache.signatures_match({"stale": F.col("stale")}, {"stale": F.lit(False)}))
-    number = F.regexp_extract("name", r"attempt_(\d+)", 1).try_cast("int")
-    return matched.groupBy("user_id", "event_type").agg(F.max_by(F.struct("name", "event_id"), F.struct(number, F.col("event_id"))).alias("v")).select("user_id", "event_type", "v.*")
+    attempts = events.select("user_id", "event_type", name, "event_id", *signed, F.when(F.col("event_id") % 4 != 0, "m").alias("model"))  # others have no model
+    newest = attempts.groupBy("user_id", "event_type", "name", "tile_sha256", "prompt_sha256", "cache_key", "model").agg(F.max("event_id").alias("event_id"))
+    wanted = events.select("user_id", "event_type", *signed, F.lit("m").alias("model")).distinct()
+    return cache.recover(newest, wanted, ["user_id", "event_type"]).select("user_id", "event_type", "name", "event_id")
 
 
 @query("""SELECT doc_id, CASE WHEN quality IS NULL THEN 'new' ELSE 'reused' END AS preprocessing_cache FROM documents LEFT JOIN labels USING (doc_id)""")
@@ -280,12 +282,14 @@ def q_ocr_patches(spark, sf):
 WITH {_AXIS},
 o AS (SELECT page_id, i, h, CASE WHEN i = 0 THEN 0 ELSE CAST(round_even((s + lag(s + size) OVER w) / 2.0, 0) AS BIGINT) END AS a,
   CASE WHEN i = c - 1 THEN h ELSE CAST(round_even((s + size + lead(s) OVER w) / 2.0, 0) AS BIGINT) END AS b FROM s WINDOW w AS (PARTITION BY page_id ORDER BY i)),
-p AS (SELECT page_id, p FROM l, unnest(generate_series(0, h - 1, 97)) AS g(p))
+p AS (SELECT page_id, unnest([a, (a + b) // 2, b - 1]) AS p FROM o)
 SELECT p.page_id, p AS position, CAST(i AS INTEGER) AS owner FROM p JOIN o ON p.page_id = o.page_id AND p >= a AND p < b""")
 def q_patch_owner(spark, sf):
-    """Each point is owned once; the owner comes from arithmetic, not from a range join."""
+    """The first, middle and last point that each span owns; the owner comes from arithmetic, not from a range join."""
     pages = table(spark, sf, "pages").select("page_id", F.length("html").cast("long").alias("h"))
-    points = pages.select("page_id", "h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1, F.lit(97).cast("long"))).alias("position"))
+    owned = spans.axis_spans(pages, "page_id", "h", 2000, 160).join(pages, "page_id")
+    ends = F.array(F.col("own_start"), F.floor((F.col("own_start") + F.col("own_end")) / 2), F.col("own_end") - 1)
+    points = owned.select("page_id", "h", F.explode(ends).alias("position"))
     return points.select("page_id", "position", spans.owner_index(F.col("position"), F.col("h"), 2000, 160).cast("int").alias("owner"))
 
 
@@ -326,9 +330,7 @@ WITH {_RASTER}
 SELECT doc_id, CAST(y AS INTEGER) AS y, length(regexp_replace(line, '\s', '', 'g')) AS ink_count, length(line) AS pixels, length(regexp_replace(line, '\s', '', 'g')) / length(line) AS ratio FROM r WHERE line <> ''""")
 def q_row_projection(spark, sf):
     """Counted per line, without making a row of each character."""
-    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("y", "line")).where("line <> ''")
-    ink, n = F.length(F.regexp_replace("line", r"\s", "")).cast("long"), F.length("line").cast("long")
-    return rows.select("doc_id", "y", ink.alias("ink_count"), n.alias("pixels"), (ink / n).alias("ratio"))
+    return bands.text_rows(table(spark, sf, "documents")).select("doc_id", "y", "ink_count", "pixels", (F.col("ink_count") / F.col("pixels")).alias("ratio"))
 
 
 @query(rf"""
@@ -377,18 +379,19 @@ def q_boundary_choice(spark, sf):
 
 
 @query(r"""
-WITH l AS (SELECT conv_id, rpad(substr(text, 1, 30), 30, ' ') || repeat(' ', CAST(12 + conv_id % 5 AS INTEGER)) || substr(text, 31, 30) AS t FROM conversations), w AS (SELECT conv_id, max(length(t)) AS w FROM l GROUP BY conv_id),
+WITH l AS (SELECT conv_id, rpad(substr(text, k + 1, 30), 30, ' ') || repeat(' ', CAST(12 + conv_id % 5 AS INTEGER)) || substr(text, k + 31, 30) AS t FROM conversations, unnest(generate_series(0, greatest(0, length(text) - 1), 60)) AS s(k)), w AS (SELECT conv_id, max(length(t)) AS w FROM l GROUP BY conv_id),
 c AS (SELECT l.conv_id, x, count(*) FILTER (WHERE NOT regexp_matches(substr(t, CAST(x + 1 AS BIGINT), 1), '\s')) / count(*) AS ratio FROM l, unnest(generate_series(0, length(t) - 1)) AS g(x) GROUP BY ALL),
 i AS (SELECT c.conv_id, x, ratio, w FROM c JOIN w ON c.conv_id = w.conv_id WHERE x >= round_even(w * 0.28, 0) AND x < round_even(w * 0.72, 0)),
-k AS (SELECT conv_id, x, w, x - row_number() OVER (PARTITION BY conv_id ORDER BY x) AS k FROM i WHERE ratio <= 0.002),
-b AS (SELECT conv_id, w, min(x) AS s, max(x) + 1 AS e FROM k GROUP BY conv_id, w, k HAVING count(*) >= greatest(12, round_even(w * 0.02, 0)))
-SELECT conv_id, (s + e) // 2 AS boundary FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY abs((s + e) // 2 - w // 2), s) AS n FROM b) WHERE n = 1""")
+k AS (SELECT conv_id, x, w, ratio, x - row_number() OVER (PARTITION BY conv_id ORDER BY x) AS k FROM i WHERE ratio <= 0.002),
+b AS (SELECT conv_id, w, avg(ratio) AS m, min(x) AS s, max(x) + 1 AS e FROM k GROUP BY conv_id, w, k HAVING count(*) >= greatest(12, round_even(w * 0.02, 0)))
+SELECT conv_id, (s + e) // 2 AS boundary FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY abs((s + e) // 2 - w // 2), m, s) AS n FROM b) WHERE n = 1""")
 def q_column_gutter(spark, sf):
-    """Each conversation set in two columns with a gap of 12 to 16 between them."""
+    """Each conversation, whole turns, set in two columns with a gap of 12 to 16 between them."""
     gap = F.repeat(F.lit(" "), (F.col("conv_id") % 5 + 12).cast("int"))
-    set_ = F.concat(F.rpad(F.substring("text", 1, 30), 30, " "), gap, F.substring("text", 31, 30))
-    lines = table(spark, sf, "conversations").select("conv_id", "turn", set_.alias("text"))
-    chars = lines.select("conv_id", F.col("turn").alias("y"), F.posexplode(F.split("text", "")).alias("x", "c")).where("c <> ''").withColumn("ink", ~F.col("c").rlike(r"\s"))
+    cut = table(spark, sf, "conversations").select("conv_id", "turn", "text", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("text") - 1), F.lit(60))).alias("k"))
+    piece = lambda at: F.substring(F.col("text"), F.col("k") + at, F.lit(30))
+    lines = cut.select("conv_id", "turn", "k", F.concat(F.rpad(piece(1), 30, " "), gap, piece(31)).alias("text"))
+    chars = lines.select("conv_id", (F.col("turn") * 1_000_000 + F.col("k")).alias("y"), F.posexplode(F.split("text", "")).alias("x", "c")).where("c <> ''").withColumn("ink", ~F.col("c").rlike(r"\s"))
     width = lines.groupBy("conv_id").agg(F.max(F.length("text")).alias("w"))
     return bands.column_gutter(bands.column_projection(chars, "conv_id"), "conv_id", width)
 
@@ -397,7 +400,7 @@ def q_column_gutter(spark, sf):
 WITH {_RASTER}, k AS (SELECT doc_id, y, length(line) - length(ltrim(line)) AS a, length(rtrim(line)) AS b FROM r WHERE trim(line) <> '')
 SELECT doc_id, CAST(min(a) AS INTEGER) AS x1, CAST(min(y) AS INTEGER) AS y1, CAST(max(b) AS INTEGER) AS x2, CAST(max(y) + 1 AS INTEGER) AS y2 FROM k GROUP BY doc_id""")
 def q_content_box(spark, sf):
-    return bands.content_box(bands.text_raster(table(spark, sf, "documents")), "doc_id")
+    return bands.box_of_rows(bands.text_rows(table(spark, sf, "documents")), "doc_id")
 
 
 @query("""
@@ -414,7 +417,7 @@ def q_blank_image(spark, sf):
 WITH {_RASTER}, k AS (SELECT doc_id, y, length(line) - length(ltrim(line)) AS a, length(rtrim(line)) AS b, length(regexp_replace(line, '\s', '', 'g')) AS n FROM r WHERE trim(line) <> '')
 SELECT doc_id, CAST(y AS INTEGER) AS y, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS end, n / (b - a) AS coverage FROM k WHERE b - a >= 20 AND n / (b - a) >= 0.88""")
 def q_line_segments(spark, sf):
-    return bands.line_segments(bands.text_raster(table(spark, sf, "documents")), "doc_id", "y", "x", 0.88, 20)
+    return bands.segments_of_rows(bands.text_rows(table(spark, sf, "documents")), "doc_id", "y", 0.88, 20)
 
 
 _GAPS = """
@@ -466,12 +469,12 @@ def q_shallow_merge(spark, sf):
 
 _BOXES = """
 b AS (SELECT l_orderkey, l_linenumber AS id, l_returnflag AS label, CAST(l_quantity AS INTEGER) * 10 AS x1, CAST(l_partkey % 40 AS INTEGER) * 10 AS y1,
-  CAST(l_quantity AS INTEGER) * 10 + 120 AS x2, CAST(l_partkey % 40 AS INTEGER) * 10 + CAST(l_suppkey % 30 AS INTEGER) * 10 AS y2, l_discount AS confidence FROM lineitem WHERE l_orderkey % 5 = 0)"""
+  CAST(l_quantity AS INTEGER) * 10 + 120 AS x2, CAST(l_partkey % 40 AS INTEGER) * 10 + CAST(l_suppkey % 30 AS INTEGER) * 10 AS y2, l_discount AS confidence FROM lineitem)"""
 
 
 def _boxes(spark, sf):
     q, y = F.col("l_quantity").cast("int") * 10, (F.col("l_partkey") % 40).cast("int") * 10
-    return table(spark, sf, "lineitem").where("l_orderkey % 5 = 0").select(
+    return table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").alias("id"), F.col("l_returnflag").alias("label"), q.alias("x1"), y.alias("y1"), (q + 120).alias("x2"), (y + (F.col("l_suppkey") % 30).cast("int") * 10).alias("y2"), F.col("l_discount").alias("confidence")
     )
 
@@ -570,19 +573,22 @@ def q_numbered_level(spark, sf):
     return rows.select("line", F.coalesce(T.numbered_level(F.col("line")), F.lit(0)).alias("level"))
 
 
-@query("SELECT doc_id, sha256(trim(text, ' ' || chr(10))) AS inner_hash, true AS same FROM documents WHERE text <> ''")
+@query("""
+WITH t AS (SELECT doc_id, trim(text, ' ' || chr(10)) AS t FROM documents)
+SELECT doc_id, sha256(CASE WHEN doc_id % 2 = 0 THEN t ELSE trim(t || chr(10) || '```' || chr(10) || 'x' || chr(10) || '```', ' ' || chr(10)) END) AS inner_hash, doc_id % 2 = 0 AS same FROM t""")
 def q_fence_strip(spark, sf):
-    docs = table(spark, sf, "documents").where("text <> ''")
-    fenced = T.strip_fence(F.concat(F.lit("```markdown\n"), F.col("text"), F.lit("\n```")))
-    return docs.select("doc_id", F.sha2(fenced, 256).alias("inner_hash"), (fenced == T.strip(F.col("text"))).alias("same"))
+    """Even documents are one fenced block; in odd ones a fence is only a part, and stays."""
+    whole, part = F.concat(F.lit("```markdown\n"), F.col("text"), F.lit("\n```")), F.concat(T.strip(F.col("text")), F.lit("\n```\nx\n```"))
+    told = T.strip_fence(F.when(F.col("doc_id") % 2 == 0, whole).otherwise(part))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(told, 256).alias("inner_hash"), (told == T.strip(F.col("text"))).alias("same"))
 
 
 @query(r"""
-WITH f AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s#：:，,。．.、（）()\-—_]', '', 'g')) AS signature FROM documents)
-SELECT doc_id, signature, CAST(length(signature) AS INTEGER) AS n FROM f""")
+WITH f AS (SELECT doc_id, lower(regexp_replace(text, '[\s#：:，,。．.、（）()\-—_]', '', 'g')) AS signature FROM documents)
+SELECT doc_id, sha256(signature) AS signature, CAST(length(signature) AS INTEGER) AS n FROM f""")
 def q_signature(spark, sf):
-    first = T.signature(F.split("text", "\n")[0])
-    return table(spark, sf, "documents").select("doc_id", first.alias("signature"), F.length(first).alias("n"))
+    told = T.signature(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(told, 256).alias("signature"), F.length(told).alias("n"))
 
 
 @query("""SELECT event_id, event_type = 'error' AS busy, CASE WHEN user_id % 2 = 0 THEN '' ELSE 'read' END AS prompt FROM events""")
@@ -627,25 +633,21 @@ def q_preview(spark, sf):
 
 @query()
 def q_heading_ratio(spark, sf):
-    """How alike the first lines of neighbouring documents of a source are."""
-    from pyspark.sql import Window
-
-    first = table(spark, sf, "documents").select("doc_id", "source", F.split("text", "\n")[0].alias("line"))
-    before = first.withColumn("before", F.lag("line").over(Window.partitionBy("source").orderBy("doc_id"))).where("before IS NOT NULL")
-    return before.select("doc_id", F.round(T.heading_ratio(F.col("line"), F.col("before")), 6).alias("ratio"))
+    """How alike the first two lines of each document are."""
+    lines = F.split("text", "\n")
+    return table(spark, sf, "documents").where(F.size(lines) > 1).select("doc_id", F.round(T.heading_ratio(lines[0], lines[1]), 6).alias("ratio"))
 
 
 # --- merging ---
 
 
-@query("""
-WITH s AS (SELECT doc_id, rtrim(substr(text, 1, 1500), ' ' || chr(10)) AS l, ltrim(substr(text, 1301), ' ' || chr(10)) AS r FROM documents WHERE n_chars > 2000),
-n AS (SELECT doc_id, l, r, coalesce(list_max(list_filter(generate_series(20, least(1600, length(l), length(r))), lambda k: right(l, CAST(k AS BIGINT)) = left(r, CAST(k AS BIGINT)))), 0) AS k FROM s)
-SELECT doc_id, sha256(l || substr(r, k + 1)) AS merged_hash FROM n WHERE k > 0""")
+@query()
 def q_overlap_merge(spark, sf):
-    docs = table(spark, sf, "documents").where("n_chars > 2000").select("doc_id", F.substring("text", 1, 1500).alias("l"), F.expr("substring(text, 1301)").alias("r"))
-    joined = docs.withColumn("m", merge.seam("l", "r")).where(F.length("m") < F.length(F.rtrim("l")) + F.length(F.ltrim("r")))
-    return joined.select("doc_id", F.sha2("m", 256).alias("merged_hash"))
+    """Every document cut into slices of 1500 characters that share 200 with the next, and all seams joined again."""
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("text") - 201), F.lit(1300))
+    slices = table(spark, sf, "documents").select("doc_id", "text", F.posexplode(starts).alias("n", "start"))
+    parts = slices.select("doc_id", "n", F.substring(F.col("text"), F.col("start") + 1, F.lit(1500)).alias("markdown"), F.when(F.col("n") > 0, 200).otherwise(0).alias("overlap_top"))
+    return merge.merged(parts, "doc_id", ["n"]).select("doc_id", F.sha2("markdown", 256).alias("merged_hash"))
 
 
 @query("""SELECT conv_id, sha256(string_agg(trim(text), chr(10) || chr(10) ORDER BY turn) FILTER (WHERE trim(text) <> '')) AS merged_hash, count(*) AS turns FROM conversations GROUP BY conv_id""")
@@ -656,12 +658,14 @@ def q_conv_merge(spark, sf):
 
 
 @query("""
-WITH RECURSIVE o AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
-p AS (SELECT source, doc_id, i, n_chars AS used, 1 AS pack FROM o WHERE i = 1
-  UNION ALL SELECT o.source, o.doc_id, o.i, CASE WHEN used + n_chars > 7800 THEN n_chars ELSE used + n_chars END, CASE WHEN used + n_chars > 7800 THEN pack + 1 ELSE pack END FROM p JOIN o ON o.source = p.source AND o.i = p.i + 1)
-SELECT source, doc_id, pack FROM p""")
+WITH RECURSIVE o AS (SELECT doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS n, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT doc_id, i, n AS used, 1 AS pack FROM o WHERE i = 1
+  UNION ALL SELECT o.doc_id, o.i, CASE WHEN used + n > 780 THEN n ELSE used + n END, CASE WHEN used + n > 780 THEN pack + 1 ELSE pack END FROM p JOIN o ON o.doc_id = p.doc_id AND o.i = p.i + 1)
+SELECT doc_id, i - 1 AS line, pack FROM p""")
 def q_pack_sections(spark, sf):
-    return headings.pack_sections(table(spark, sf, "documents"), "source", "doc_id", "n_chars", 7800)
+    """Each document's lines in packs of at most 780 characters."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    return headings.pack_sections(lines.select("doc_id", "line", F.length("t").alias("n")), "doc_id", "line", "n", 780)
 
 
 @query(r"""
@@ -676,14 +680,14 @@ def q_line_dedup_seam(spark, sf):
 
 
 @query("""
-WITH b AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, event_type AS text FROM events WHERE user_id < 40)
+WITH b AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, event_type AS text FROM events)
 SELECT user_id, CAST(i // 3 AS INTEGER) AS line, string_agg(text, ' ' ORDER BY i) AS text FROM b GROUP BY user_id, i // 3""")
 def q_visual_lines(spark, sf):
     """Three boxes to a line with jitter in height, given in any order, come back as lines."""
     from pyspark.sql import Window
 
     i = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
-    b = table(spark, sf, "events").where("user_id < 40").select("user_id", i.alias("i"), F.col("event_type").alias("text"))
+    b = table(spark, sf, "events").select("user_id", i.alias("i"), F.col("event_type").alias("text"))
     y = (F.floor(F.col("i") / 3) * 40 + (F.col("i") % 2) * 5).cast("double")
     boxes = b.select("user_id", "text", ((F.col("i") % 3) * 100).cast("double").alias("x1"), y.alias("y1"), ((F.col("i") % 3) * 100 + 90).cast("double").alias("x2"), (y + 20).alias("y2"))
     return merge.line_texts(merge.visual_lines(boxes, "user_id"), "user_id").select("user_id", "line", "text")
@@ -765,12 +769,12 @@ def q_tile_coverage(spark, sf):
 
 
 @query("""
-SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS r, '| ' || l_partkey || ' | ' || l_suppkey || ' |' AS line FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem WHERE l_orderkey % 10 = 0)""")
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS r, '| ' || l_partkey || ' | ' || l_suppkey || ' |' AS line FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem)""")
 def q_md_vmerge(spark, sf):
     """Each order's rows in two parts that share the row at the seam."""
     from pyspark.sql import Window
 
-    rows = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").distinct()
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").distinct()
     i = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
     line = F.concat(F.lit("| "), F.col("l_partkey").cast("string"), F.lit(" | "), F.col("l_suppkey").cast("string"), F.lit(" |"))
     numbered = rows.select("l_orderkey", i.alias("i"), line.alias("line"))
@@ -802,3 +806,191 @@ def q_hourly_counts(spark, sf):
     from lamina.streaming.ingest import windowed_counts
 
     return windowed_counts(table(spark, sf, "events")).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+# --- repair of Markdown made of conversations ---
+
+
+def _listed(spark, sf, line, *more):
+    """(conv_id, markdown, ...): a line for each turn, in order, and arrays in the same order."""
+    turns = table(spark, sf, "conversations").withColumn("_line", line).withColumn("_level", F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3))
+    rows = F.array_sort(F.collect_list(F.struct("turn", "_line", "_level")))  # one conversation
+    return turns.groupBy("conv_id").agg(rows.alias("rows")).select("conv_id", F.array_join(F.transform("rows", lambda r: r["_line"]), "\n").alias("markdown"), *more)
+
+
+def _hints(level=None):
+    return F.transform(F.col("rows"), lambda r: F.struct(r["turn"].cast("string").alias("heading_id"), (F.lit(level) if level else r["_level"]).cast("int").alias("level"))).alias("hints")
+
+
+def _turn(prefix, suffix=""):
+    return F.concat(F.lit(prefix), F.col("turn").cast("string"), F.lit(suffix))
+
+
+_ROLE_LEVEL = "CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END"
+
+
+@query(f"SELECT conv_id, string_agg(repeat('#', {_ROLE_LEVEL}) || ' turn ' || turn, chr(10) ORDER BY turn) AS restored FROM conversations GROUP BY conv_id")
+def q_restore(spark, sf):
+    """Every heading takes the level of its hint; hints that repeat don't count."""
+    packs = _listed(spark, sf, _turn("#### turn "), _hints())
+    packs = packs.withColumn("hints", F.concat("hints", "hints")).withColumn("role", F.lit(""))
+    return headings.repaired(packs, "markdown", "hints", "role", "restored").select("conv_id", "restored")
+
+
+@query(f"""
+WITH l AS (SELECT *, {_ROLE_LEVEL} AS level FROM conversations), m AS (SELECT conv_id, min(level) AS least FROM l GROUP BY conv_id)
+SELECT l.conv_id, string_agg(repeat('#', CAST(level + 3 - least AS INTEGER)) || ' turn ' || turn, chr(10) ORDER BY turn) AS aligned FROM l JOIN m ON l.conv_id = m.conv_id GROUP BY l.conv_id""")
+def q_align_headings(spark, sf):
+    """Two hints for each heading, all of level 3: the headings shift so that the smallest is 3."""
+    line = F.concat(F.repeat(F.lit("#"), F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)), F.lit(" turn "), F.col("turn").cast("string"))
+    packs = _listed(spark, sf, line, F.flatten(F.transform("rows", lambda r: F.array(F.lit(3), F.lit(3)))).alias("levels"))
+    return packs.select("conv_id", headings.align(F.col("markdown"), F.col("levels")).alias("aligned"))
+
+
+@query("SELECT conv_id, '# ' || string_agg('turn ' || turn, ' ' ORDER BY turn) AS title FROM conversations GROUP BY conv_id")
+def q_join_titles(spark, sf):
+    return _listed(spark, sf, _turn("# turn ")).select("conv_id", headings.joined_titles(F.col("markdown")).alias("title"))
+
+
+@query("SELECT conv_id, string_agg(CASE WHEN n >= 3 THEN '#### ' || turn || '. turn:' ELSE '**' || turn || '. turn:**' END, chr(10) ORDER BY turn) AS promoted FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations) GROUP BY conv_id")
+def q_promote_definitions(spark, sf):
+    return _listed(spark, sf, _turn("**", ". turn:**")).select("conv_id", headings.promote_definitions(F.col("markdown"), F.lit(False)).alias("promoted"))
+
+
+@query(r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+r AS (SELECT doc_id, i, CASE i % 3 WHEN 0 THEN '## ' || regexp_replace((i % 90 + 1) || ' ' || line, '\s+$', '') WHEN 1 THEN '### ' || regexp_replace((i % 9 + 1) || '.' || (i % 7 + 1) || ' ' || line, '\s+$', '') ELSE line END AS line FROM l)
+SELECT doc_id, sha256(string_agg(line, chr(10) ORDER BY i)) AS renumbered_hash FROM r GROUP BY doc_id""")
+def q_renumber(spark, sf):
+    """A document's lines by turns as headings of one number, of two, and as plain text; all marks start as one."""
+    number = lambda i: F.when(i % 3 == 0, (i % 90 + 1).cast("string")).otherwise(F.concat((i % 9 + 1).cast("string"), F.lit("."), (i % 7 + 1).cast("string")))
+    lines = F.transform(F.split("text", "\n"), lambda x, k: F.when((k + 1) % 3 == 2, x).otherwise(F.concat(F.lit("# "), number(k + 1), F.lit(" "), x)))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(headings.renumber(F.array_join(lines, "\n")), 256).alias("renumbered_hash"))
+
+
+@query("SELECT conv_id, string_agg('## ' || turn || ' turn', chr(10) ORDER BY turn) AS repaired FROM conversations GROUP BY conv_id")
+def q_repair_pack(spark, sf):
+    """Numbered headings of any marks take the hinted level of their number."""
+    packs = _listed(spark, sf, F.concat(F.repeat(F.lit("#"), (F.col("turn") % 5 + 1).cast("int")), F.lit(" "), F.col("turn").cast("string"), F.lit(" turn")), _hints(2))
+    return packs.select("conv_id", headings.repair_pack(F.col("markdown"), F.col("hints"), F.lit("")).alias("repaired"))
+
+
+@query("""
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+SELECT conv_id, coalesce(string_agg('## turn ' || turn, chr(10) ORDER BY turn) FILTER (WHERE i > 2), '') AS stripped FROM n GROUP BY conv_id""")
+def q_strip_context(spark, sf):
+    """The first two headings are copied context; the title that came before them is missing."""
+    context = F.concat(F.array(F.lit("whole title")), F.slice(F.transform("rows", lambda r: F.concat(F.lit("turn "), r["turn"].cast("string"))), 1, 2)).alias("context")
+    return _listed(spark, sf, _turn("## turn "), context).select("conv_id", headings.strip_context(F.col("markdown"), F.col("context"), F.lit(True)).alias("stripped"))
+
+
+@query("SELECT conv_id, sha256('# Conversation ' || conv_id || chr(10) || string_agg(trim(text, ' ' || chr(10)), chr(10) || chr(10) ORDER BY turn) FILTER (WHERE trim(text, ' ' || chr(10)) <> '')) AS merged_hash FROM conversations GROUP BY conv_id")
+def q_merge_parts(spark, sf):
+    """Every part repeats the conversation's title, which stays once."""
+    title = F.concat(F.lit("# Conversation "), F.col("conv_id").cast("string"), F.lit("\n"))
+    parts = table(spark, sf, "conversations").where(T.strip(F.col("text")) != "").select("conv_id", "turn", F.concat(title, F.col("text")).alias("markdown"), F.lit(0).alias("overlap_top"))
+    return merge.merged(parts, "conv_id", ["turn"]).select("conv_id", F.sha2("markdown", 256).alias("merged_hash"))
+
+
+@query("SELECT doc_id, sha256(trim(text, ' ' || chr(10))) AS text_hash FROM documents")
+def q_prompt_echo(spark, sf):
+    echo = F.when(F.col("doc_id") % 2 == 0, F.lit("Please strictly follow these guidelines.\nOutput only the text.\n")).otherwise("")
+    return table(spark, sf, "documents").select("doc_id", F.sha2(T.strip_prompt_echo(F.concat(echo, F.col("text"))), 256).alias("text_hash"))
+
+
+# --- more boxes, names and seams ---
+
+
+@query(f"""
+WITH {_BOXES} SELECT l_orderkey, id, x1 + 7 AS x1, y1 - 3 AS y1, x2 + 7 AS x2, y2 - 3 AS y2,
+  greatest(0, x2 - x1) <= 0.6 * 600 AND abs((x1 + x2) / 2.0 - 300) <= 0.08 * 600 AS centred FROM b""")
+def q_box_moved(spark, sf):
+    b = B.box(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    return _boxes(spark, sf).select("l_orderkey", "id", B.translate(b, F.lit(7), F.lit(-3)).alias("b"), B.is_centered(b, F.lit(600)).alias("centred")).select("l_orderkey", "id", "b.*", "centred")
+
+
+@query(f"""
+WITH {_BOXES} SELECT a.l_orderkey, a.id, c.id AS other FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.id < c.id
+WHERE 100 * (least(a.x2, c.x2) - greatest(a.x1, c.x1)) >= 65 * least(a.x2 - a.x1, c.x2 - c.x1) AND 100 * (least(a.y2, c.y2) - greatest(a.y1, c.y1)) >= 65 * least(greatest(0, a.y2 - a.y1), greatest(0, c.y2 - c.y1))""")
+def q_overlap_both_ways(spark, sf):
+    boxes = _boxes(spark, sf).select("l_orderkey", "id", B.box(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("b"))
+    a, c = boxes.alias("a"), boxes.alias("c")
+    pairs = a.join(c, (F.col("a.l_orderkey") == F.col("c.l_orderkey")) & (F.col("a.id") < F.col("c.id")))
+    return pairs.where(B.overlaps_both_ways(F.col("a.b"), F.col("c.b"))).select("a.l_orderkey", "a.id", F.col("c.id").alias("other"))
+
+
+@query("""
+SELECT event_id, format('part_{:03d}_c{:02d}_x{:05d}.png', event_id % 1000, user_id % 100, event_id % 100000) AS name,
+  CASE WHEN event_id % 3 = 0 THEN 'vl;1px;2tok;s1' ELSE 'vl;1px;2tok' END AS model, CASE WHEN event_id % 5 = 0 THEN 'table' WHEN event_id % 4096 <= 2048 THEN 'layout' ELSE 'ocr' END AS branch,
+  CASE WHEN event_id % 7 = 0 THEN 999999 ELSE CAST(event_id AS INTEGER) END AS ord FROM events""")
+def q_names(spark, sf):
+    """Names of parts, signatures, branches and the order of chunk files."""
+    i = F.col("event_id")
+    path = F.concat(F.when(i % 5 == 0, "/a/tiles/").otherwise("/tiles/a/"), i.cast("string"), F.lit(".png"))
+    chunk = F.concat(F.lit("chunk"), F.when(i % 7 == 0, "-").otherwise("_"), i.cast("string"), F.lit(".md"))
+    return table(spark, sf, "events").select(
+        "event_id", T.part_name(i % 1000, F.col("user_id") % 100, i % 100_000).alias("name"), K.split_model(F.lit("vl;1px;2tok"), i % 3 == 0, "s1").alias("model"),
+        B.branch(path, i % 4096).alias("branch"), spans.chunk_order(chunk).alias("ord"),
+    )
+
+
+@query(f"""
+WITH {_WINDOWS}
+SELECT doc_id, s AS start_y, e AS end_y, CASE WHEN i = 0 THEN s ELSE (lag(e) OVER w + s) // 2 END AS own_start, coalesce((e + lead(s) OVER w) // 2, e) AS own_end FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY s)""")
+def q_seams(spark, sf):
+    windows = spans.detection_windows(table(spark, sf, "documents"), "doc_id", "n_chars").select("doc_id", "start_y", "end_y")
+    return spans.seams(windows, ["doc_id"], "start_y", "end_y")
+
+
+@query("""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_discount * 10 AS coverage, CAST(l_quantity AS INTEGER) AS gray, CAST(l_partkey % 100 AS INTEGER) AS left_gray, CAST(l_suppkey % 100 AS INTEGER) AS right_gray FROM lineitem)
+SELECT * FROM x WHERE coverage >= 0.98 OR coverage >= 0.5 AND least(left_gray, right_gray) - gray >= 30""")
+def q_contrast_lines(spark, sf):
+    columns = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_discount") * 10).alias("coverage"), F.col("l_quantity").cast("int").alias("gray"), (F.col("l_partkey") % 100).cast("int").alias("left_gray"), (F.col("l_suppkey") % 100).cast("int").alias("right_gray"))
+    return bands.contrast_lines(columns, coverage=0.5)
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN role <> 'user' THEN 0 WHEN lag(role) OVER w = 'user' THEN 3 ELSE 2 END AS level FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def q_run_levels(spark, sf):
+    items = table(spark, sf, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", "Title").otherwise("Text").alias("label"))
+    return headings.run_levels(items, "conv_id", ["turn"]).select("conv_id", "turn", F.coalesce("level", F.lit(0)).alias("level"))
+
+
+@query("""
+SELECT source, quantile_cont(n_chars, 0.5) AS median_height, count(*) FILTER (WHERE quality IS NOT NULL) - count(*) FILTER (WHERE toxic = 1) AS prepared_unique FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""")
+def q_summary(spark, sf):
+    """The median line height and what was prepared, taking documents for lines and images."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    told = audit.counters(docs.join(table(spark, sf, "labels"), "doc_id", "left"), ["source"], F.coalesce(F.col("toxic") == 1, F.lit(False)), F.col("quality").isNotNull(), F.lit(False))
+    return bands.median_height(docs, "source", "n_chars").join(told.select("source", audit.prepared_unique(F.col("succeeded") + F.col("failed"), F.col("failed")).alias("prepared_unique")), "source")
+
+
+@query("SELECT doc_id, n_chars % 2 AS column_index, CAST(row_number() OVER (PARTITION BY source ORDER BY n_chars % 2, n_chars, doc_id) - 1 AS INTEGER) AS reading FROM documents")
+def q_column_order(spark, sf):
+    docs = table(spark, sf, "documents").select("source", "doc_id", (F.col("n_chars") % 2).alias("column_index"), F.col("n_chars").alias("start_y"))
+    return merge.columns_then_rows(docs, "source", "column_index", "start_y", "doc_id").select("doc_id", "column_index", "reading")
+
+
+@query("""
+WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+n AS (SELECT doc_id, i, length(line) AS h, CAST(sum(length(line)) OVER w AS BIGINT) - length(line) AS y FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+SELECT doc_id, CAST(i AS INTEGER) AS id, y + h // 2 AS centre, y AS line_y1 FROM n WHERE h > 0""")
+def q_title_lines(spark, sf):
+    """Each line as a title whose middle lies in one ink line of its document."""
+    from pyspark.sql import Window
+
+    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("h", F.length("line").cast("long"))
+    rows = rows.withColumn("y1", F.sum("h").over(Window.partitionBy("doc_id").orderBy("i")) - F.col("h")).withColumn("y2", F.col("y1") + F.col("h")).where("h > 0")
+    titles = rows.select("doc_id", (F.col("i") + 1).alias("id"), F.floor(F.col("y1") + F.col("h") / 2).alias("centre"))
+    return headings.title_lines(titles, rows.select("doc_id", "y1", "y2"), "doc_id", 200).select("doc_id", "id", "centre", F.col("y1").alias("line_y1"))
+
+
+@query("""
+SELECT user_id, count(*) FILTER (WHERE event_type <> 'error') AS prepared, count(*) FILTER (WHERE event_type = 'error') AS failed FROM events GROUP BY user_id""")
+def q_continue_on_error(spark, sf):
+    """Failures are set aside by row; the others go on."""
+    events = table(spark, sf, "events").select("user_id", "event_id", F.when(F.col("event_type") == "error", "error").alias("error"))
+    kept, failed = recognise.continued(events, "error")
+    count = lambda df, name: df.groupBy("user_id").agg(F.count(F.lit(1)).alias(name))
+    return count(kept, "prepared").join(count(failed, "failed"), "user_id", "full").na.fill(0)

@@ -29,3 +29,22 @@ def test_suppression_keeps_one_of_each_pair(spark, sf):
     assert dedup.dominated_pairs(kept.where("y2 > y1"), ["l_orderkey", "label"], 0.3, 200).count() == 0
     assert 0 < kept.count() < boxes.count()
     boxes.unpersist()
+
+
+def test_joined_slices_equal_brute_force(spark, sf):
+    """All seams of each document, folded in plain Python."""
+    import hashlib
+
+    def whole(text):
+        parts = [text[a : a + 1500] for a in range(0, max(0, len(text) - 201) + 1, 1300)]
+        out = parts[0].strip()
+        for part in parts[1:]:
+            a, b = out.rstrip(), part.strip()
+            n = max((k for k in range(20, min(len(a), len(b), 1600) + 1) if a.endswith(b[:k])), default=0)
+            assert n or not a or not b
+            out = a + b[n:] if a and b else a or b
+        return out.strip()
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    found = {r.doc_id: r.merged_hash for r in QUERIES["q_overlap_merge"](spark, sf).collect()}
+    assert found == {i: hashlib.sha256(whole(t).encode()).hexdigest() for i, t in texts.items()}
