@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .components import components
 
-#: Fingerprints from which the driver builds the tree, at most; all fingerprints are then dealt out by it.
+#: Fingerprints from which the driver builds the tree, at most; where it has too few leaves for all fingerprints, samples
+#: of its leaves deepen it.  All fingerprints are then dealt out by it.
 SAMPLE = 20_000
 #: Fingerprints of a shard, about.
 SHARD = 6_000
@@ -106,6 +107,35 @@ def build_tree(sample: np.ndarray, leaves: int, k: int, seed: int = 5) -> list[t
     return nodes
 
 
+def graft(nodes: list[tuple], subtrees: dict[int, list[tuple]]) -> list[tuple]:
+    """The tree with ``subtrees`` in place of leaves (by number from 0); leaves are numbered anew."""
+    if not nodes:
+        return subtrees.get(0, [])
+    out, made = list(nodes), 0
+
+    def placed(leaf: int) -> int:
+        nonlocal made
+        offset, sub = len(out), subtrees.get(leaf, [])
+        if not sub:
+            made += 1
+            return -made
+        for v, r, *ends in sub:
+            new = []
+            for end in ends:
+                made += end < 0
+                new.append(end + offset if end >= 0 else -made)
+            out.append((v, r, *new))
+        return offset
+
+    for i, (v, r, *ends) in enumerate(nodes):
+        out[i] = (v, r, *(end if end >= 0 else placed(-end - 1) for end in ends))
+    return out
+
+
+def n_leaves(nodes: list[tuple]) -> int:
+    return sum(end < 0 for node in nodes for end in node[2:]) or 1
+
+
 def route(points: np.ndarray, nodes: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(leaf, index of the point, whether it is at home there) for all leaves a point has to visit."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -192,10 +222,35 @@ def fingerprints(docs: DataFrame, text: Column, shingle: int = 3, seed: int = 42
     return made(text)
 
 
+#: Fingerprints of a leaf from which its subtree is built, about, and of all leaves together at most.
+LEAF_SAMPLE, LEVEL_SAMPLE = 160, 2_000_000
+
+
+def _subtrees(distinct: DataFrame, nodes: list[tuple], n: int, shard: int, k: int, least: int) -> dict[int, list[tuple]]:
+    """A subtree for each leaf that holds more than a shard, from a sample of about ``LEAF_SAMPLE`` fingerprints a leaf."""
+    per_leaf = min(max(LEAF_SAMPLE, least), max(16, LEVEL_SAMPLE // n_leaves(nodes)))
+    every = max(1, n // (n_leaves(nodes) * per_leaf))
+    drawn = distinct.where(F.pmod(F.xxhash64(F.lit(29), "fp"), F.lit(every)) == 0).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    leaf, idx, home = route(drawn, nodes, 0)
+    found = {}
+    for x in np.unique(leaf[home]).tolist():
+        points = drawn[idx[home & (leaf == x)]]
+        wanted = -(-len(points) * every // shard)
+        if wanted > 1:
+            found[x] = build_tree(points, wanted, k)
+    return found
+
+
 def fingerprint_links(distinct: DataFrame, k: int, scratch: Scratch, n: int, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """(fp) distinct longs -> (a, b) links whose components are those of all pairs within k bits."""
     some = distinct.orderBy(F.xxhash64("fp")).limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     nodes = build_tree(some, -(-n // shard), k)
+    while n > 2 * shard * n_leaves(nodes):
+        # More fingerprints than the sample has leaves for: a sample of each leaf deepens the tree there.
+        deeper = graft(nodes, _subtrees(distinct, nodes, n, shard, k, least=max(16, sample // max(1, n_leaves(nodes)))))
+        if n_leaves(deeper) <= n_leaves(nodes):
+            break
+        nodes = deeper
 
     def deal(batches):
         for batch in batches:

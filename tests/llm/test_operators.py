@@ -310,6 +310,29 @@ def test_tree_shards_lose_no_link(seed):
     assert all(len(c) == 1 for c in classes.values()) and len({next(iter(c)) for c in classes.values()}) == len(classes)
 
 
+def test_deepened_trees_lose_no_link(spark):
+    """A sample too small for the table: leaves are deepened level by level, and no link is lost."""
+    mine = sorted(set(clustered(300, 21)))
+    fps = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in mine], "fp long").repartition(3)
+    nodes = simhash.build_tree(np.array(mine[:40], np.uint64), 100, 3)
+    deeper = simhash.graft(nodes, {x: simhash.build_tree(np.array(mine[::2], np.uint64), 6, 3) for x in range(0, simhash.n_leaves(nodes), 2)})
+    leaf, idx, home = simhash.route(np.array(mine, np.uint64), deeper, 3)
+    assert np.bincount(idx[home], minlength=len(mine)).tolist() == [1] * len(mine) and simhash.n_leaves(deeper) > simhash.n_leaves(nodes)
+    links = simhash.fingerprint_links(fps, 3, Scratch(spark, "test"), len(mine), shard=8, sample=40).collect()
+    parent = {p: p for p in mine}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in links:
+        a, b = find(r.a % (1 << 64)), find(r.b % (1 << 64))
+        parent[max(a, b)] = min(a, b)
+    roots = [mine[i] for i in brute_classes(mine)]
+    assert len(links) and [find(p) for p in mine] == [min(q for q, r2 in zip(mine, roots) if r2 == r) for r in roots]
+
+
 def test_local_search_by_tree(monkeypatch):
     points = np.unique(np.array(clustered(400, 9), np.uint64))
     whole = simhash.link(points, points[:0], 3)
