@@ -174,7 +174,8 @@ class Shard:
         short = n <= LONG
         size = n[short]
         at = np.repeat(begin[short] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        out = np.bincount(self.docs[at], self.impacts[at] * np.repeat(idf[short], size), minlength=self.n_blocks * BLOCK)
+        # Without any posting bincount gives integers.
+        out = np.bincount(self.docs[at], self.impacts[at] * np.repeat(idf[short], size), minlength=self.n_blocks * BLOCK).astype(np.float64, copy=False)
         for a, b, w in zip(begin[~short].tolist(), (begin + n)[~short].tolist(), idf[~short].tolist(), strict=True):
             out[self.docs[a:b]] += w * self.impacts[a:b]
         return out

@@ -445,6 +445,8 @@ def test_pruning_keeps_the_best(monkeypatch):
     index, counted = search.Shard(shard, 60.0), [Counter(words(t)) for _, t in batch]
     assert len(index.maxima) > 5
     df = Counter(w for c in counted for w in c)
+    long = np.flatnonzero((np.diff(index.starts) > 20) & (index.place < 0))[:1]  # a query of one long list only
+    assert len(long) and len(index.top(long, np.ones(1), 10, 0.0, index.bounds([(long, np.ones(1))])[0])[0]) == 10
     for q in range(0, 600, 40):
         h = search.term_counts(batch[q][1])[0]
         at = np.searchsorted(index.terms, h)
