@@ -19,7 +19,7 @@ from lamina.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the fertility bands reject go; bands are measured on ``labels``
+    """Documents that the base rules or the fertility bands reject go; bands are measured on all of ``labels``
     (where there is no such table, the fixed bands of each script hold).
 
     Null and empty texts are rejected; a null or unknown language is judged by script.  Texts are judged whole and each

@@ -59,6 +59,32 @@ def _blocks(once: np.ndarray, twice: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], ["block", "once", "twice"])
 
 
+def members(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap of a column of 64-bit hashes."""
+
+    def fill(batches):
+        held = np.zeros(bits >> 3, np.uint8)
+        for batch in batches:
+            _insert(held, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits)
+        for k, part in enumerate(held.reshape(-1, BLOCK)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "held"])
+
+    def merge(batches):
+        have: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                part = np.frombuffer(zlib.decompress(part), np.uint8)
+                have[k] = have[k] | part if k in have else part
+        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([x.tobytes() for x in have.values()], pa.binary())], ["block", "held"])
+
+    filled = hashes.mapInArrow(fill, "block int, held binary").repartition("block").mapInArrow(merge, "block int, held binary")
+    out = np.zeros(bits >> 3, np.uint8)
+    for row in filled.collect():  # MOST_BITS bounds what arrives
+        out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.held, np.uint8)
+    return out
+
+
 #: Cells of a sketch, at most: 16 MB while it is filled, 4 MB once told.
 MOST_CELLS = 1 << 22
 

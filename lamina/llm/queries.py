@@ -44,12 +44,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bands by language or script, measured on documents that ``labels`` calls good."""
-    from .quality import calibrate, judge
+    """Bands by language or script, measured on all documents that ``labels`` calls good."""
+    from .quality import judge_by_labels
 
-    docs, path = documents(spark, sf_dir).select("doc_id", "text", "lang"), vocabulary("piece_bpe_32k.model")
-    bands = calibrate(docs, labels(spark, sf_dir), path)
-    return judge(docs, path, bands, lang_col="lang").select("doc_id", "quality.*")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return judge_by_labels(docs, labels(spark, sf_dir), vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,6 +220,37 @@ def test_bands_of_few_labels_fall_back(spark, odd, empty):
     assert quality.judge(odd, path, bands, lang_col="lang").count() == len(odd_rows())
 
 
+def test_bands_are_measured_on_all_labelled_documents(spark):
+    """More than 4,000 good documents: every one counts, as numpy's quantiles and least squares over all of them say."""
+    rng = np.random.default_rng(3)
+    rows_ = [("en" if i % 5 else "de", "latin", int(n), float(c), float(f), float(0.4 * np.log2(n) + e)) for i, (n, c, f, e) in enumerate(zip(rng.integers(9, 4000, 9000), rng.normal(4, 1, 9000), rng.choice([0.0, 0.0, 0.1, 0.3], 9000), rng.normal(0, 1, 9000), strict=True))]
+    good = spark.createDataFrame(rows_, "lang string, script string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double")
+    bands = quality.measured_bands(good, 100)
+    assert set(bands) == {"en", "de", "latin"}
+    for key, band in bands.items():
+        n, chars, fallback, entropy = (np.array([r[i] for r in rows_ if key in r[:2]], float) for i in range(2, 6))
+        low, high = np.quantile(chars, [0.002, 0.998])
+        assert np.allclose(band["chars"], (low - 0.1 * (high - low), high + 0.1 * (high - low)), rtol=1e-12)
+        assert np.isclose(band["fallback"], 1.1 * np.quantile(fallback, 0.998) + 0.01)
+        curve = np.polyfit(np.log2(n), entropy, 2)
+        t = (np.log2(n) - band["centre"]) / band["scale"]
+        assert np.allclose(np.polyval(band["curve"], t), np.polyval(curve, np.log2(n)), atol=1e-7)
+        assert np.isclose(band["margin"], -np.quantile(entropy - np.polyval(curve, np.log2(n)), 0.002), atol=1e-7)
+
+
+def test_labelled_documents_beyond_four_thousand_move_the_bands(spark):
+    """Good documents of a kind that a sample of 4,000 may miss: the band holds what it holds of all."""
+    plain = "the cat sat on a mat and saw 12 birds fly over old roofs at dawn"
+    texts = [(i, f"{plain} {i} {i * 7919}", "en") for i in range(6000)] + [(10_000 + i, " ".join(f"{i} {j} q{j * j}zx{i * j}" for j in range(9)), "xx") for i in range(90)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    bands = quality.calibrate(docs, labels, vocabulary("piece_bpe_32k.model"), least=90)
+    assert "xx" in bands and "en" in bands  # all 90 are needed; two thirds of them are fewer
+    path = vocabulary("piece_bpe_32k.model")
+    told = quality.judge_by_labels(docs, labels, path, least=90, into="told")
+    assert rows(told.select("doc_id", "told.*").toPandas()) == rows(quality.judge(docs, path, bands, lang_col="lang", into="told").select("doc_id", "told.*").toPandas())
+
+
 def test_letters_vote_for_the_script():
     assert quality.script("naïve café 12") == "latin" and quality.script("12 — 3") == quality.script("") == quality.script("12") == "other"
     assert quality.script("αβγ abcd") == "latin" and quality.script("αβγδε abc") == "greek" and quality.script("שלום abc") == "other"
