@@ -3,7 +3,8 @@
 A passage is a window of ``n`` words.  Each window is told by its anchor, the phrase of ``k`` words in it with the
 smallest hash (the leftmost of equals): equal windows have equal anchors, and neighbouring windows mostly share one.
 
-1.  Two Bloom filters over the anchors of all documents leave those that may recur.
+1.  Anchors of all documents are counted exactly, by hash; a Bloom filter of those that recur, and of no others, is
+    sent to all tasks.
 2.  Recurring passages are confirmed: windows of such anchors are counted exactly by anchor and 64-bit digest.
 3.  Anchors and their confirmed windows are dealt to shards by hash; frequent anchors are salted, with their confirmed
     windows copied to each salt.  The stretch of each document around such an anchor goes to the anchor's shard.
@@ -11,8 +12,8 @@ smallest hash (the leftmost of equals): equal windows have equal anchors, and ne
     them; around each hit it looks up the windows among the confirmed ones and gives the words they cover.
 5.  Each document gets the covered words of all its stretches and drops them.
 
-Work and shuffles follow the recurring part of the corpus; the filters are bounded, and where they are full more
-windows are counted, none is lost.
+Eight bytes an anchor are shuffled; all other work follows the recurring part of the corpus.  The filter is bounded, and
+where more anchors recur than it holds more windows are counted, none is lost.
 """
 
 from __future__ import annotations
@@ -167,14 +168,18 @@ def remove_repeated_passages(docs: DataFrame, n: int = 35, id_col: str = "doc_id
     scratch, k = Scratch(spark, "passages"), _phrase(n)
     content = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.lit(9), content).alias("text_hash"), content.alias("text"))
-    # About one word in n - k + 2, twice, is an anchor.
-    n_words = docs.agg(F.sum(F.octet_length(content))).first()[0] or 0
-    bits = bloom.filter_bits(n_words // 6 * 2 // (n - k + 2))
 
-    def anchors_of(batch):
-        return np.concatenate([anchors(word_hashes(t.as_py().encode("utf-8").split()), n, k)[0] for t in batch.column(2)] or [np.zeros(0, np.uint64)])
-
-    twice = spark.sparkContext.broadcast(bloom.repeats(keyed, anchors_of, bits))
+    def anchors_of(batches):
+        for batch in batches:
+            met = np.concatenate([np.zeros(0, np.uint64), *(anchors(word_hashes(t.as_py().encode("utf-8").split()), n, k)[0] for t in batch.column(0))])
+            h, times = np.unique(met, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h, h[times > 1]]).view(np.int64))], ["anchor"])  # two tell as much as more
+
+    met = keyed.select("text").mapInArrow(anchors_of, "anchor long").repartition("anchor").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    recurring = scratch.table(met.where("n > 1").select("anchor"), "recurring")
+    bits = bloom.filter_bits(recurring.count())
+    twice = spark.sparkContext.broadcast(bloom.members(recurring, bits))
+    scratch.drop("recurring")
 
     def suspected(text: str):
         words = text.encode("utf-8").split()

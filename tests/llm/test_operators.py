@@ -256,6 +256,24 @@ def test_letters_vote_for_the_script():
     assert quality.script("αβγ abcd") == "latin" and quality.script("αβγδε abc") == "greek" and quality.script("שלום abc") == "other"
 
 
+# --- passages ---
+
+
+def test_anchors_that_dont_recur_are_not_counted(spark, monkeypatch):
+    """A filter far smaller than the corpus, as 32 MB are for 6 GB: only windows of recurring anchors go on."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(400)) for _ in range(3000)]
+    texts += [texts[5][:2000], texts[7]]
+    monkeypatch.setattr(bloom, "MOST_BITS", bloom.BLOCK * 8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bitmaps, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: bitmaps.append(value) or broadcast(self, value))
+    told = {r.doc_id: r.passages.n_removed for r in passages.remove_repeated_passages(docs).collect()}
+    assert {i for i, n in told.items() if n} == {5, 7, 3000, 3001} and told[7] == told[3001] == 400
+    filled = int(np.unpackbits(bitmaps[0]).sum())
+    assert filled < 4 * 80, filled  # the anchors of some 600 words; all anchors together are about 90,000
+
+
 # --- near-duplicates ---
 
 
