@@ -93,36 +93,102 @@ def sketch_cells(n_hashes: int) -> int:
     return min(MOST_CELLS, max(BLOCK, 1 << max(0, n_hashes // 4).bit_length()))
 
 
-def cell(h: np.ndarray, cells: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)
+#: Hashes of a shard of exact counts, about, and those that a task sorts at once.
+SHARD_HASHES, SORTED = 1 << 20, 1 << 20
 
 
-def sketch(rows: DataFrame, hashes, cells: int) -> np.ndarray:
-    """How often hashes of each cell were met, as four times the logarithm of the count (one byte a cell)."""
+class Recurring:
+    """Which of very many hashes recur, and how often, from exact counts.
 
-    def fill(batches):
-        counts = np.zeros(cells, np.uint32)
-        for batch in parts(batches):
-            np.add.at(counts, cell(hashes(batch), cells), np.uint32(1))
-        for k, part in enumerate(counts.reshape(-1, BLOCK)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "counts"])
+    Hashes are cut to their first ``width`` bits, 8 more than tell their number, so one in some 256 is taken for
+    another.  Tasks send them sorted, as differences (some 2 bytes a hash), to shards by their first bits; a shard
+    counts its own.  A filter then holds those that recur, and no others, and a sketch the largest count of a cell.
+    Each shard fills its own slice of both.
+    """
 
-    def merge(batches):
-        have: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, part in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                part = np.frombuffer(zlib.decompress(part), np.uint32)
-                have[k] = have[k] + part if k in have else part.astype(np.uint64)
-        told = [np.minimum(4 * np.log2(x + 1.0), 255).astype(np.uint8).tobytes() for x in have.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array(told, pa.binary())], ["block", "told"])
-
-    filled = rows.mapInArrow(fill, "block int, counts binary").repartition("block").mapInArrow(merge, "block int, told binary")
-    out = np.zeros(cells, np.uint8)
-    for row in filled.collect():  # MOST_CELLS bounds what arrives; an iterator would merge one partition at a time
-        out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.told, np.uint8)
-    return out
+    def __init__(self, n_hashes: int, per_hash: int):
+        self.bits, self.cells = filter_bits(n_hashes, per_hash), sketch_cells(n_hashes)
+        self.log_shards = max(0, n_hashes - 1).bit_length() - SHARD_HASHES.bit_length() + 1
+        self.log_shards = min(max(0, self.log_shards), self.cells.bit_length() - 1)
+        self.width = min(64, max(n_hashes.bit_length() + 8, self.log_shards + 16))
+
+    def cut(self, h: np.ndarray) -> np.ndarray:
+        return h >> np.uint64(64 - self.width)
+
+    def shard(self, t: np.ndarray) -> np.ndarray:
+        return (t >> np.uint64(self.width - self.log_shards)).astype(np.int64)
+
+    def _places(self, t: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Two bits of the filter and the cell of each cut hash."""
+        with np.errstate(over="ignore"):
+            m = t * np.uint64(0x9E3779B97F4A7C15)
+            m = (m ^ (m >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        m, shard = m ^ (m >> np.uint64(29)), self.shard(t)
+        bits, cells = self.bits >> self.log_shards, self.cells >> self.log_shards
+        at = [shard * bits + (x & np.uint64(bits - 1)).astype(np.int64) for x in (m, m >> np.uint64(32))]
+        return at, shard * cells + (m >> np.uint64(16) & np.uint64(cells - 1)).astype(np.int64)
+
+    def find(self, bitmap: np.ndarray, sketch: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash recurs, and its cell's count, as four times a logarithm."""
+        (a, b), cell = self._places(self.cut(h))
+        return ((bitmap[a >> 3] >> (a & 7).astype(np.uint8)) & (bitmap[b >> 3] >> (b & 7).astype(np.uint8)) & 1) > 0, sketch[cell]
+
+    def count(self, rows: DataFrame, hashes) -> tuple[np.ndarray, np.ndarray]:
+        """(bitmap, sketch); ``hashes`` gives, for an Arrow value, the hashes of which each occurrence counts."""
+
+        def send(batches):
+            held, size = [], 0
+
+            def sent():
+                t, n = np.unique(self.cut(np.concatenate(held)), return_counts=True)
+                shards, first = np.unique(self.shard(t), return_index=True)
+                ends = [*first[1:].tolist(), len(t)]
+                blobs = [_squeezed(t[i:j]) for i, j in zip(first.tolist(), ends, strict=True)]
+                counts = [zlib.compress(np.minimum(n[i:j], 255).astype(np.uint8).tobytes(), 1) for i, j in zip(first.tolist(), ends, strict=True)]
+                return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary()), pa.array(counts, pa.binary())], ["shard", "cut", "n"])
+
+            for batch in batches:
+                for value in batch.column(0):
+                    held.append(hashes(value))
+                    size += len(held[-1])
+                    if size >= SORTED:
+                        yield sent()
+                        held, size = [], 0
+            if size:
+                yield sent()
+
+        def counted(table: pa.Table) -> pa.Table:
+            shard = table.column("shard")[0].as_py()
+            t = np.concatenate([_unsqueezed(x.as_py()) for x in table.column("cut")])
+            n = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("n")])
+            order = np.argsort(t, kind="stable")
+            t, n = t[order], n[order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            t, n = t[first], np.add.reduceat(n, first)
+            t, n = t[n > 1], n[n > 1]
+            places, cell = self._places(t)
+            bits, cells = self.bits >> self.log_shards, self.cells >> self.log_shards
+            marks, most = np.zeros(bits, np.uint8), np.zeros(cells, np.uint8)
+            for at in places:
+                marks[at - shard * bits] = 1
+            np.maximum.at(most, cell - shard * cells, np.minimum(4 * np.log2(n), 255).astype(np.uint8))
+            return pa.table({"shard": pa.array([shard], pa.int32()), "bits": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary()), "most": pa.array([most.tobytes()], pa.binary())})
+
+        sent = rows.mapInArrow(send, "shard int, cut binary, n binary")
+        bitmap, sketch = np.zeros(self.bits >> 3, np.uint8), np.zeros(self.cells, np.uint8)
+        for row in sent.groupBy("shard").applyInArrow(counted, "shard int, bits binary, most binary").collect():  # MOST_BITS and MOST_CELLS bound it
+            for out, part in ((bitmap, row.bits), (sketch, row.most)):
+                out[row.shard * len(part) : (row.shard + 1) * len(part)] = np.frombuffer(part, np.uint8)
+        return bitmap, sketch
+
+
+def _squeezed(t: np.ndarray) -> bytes:
+    """Ascending numbers as differences, byte by byte of all: the low bytes are noise, the high ones nearly all zero."""
+    return zlib.compress(np.ascontiguousarray(np.diff(t, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unsqueezed(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def repeats(rows: DataFrame, hashes, bits: int, at_once: int | None = None) -> np.ndarray:

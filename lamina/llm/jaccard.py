@@ -2,10 +2,10 @@
 
 A text is the set of its word shingles' hashes.  In one order of all hashes, two sets of Jaccard similarity s or more
 share a hash among the first n - ceil(s n) + 1 of each, so only those prefixes are matched and no pair is lost.  The
-order puts hashes that no other set holds first (a Bloom filter of repeats tells them): they match nothing and are not
-sent on, and a text of which more than a share of 1 - s is its own sends nothing.  The rest come by a bounded sketch of
-how many texts hold them, rarest first, so that passages which many unlike texts share seldom lie in a prefix.  Any
-fixed order gives the same links; the sketch only makes for fewer candidates.
+order puts hashes that no other set holds first (a filter of those that recur, from exact counts, tells them): they
+match nothing and are not sent on, and a text of which more than a share of 1 - s is its own sends nothing.  The rest
+come by a bounded sketch of the counts, rarest first, so that passages which many unlike texts share seldom lie in a
+prefix.  Any fixed order gives the same links; the sketch only makes for fewer candidates.
 
 Fingerprints of the sets that send something go through SimHash's vantage-point tree, which finds the closest copies;
 shared prefix hashes find the others.  Components over both hold every similar pair.  The sets of a component meet in
@@ -27,10 +27,8 @@ from .components import components
 from .passages import rolling, word_hashes
 from .simhash import fingerprint_links, fold_bits
 
-#: Bits of the filter a shingle: bits that two tasks set count as met twice, so 4 let some 1 in 200 pass by chance.
+#: Bits of the filter a shingle; only shingles that recur are put into it.
 PER_HASH = 4
-#: Hashes that a task puts into the filter at once.
-AT_ONCE = 1 << 18
 #: Sets of a component that make a block; a task compares two blocks at most.
 BLOCK_SETS = 3_000
 #: Sets remembered in a task; one met again after that only costs a repeated row.
@@ -99,16 +97,10 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     scratch = Scratch(spark, "jaccard")
     texts = docs.select(F.col(text_col).alias("text"))
     n_words = docs.agg(F.sum(word_count(F.col(text_col)))).first()[0] or 0
-    bits = bloom.filter_bits(n_words, PER_HASH)
-    met = lambda batch: np.concatenate([np.zeros(0, np.uint64), *(shingle_set(x.as_py(), shingle) for x in batch.column(0))])
-    twice = spark.sparkContext.broadcast(bloom.repeats(texts, met, bits, at_once=AT_ONCE))
-
-    def repeated(batch):
-        found = met(batch)
-        return found[bloom.contains(twice.value, found, bits)]
-
-    cells = bloom.sketch_cells(n_words)
-    common = spark.sparkContext.broadcast(bloom.sketch(texts, repeated, cells))
+    recurring = bloom.Recurring(n_words, PER_HASH)
+    bitmap, sketch = recurring.count(texts, lambda x: shingle_set(x.as_py(), shingle))
+    twice, common = (spark.sparkContext.broadcast(x) for x in (bitmap, sketch))
+    del bitmap, sketch
 
     def sets_of(batches):
         import xxhash
@@ -119,7 +111,8 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
             for text in batch.column(2):
                 own = shingle_set(text.as_py(), shingle)
                 key = xxhash.xxh3_64_intdigest(own.tobytes())
-                again = own[bloom.contains(twice.value, own, bits)]
+                recurs, often = recurring.find(twice.value, common.value, own)
+                again, often = own[recurs], often[recurs]
                 most = prefix_length(len(own), similarity) - (len(own) - len(again))
                 keys.append(key)
                 sizes.append(len(own))
@@ -129,7 +122,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
                     codes.append(None)
                     continue
                 seen.add(key)
-                rank = np.lexsort((again, common.value[bloom.cell(again, cells)]))
+                rank = np.lexsort((again, often))
                 fps.append(int(np.uint64(fold_bits(own)).view(np.int64)))
                 prefixes.append(again[rank[:most]].view(np.int64))
                 codes.append(again.tobytes())

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lamina.llm import jaccard, packing, quality, tokens
+from lamina.llm import bloom, jaccard, packing, quality, tokens
 from lamina.llm.common import Scratch
 from lamina.llm.queries import vocabulary
 from test_operators import brute_classes, brute_fingerprint, words
@@ -136,3 +136,38 @@ def test_one_of_many_copies_keeps_its_text(spark, sf, tmp_path):
     assert [(r.doc_id, r.text, r.n_chars) for r in kept] == [(90_000, text, len(text))]
     packed = {r.doc_id: r.length for r in corpus_pipeline.run(spark, str(tmp_path)).where("doc_id >= 90000").collect()}
     assert packed[90_000] == len(tokens.encoder(vocabulary("byte_bpe_50k.json")).encode([text])[0]) + 1
+
+
+def test_texts_of_their_own_send_nothing_however_many(spark, monkeypatch):
+    """A filter far smaller than the corpus, as 32 MB are for 6 GB: texts without a copy still send no shingles."""
+    rng = random.Random(4)
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(300)] for _ in range(2500)]
+    texts += [[*texts[3][:-1], "end"], texts[9]]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(bloom, "MOST_BITS", bloom.BLOCK * 8)
+    sending, table = [], Scratch.table
+
+    def watched(self, df, name, **options):
+        out = table(self, df, name, **options)
+        if name == "rows" and "fp" in df.columns:
+            sending.append(out.where("fp IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(Scratch, "table", watched)
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()}
+    assert kept == set(range(2500))
+    assert sending[0] < 100, sending
+
+
+def test_counts_of_hashes_are_exact(spark):
+    rng = np.random.default_rng(2)
+    once, often = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (30_000, 3000))
+    times = 2 + np.arange(len(often)) % 40
+    sent = np.concatenate([once, np.repeat(often, times)])
+    rng.shuffle(sent)
+    rows = spark.createDataFrame([(x.tobytes(),) for x in np.array_split(sent, 300)], "h binary").repartition(3)
+    told = bloom.Recurring(1 << 23, 4)  # eight shards
+    bitmap, sketch = told.count(rows, lambda x: np.frombuffer(x.as_py(), np.uint64))
+    recurs, count = told.find(bitmap, sketch, often)
+    assert recurs.all() and (count >= (4 * np.log2(times)).astype(int)).all() and (count == (4 * np.log2(times)).astype(int)).mean() > 0.9
+    assert told.find(bitmap, sketch, once)[0].mean() < 0.02
