@@ -1,14 +1,15 @@
 """Exact top-k BM25 search over sharded inverted indexes with block-max WAND pruning.
 
-Each task turns the documents it reads into shards.  A shard's documents are ordered by a clustering of their frequent
-words and by length and cut into blocks of ``BLOCK``.  The index stores postings with their impacts and, for the
-shard's frequent words, the largest impact of every block (one byte, rounded up).  Texts are not shuffled; document
-frequencies, the number of documents and their mean length are global, so scores of different shards compare.
+Each task turns the documents it reads into shards.  A shard's documents are clustered by their frequent words; a
+cluster is a range of documents, ordered by length, with frequent words of its own.  The index stores the largest impact
+of each of them in its range (the block maxima), their counts by document, and postings of the other words.  Texts are
+not shuffled; document frequencies, the number of documents and their mean length are global, so scores of different
+shards compare.
 
-Within a shard, block maxima of a query's frequent words, times their weights, give bounds of all blocks as one matrix
-product for many queries.  The lists of its other words are short and are added up; a document's bound is its sum plus
-its block's bound.  The best bounded documents are scored first and raise the query's threshold; a document whose bound
-stays below it is skipped (the WAND condition), so the long lists are never walked: what passes looks its counts up.
+Within a shard the lists of a query's other words, which are short, are added up for some queries together.  Where a
+range's largest sum and its block maxima stay below a query's threshold, the range is skipped (the WAND condition).  In
+the ranges left, what frequent words add comes from one matrix product for many queries, in single precision and with
+room for it; only documents whose bound reaches the threshold are scored exactly.
 
 Queries go through the shards in bounded blocks and in rounds over growing shares of the shards.  A query enters a
 round with the k-th best score so far as its threshold, so later shards send on only what may still be among the best.
@@ -24,20 +25,26 @@ from pyspark.sql import functions as F
 from .common import Scratch, word_count
 
 K1, B = 1.2, 0.75
-#: Documents of a block.
-BLOCK = 8
+#: Documents of a range at least (smaller clusters share one).
+RANGE_DOCS = 512
 #: Postings of a shard, about, and documents at most; they bound what a task holds.
 SHARD_POSTINGS, SHARD_DOCS = 3_000_000, 60_000
-#: Words of a shard that have block maxima: those in more than a share of its documents, the most frequent at most.
-FREQUENT_SHARE, FREQUENT = 1 / 8, 512
-#: Lists of more postings are added up one by one, shorter ones together.
-LONG = 200
-#: Query terms broadcast at once, about (16 bytes each), and queries whose bounds are made at once.
-BLOCK_TERMS, AT_ONCE = 2_000_000, 256
+#: Documents are clustered by words in more than a share of a shard's documents, in so many rounds.
+CLUSTER_SHARE, ROUNDS = 1 / 8, 6
+#: A range's frequent words: those in more than a share of its documents and in more than a few, the most frequent at
+#: most.  They and the shard's documents make so many cells at most.
+FREQUENT_SHARE, FEW, FREQUENT, CELLS = 1 / 16, 16, 768, 8_000_000
+#: Postings of other words that are added up at once, about.
+LONG = 100_000
+#: Query terms broadcast at once, about (16 bytes each), and queries and bounds made at once.
+BLOCK_TERMS, AT_ONCE, AT_ONCE_BOUNDS = 2_000_000, 256, 2_500_000
 #: Scores are compared after rounding to so many digits.
 DIGITS = 6
-INDEX = "share double, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary, frequent binary, maxima binary"
-KINDS = {"ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.uint16, "counts": np.int32, "frequent": np.int64, "maxima": np.uint8}
+KINDS = {
+    "ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "lists": np.int64, "docs": np.uint16, "counts": np.int32,
+    "ranges": np.int64, "frequent": np.int64, "maxima": np.float64, "rows": np.int16, "places": np.uint16, "often": np.int32,
+}
+INDEX = ", ".join(["share double", *(f"{name} binary" for name in KINDS)])
 
 
 def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -54,48 +61,58 @@ def impact(count: np.ndarray, length: np.ndarray, mean_length: float) -> np.ndar
 
 
 def _clusters(docs: np.ndarray, codes: np.ndarray, n_docs: int, n_codes: int, k: int = 12) -> np.ndarray:
-    """A cluster for each document by its frequent words: seeds far apart, then one round of means."""
+    """A cluster for each document by its frequent words: spherical k-means from random documents."""
     held = np.zeros((n_docs, n_codes), np.float32)
     held[docs, codes] = 1
     held /= np.maximum(np.sqrt(held.sum(1, keepdims=True)), 1)
-    centres, near = held[:1], held @ held[0]
-    while len(centres) < min(k, n_docs):
-        centres = np.vstack([centres, held[near.argmin()]])
-        near = np.maximum(near, held @ centres[-1])
-    own = (held @ centres.T).argmax(1)
-    sums = np.zeros((len(centres), n_codes), np.float32)
-    np.add.at(sums, own, held)
-    return (held @ (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).T).argmax(1)
+    centres = held[np.random.default_rng(0).permutation(n_docs)[:k]]
+    for _ in range(ROUNDS):
+        own = (held @ centres.T).argmax(1)
+        sums = np.stack([held[own == c].sum(0) for c in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    return (held @ centres.T).argmax(1)
 
 
 def build_shard(ids: list, lengths: list[int], terms: list[np.ndarray], counts: list[np.ndarray], mean_length: float) -> dict[str, np.ndarray]:
     """The arrays of one shard, by the names of ``KINDS``."""
     n_docs, sizes = len(ids), [len(t) for t in terms]
-    term, docs, count, length = np.concatenate(terms), np.repeat(np.arange(n_docs), sizes), np.concatenate(counts), np.array(lengths, np.int64)
+    term, doc, count, length = np.concatenate(terms), np.repeat(np.arange(n_docs), sizes), np.concatenate(counts), np.array(lengths, np.int64)
     found, code = np.unique(term, return_inverse=True)
-    df = np.bincount(code, minlength=len(found))
-    frequent = np.argsort(-df, kind="stable")[: min(FREQUENT, int((df > max(2 * BLOCK, FREQUENT_SHARE * n_docs)).sum()))]
-    place = np.full(len(found), -1)
-    place[frequent] = np.arange(len(frequent))
-    of = place[code]
-    if len(frequent):
-        top = (of >= 0) & (of < 256)
-        own = _clusters(docs[top], of[top], n_docs, min(256, len(frequent)))
-        order = np.lexsort((length, own))
-        at = np.empty(n_docs, np.int64)
-        at[order] = np.arange(n_docs)
-        ids, length, docs = [ids[i] for i in order], length[order], at[docs]
-    sort = np.lexsort((docs, code))
-    docs, count, of, code = docs[sort].astype(np.uint16), count[sort].astype(np.int32), of[sort], code[sort]
-    exact = impact(count, length[docs], mean_length)
-    n_blocks = -(-n_docs // BLOCK)
-    maxima = np.zeros(len(frequent) * n_blocks, np.uint8)
-    top = of >= 0
-    np.maximum.at(maxima, of[top] * n_blocks + docs[top].astype(np.int64) // BLOCK, np.ceil(exact[top] * (255 / (K1 + 1))).astype(np.uint8))
-    known = np.array([i is not None for i in ids], np.int64)
-    raw = np.array([i or 0 for i in ids], np.int64)
-    starts = np.append(np.searchsorted(code, np.arange(len(found))), len(code))
-    return {"ids": np.stack([raw, known]), "lengths": length, "terms": found, "starts": starts.astype(np.int64), "docs": docs, "counts": count, "frequent": frequent.astype(np.int64), "maxima": maxima}
+    df, n_terms = np.bincount(code, minlength=len(found)), len(found)
+    own = np.zeros(n_docs, np.int64)
+    typical = np.argsort(-df, kind="stable")[: min(256, int((df > max(FEW, CLUSTER_SHARE * n_docs)).sum()))]
+    if len(typical):
+        place = np.full(n_terms, -1)
+        place[typical] = np.arange(len(typical))
+        of = place[code]
+        own = _clusters(doc[of >= 0], of[of >= 0], n_docs, len(typical))
+    size = np.bincount(own)
+    _, own = np.unique(np.where(size[own] < RANGE_DOCS, -1, own), return_inverse=True)  # small clusters are one range
+    order = np.lexsort((length, own))
+    at = np.empty(n_docs, np.int64)
+    at[order] = np.arange(n_docs)
+    ids, length, own, doc = [ids[i] for i in order], length[order], own[order], at[doc].astype(np.uint16)
+    size = np.bincount(own)
+    n_ranges = len(size)
+    held = np.bincount(own[doc] * n_terms + code, minlength=n_ranges * n_terms).reshape(n_ranges, n_terms)
+    frequent, place = np.full((n_ranges, min(FREQUENT, CELLS // n_docs)), -1), np.full((n_ranges, n_terms), -1, np.int16)
+    for r in range(n_ranges):
+        many = np.flatnonzero(held[r] > max(FEW, FREQUENT_SHARE * size[r]))
+        many = many[np.argsort(-held[r, many], kind="stable")][: frequent.shape[1]]
+        frequent[r, : len(many)], place[r, many] = many, np.arange(len(many))
+    frequent = frequent[:, : int((frequent >= 0).sum(1).max())]
+    row = place[own[doc], code]
+    often, rare = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+    where = doc[often]
+    maxima = np.zeros(frequent.size)
+    np.maximum.at(maxima, row[often].astype(np.int64) * n_ranges + own[where], impact(count[often], length[where], mean_length))
+    rare = rare[np.argsort(code[rare], kind="stable")]
+    known, raw = np.array([i is not None for i in ids], np.int64), np.array([i or 0 for i in ids], np.int64)
+    starts = lambda number: np.append(0, np.cumsum(number))
+    return {
+        "ids": np.stack([raw, known]), "lengths": length, "terms": found, "starts": starts(df), "lists": starts(np.bincount(code[rare], minlength=n_terms)), "docs": doc[rare], "counts": count[rare].astype(np.int32),
+        "ranges": starts(size), "frequent": frequent, "maxima": maxima, "rows": row[often], "places": where, "often": count[often].astype(np.int32),
+    }
 
 
 def _index(mean_length: float):
@@ -144,55 +161,93 @@ def _frequencies(batches):
 
 
 class Shard:
-    """One shard's postings, with the counts of its frequent words by document."""
+    """One shard: each range's frequent words with their block maxima and counts by document, and lists of the others."""
 
     def __init__(self, row: dict, mean_length: float):
         self.ids, self.known = _load(row, "ids").reshape(2, -1)
-        self.lengths, self.terms, self.starts, counts, frequent = (_load(row, k) for k in ("lengths", "terms", "starts", "counts", "frequent"))
-        self.docs = _load(row, "docs").astype(np.int64)
-        self.impacts = impact(counts, self.lengths[self.docs], mean_length)
-        self.mean_length, self.n_blocks = mean_length, -(-len(self.ids) // BLOCK)
-        self.maxima = _load(row, "maxima").reshape(len(frequent), self.n_blocks).astype(np.float32) * np.float32((K1 + 1) / 255)
+        self.lengths, self.terms, self.starts, self.lists, self.docs, counts, self.ranges = (_load(row, k) for k in ("lengths", "terms", "starts", "lists", "docs", "counts", "ranges"))
+        self.impacts, self.mean_length, n_ranges = impact(counts, self.lengths[self.docs], mean_length), mean_length, len(self.ranges) - 1
+        frequent = _load(row, "frequent").reshape(n_ranges, -1)
+        n_rows = frequent.shape[1]
+        self.maxima = _load(row, "maxima").reshape(n_rows, n_ranges).astype(np.float32)
+        rows, places, often = (_load(row, k) for k in ("rows", "places", "often"))
+        cells = places * np.int64(n_rows + 1) + rows  # the last row is of words without one
+        self.often, self.frequent = np.zeros((len(self.ids), n_rows + 1), np.int32), np.zeros((len(self.ids), n_rows + 1), np.float32)
+        self.often.ravel()[cells] = often
+        self.frequent.ravel()[cells] = impact(often, self.lengths[places], mean_length)
+        words = np.unique(frequent[frequent >= 0])  # frequent in some range
         self.place = np.full(len(self.terms), -1)
-        self.place[frequent] = np.arange(len(frequent))
-        self.often = np.zeros((len(self.ids), len(frequent)))
-        for k, t in enumerate(frequent.tolist()):
-            a, b = self.starts[t], self.starts[t + 1]
-            self.often[self.docs[a:b], k] = self.impacts[a:b]
-
-    def bounds(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Bounds of what frequent words add, by query and block, with room for the rounding of single precision."""
-        weights = np.zeros((len(queries), len(self.maxima)), np.float32)
-        for i, (terms, idf) in enumerate(queries):
-            own = self.place[terms]
-            weights[i, own[own >= 0]] = idf[own >= 0]
-        return (weights @ self.maxima).astype(np.float64) * (1 + 1e-4)
-
-    def _sums(self, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
-        """What the lists of these words add to each document, and to none for the rest of the last block."""
-        begin, n = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
-        short = n <= LONG
-        size = n[short]
-        at = np.repeat(begin[short] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        # Without any posting bincount gives integers.
-        out = np.bincount(self.docs[at], self.impacts[at] * np.repeat(idf[short], size), minlength=self.n_blocks * BLOCK).astype(np.float64, copy=False)
-        for a, b, w in zip(begin[~short].tolist(), (begin + n)[~short].tolist(), idf[~short].tolist(), strict=True):
-            out[self.docs[a:b]] += w * self.impacts[a:b]
+        self.place[words] = np.arange(len(words))
+        self.rows = np.full((n_ranges, len(words)), n_rows)  # a word's row in each range
+        for r in range(n_ranges):
+            of = frequent[r][frequent[r] >= 0]
+            self.rows[r, self.place[of]] = np.arange(len(of))
+        self.own = np.repeat(np.arange(n_ranges), np.diff(self.ranges))  # a document's range
+        self.weight, self.added = np.zeros(len(self.terms)), np.zeros(len(self.docs))
+
+    def weigh(self, terms: np.ndarray, idf: np.ndarray) -> None:
+        """Multiplies the impacts of lists by the words' weights, which are the same in all queries."""
+        if not np.array_equal(self.weight[terms], idf):
+            self.weight[terms] = idf
+            self.added = self.impacts * np.repeat(self.weight, np.diff(self.lists))
+
+    def _sums(self, terms: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """What the lists of each query's words add to each document."""
+        begin, n_docs = self.lists[terms], len(self.ids)
+        size = self.lists[terms + 1] - begin
+        before = np.append(0, np.cumsum(size))
+        out, lo = np.empty((len(offsets) - 1, n_docs)), 0
+        while lo < len(out):  # some queries together, with about ``LONG`` postings
+            hi = max(lo + 1, int(np.searchsorted(before[offsets], before[offsets[lo]] + LONG, "right")) - 1)
+            a, b = offsets[lo], offsets[hi]
+            at = np.repeat(begin[a:b] - before[a:b], size[a:b])
+            at += np.arange(before[a], before[b])
+            key = np.repeat(np.arange(hi - lo) * n_docs, np.diff(before[offsets[lo : hi + 1]]))
+            key += self.docs.take(at)
+            # Without any posting bincount gives integers.
+            out[lo:hi] = np.bincount(key, self.added.take(at), (hi - lo) * n_docs).reshape(hi - lo, n_docs)
+            lo = hi
         return out
 
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, floor: float, block_bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def bounds(self, queries: list[tuple[np.ndarray, np.ndarray]], floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query what lists add to each document and, with room for single precision, bounds of whole scores.
+
+        A range none of whose documents can reach a query's floor is skipped: its bounds are too low, but below the floor.
+        """
+        sizes = [len(t) for t, _ in queries]
+        terms, idf = np.concatenate([t for t, _ in queries]), np.concatenate([w for _, w in queries])
+        self.weigh(terms, idf)
+        sums = self._sums(terms, np.append(0, np.cumsum(sizes)))
+        out = sums.astype(np.float32)
+        query, word = np.repeat(np.arange(len(queries)), sizes), self.place[terms]
+        some = word >= 0
+        query, word, idf = query[some], word[some], idf[some]
+        for r, (a, b) in enumerate(zip(self.ranges.tolist(), self.ranges[1:].tolist(), strict=False)):
+            weights = np.zeros((len(queries), len(self.maxima) + 1), np.float32)
+            weights[query, self.rows[r, word]] = idf
+            used = int((self.rows[r] < len(self.maxima)).sum())
+            weights, part = weights[:, :used], out[:, a:b]
+            need = np.arange(len(queries))
+            if floors is not None:
+                need = np.flatnonzero((weights @ self.maxima[:used, r] + part.max(1)) * (1 + 1e-4) >= floors - 10.0**-DIGITS)
+            part[need] += weights[need] @ self.frequent[a:b, :used].T
+        out *= np.float32(1 + 1e-4)
+        return list(zip(sums, out, strict=True))
+
+    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, floor: float, made: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) that may be among the k best, all with rounded scores of at least ``floor``."""
+        sums, bound = made
+        low = max(floor - 10.0**-DIGITS, 1e-12)  # a score may be less than what it is rounded to
+        found = np.flatnonzero(bound >= low)
+        if not len(found):
+            return found, np.zeros(0)
         place = self.place[terms]
-        rare = place < 0
-        columns, weights = place[~rare], idf[~rare]
-        sums = self._sums(terms[rare], idf[rare])
-        bound = (sums.reshape(self.n_blocks, BLOCK) + block_bounds[:, None]).ravel()[: len(self.ids)]
+        rows, weights = self.rows[:, place[place >= 0]], idf[place >= 0]
 
         def scores_of(docs: np.ndarray) -> np.ndarray:
-            return np.round(sums[docs] + self.often[docs[:, None], columns[None, :]] @ weights, DIGITS)
+            counts = self.often[docs[:, None], rows[self.own[docs]]]
+            return np.round(sums[docs] + impact(counts, self.lengths[docs][:, None], self.mean_length) @ weights, DIGITS)
 
-        low = max(floor - 10.0**-DIGITS, 1e-12)  # a score may be less than what it is rounded to
-        found = np.flatnonzero(bound >= low)
         if len(found) > 4 * k:
             order = np.argpartition(bound[found], len(found) - 4 * k)
             found, later = found[order[len(found) - 4 * k :]], found[order[: len(found) - 4 * k]]
@@ -215,7 +270,8 @@ def _search(block, mean_length: float, k: int):
 
     def run(batches):
         ids, offsets, terms, idf, floors = block.value
-        distinct, back = np.unique(terms, return_inverse=True)
+        distinct, first, back = np.unique(terms, return_index=True, return_inverse=True)
+        weight = idf[first]
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(row, mean_length)
@@ -223,11 +279,13 @@ def _search(block, mean_length: float, k: int):
                     continue
                 at = np.minimum(np.searchsorted(shard.terms, distinct), len(shard.terms) - 1)
                 at = np.where(shard.terms[at] == distinct, at, -1)
-                for lo in range(0, len(ids), AT_ONCE):
-                    some, query, doc, score = range(lo, min(lo + AT_ONCE, len(ids))), [], [], []
+                shard.weigh(at[at >= 0], weight[at >= 0])
+                at_once = max(1, min(AT_ONCE, AT_ONCE_BOUNDS // len(shard.ids)))
+                for lo in range(0, len(ids), at_once):
+                    some, query, doc, score = range(lo, min(lo + at_once, len(ids))), [], [], []
                     own = [at[back[offsets[q] : offsets[q + 1]]] for q in some]
                     asked = [(t[t >= 0], idf[offsets[q] : offsets[q + 1]][t >= 0]) for q, t in zip(some, own, strict=True)]
-                    for q, (t, w), bounds in zip(some, asked, shard.bounds(asked), strict=True):
+                    for q, (t, w), bounds in zip(some, asked, shard.bounds(asked, floors[lo : lo + at_once]), strict=True):
                         if len(t):
                             docs, found = shard.top(t, w, k, floors[q], bounds)
                             query += [ids[q]] * len(docs)

@@ -509,6 +509,31 @@ def test_pruning_keeps_the_best(monkeypatch):
             assert sorted(zip((-score).tolist(), index.ids[docs].tolist())) == wanted
 
 
+def test_ranges_below_the_floor_are_skipped(monkeypatch):
+    """Documents of two vocabularies are two ranges; a query of one leaves the other alone and misses nothing."""
+    rng = np.random.default_rng(5)
+    batch = [(i, " ".join(f"{'ab'[i % 2]}{int(x)}" for x in rng.zipf(1.3, 60) % 300) + f" both{int(rng.integers(3))}") for i in range(400)]
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "RANGE_DOCS", 1)
+    shard = next(search._index(61.0)([pa.RecordBatch.from_arrays([pa.array([b[0] for b in batch]), pa.array([b[1] for b in batch])], ["id", "text"])])).to_pylist()[0]
+    index = search.Shard(shard, 61.0)
+    kinds = [set((index.ids[a:b] % 2).tolist()) for a, b in zip(index.ranges, index.ranges[1:], strict=False)]
+    assert {0} in kinds and {1} in kinds and {0, 1} not in kinds
+    idf = np.log(1 + (400 - np.diff(index.starts) + 0.5) / (np.diff(index.starts) + 0.5))
+    asked = [(at, idf[at]) for at in (np.searchsorted(index.terms, search.term_counts(t)[0]) for _, t in batch[:40])]
+    whole = [index.top(*q, 10, 0.0, made) for q, made in zip(asked, index.bounds(asked), strict=True)]
+    floors = np.array([score.min() for _, score in whole])
+    skipped = 0
+    for i, (q, (sums, bound), (docs, score)) in enumerate(zip(asked, index.bounds(asked, floors), whole, strict=True)):
+        other = index.ids % 2 != i % 2
+        assert (bound[other] < floors[i]).all()
+        skipped += np.allclose(bound[other], sums[other], rtol=1e-3)  # without the words of both
+        found = index.top(*q, 10, floors[i], (sums, bound))
+        assert sorted(zip(found[0].tolist(), found[1].tolist())) == sorted(zip(docs.tolist(), score.tolist()))
+    assert skipped > 30
+
+
 def test_ties_survive_later_rounds(spark):
     """Equal copies over more shards than the first round takes: the smallest ids win, however the score is rounded."""
     rng = random.Random(6)
