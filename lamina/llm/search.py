@@ -36,7 +36,7 @@ CLUSTER_SHARE, ROUNDS = 1 / 8, 6
 FREQUENT_SHARE, FEW, FREQUENT, CELLS = 1 / 16, 16, 768, 8_000_000
 #: Postings of other words that are added up at once, about.
 LONG = 100_000
-#: Query terms broadcast at once, about (16 bytes each), and queries and bounds made at once.
+#: Query terms broadcast at once, about (4 bytes each and 16 a distinct one), and queries and bounds made at once.
 BLOCK_TERMS, AT_ONCE, AT_ONCE_BOUNDS = 2_000_000, 256, 2_500_000
 #: Scores are compared after rounding to so many digits.
 DIGITS = 6
@@ -266,25 +266,24 @@ class Shard:
 
 
 def _search(block, mean_length: float, k: int):
-    """``block``: a broadcast (query ids, offsets, terms, idf, floors)."""
+    """``block``: a broadcast (query ids, offsets, distinct terms, their idf, each query's terms as places, floors)."""
 
     def run(batches):
-        ids, offsets, terms, idf, floors = block.value
-        distinct, first, back = np.unique(terms, return_index=True, return_inverse=True)
-        weight = idf[first]
         for batch in batches:
             for row in batch.to_pylist():
+                ids, offsets, distinct, idf, places, floors = block.value  # tasks without a shard don't load it
                 shard = Shard(row, mean_length)
                 if not len(shard.terms):
                     continue
                 at = np.minimum(np.searchsorted(shard.terms, distinct), len(shard.terms) - 1)
                 at = np.where(shard.terms[at] == distinct, at, -1)
-                shard.weigh(at[at >= 0], weight[at >= 0])
+                shard.weigh(at[at >= 0], idf[at >= 0])
                 at_once = max(1, min(AT_ONCE, AT_ONCE_BOUNDS // len(shard.ids)))
                 for lo in range(0, len(ids), at_once):
                     some, query, doc, score = range(lo, min(lo + at_once, len(ids))), [], [], []
-                    own = [at[back[offsets[q] : offsets[q + 1]]] for q in some]
-                    asked = [(t[t >= 0], idf[offsets[q] : offsets[q + 1]][t >= 0]) for q, t in zip(some, own, strict=True)]
+                    own = [places[offsets[q] : offsets[q + 1]] for q in some]
+                    own = [p[at[p] >= 0] for p in own]
+                    asked = [(at[p], idf[p]) for p in own]
                     for q, (t, w), bounds in zip(some, asked, shard.bounds(asked, floors[lo : lo + at_once]), strict=True):
                         if len(t):
                             docs, found = shard.top(t, w, k, floors[q], bounds)
@@ -345,7 +344,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
             continue
         sizes = np.array(block.column("terms").combine_chunks().value_lengths())
         flat = lambda c: block.column(c).combine_chunks().flatten().to_numpy()
-        part = block.column("query_id").to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), flat("terms").view(np.uint64), flat("idf")
+        distinct, first, places = np.unique(flat("terms").view(np.uint64), return_index=True, return_inverse=True)
+        part = block.column("query_id").to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), distinct, flat("idf")[first], places.astype(np.int32)
         floors, hits = np.zeros(block.num_rows), None
         for step, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
             shared = spark.sparkContext.broadcast((*part, floors))
