@@ -62,7 +62,7 @@ def heading_marks(line: Column) -> Column:
 
 
 def heading_text(line: Column) -> Column:
-    return F.regexp_extract(line, r"^#{1,6}\s+(.+?)\s*$", 1)
+    return F.regexp_extract(line, r"(?d)^#{1,6}\s+(.+?)\s*$", 1)
 
 
 def signature(text: Column) -> Column:
