@@ -186,12 +186,15 @@ def kernel(side: Column, ratio: float) -> Column:
 
 
 def merge_shallow(tables: DataFrame, by: list[str], page: str, title: float = 0.05, below: float = 0.10) -> DataFrame:
-    """Regions (y1, y2): one of at most 5 % of the page and 10 % of the next region's height joins that one."""
-    w = Window.partitionBy(*by).orderBy("y1")
+    """Regions (y1, y2): one of at most 5 % of the page and 10 % of the next region's height joins that one.
+
+    Empty regions (y1 = y2) come before the one that starts there; equal ones are counted one by one.
+    """
+    w = Window.partitionBy(*by).orderBy("y1", "y2")
     height, following = F.col("y2") - F.col("y1"), F.lead("y2").over(w) - F.lead("y1").over(w)
     shallow = F.coalesce((height <= title * F.col(page)) & (height <= below * following), F.lit(False))
     marked = tables.withColumn("_down", shallow)
-    started = marked.withColumn("_group", F.sum(F.when(F.coalesce(F.lag("_down").over(w), F.lit(False)), 0).otherwise(1)).over(w))
+    started = marked.withColumn("_group", F.sum(F.when(F.coalesce(F.lag("_down").over(w), F.lit(False)), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return started.groupBy(*by, page, "_group").agg(F.min("y1").alias("y1"), F.max("y2").alias("y2")).drop("_group")
 
 

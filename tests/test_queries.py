@@ -90,3 +90,7 @@ def test_heading_lines_of_odd_pages(spark, tmp_path):
     inside = ["", " ", "a ", " a", "\ta\t", "a\u00a0", "#", "# a", "a\nb", "a\rb", "a\u2028b", "a\u0085", "|", "<b>a</b>", "a</h1> <h1>b"]
     pages = [None, "", "<p>none</p>", "<H1>a</H1>", "<h1>open"] + [f"<h1 class='x'>{x}</h1>" for x in inside]
     same_on_rows(spark, tmp_path, "q_heading_lines", "pages", [(f"u{i}", x) for i, x in enumerate(pages)], "url string, html string")
+
+
+def test_shallow_merge_of_odd_texts(spark, tmp_path):
+    same_on_rows(spark, tmp_path, "q_shallow_merge", "documents", list(enumerate(ODD_TEXTS)), "doc_id long, text string")
