@@ -11,8 +11,8 @@ from pyspark.sql.types import DoubleType, StringType
 BUSY = ["识别失败", "请求过载", "请求超载", "服务器繁忙", "系统繁忙", "服务繁忙", "模型繁忙", "稍后重试", "too many requests", "overload", "temporarily unavailable"]
 #: Protocols that take no prompt.
 WITHOUT_PROMPT = ["official_multipart", "local_paddleocr_vl", "local_firered_ocr"]
-#: White space beyond ASCII that trimming removes as well.
-BLANK = r"[\s\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The white space that trimming removes.
+BLANKS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Chinese numerals of numbered headings, and the patterns of those that aren't Arabic with their levels.
 _NUMERAL = "一二三四五六七八九十百"
 NUMBERED = [(f"^第[{_NUMERAL}0-9]+章", 2), (f"^第[{_NUMERAL}0-9]+[节条]", 3), (f"^[{_NUMERAL}]+[、．.]", 2), (f"^[（(][{_NUMERAL}0-9]+[）)]", 4)]
@@ -21,9 +21,14 @@ PUNCTUATION = r"#：:，,。．.、（）()\-—_"
 SENTENCE_ENDS = "。；;，,"
 
 
+def with_one(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it: a one-element array carries it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def strip(text: Column) -> Column:
     """Trims white space, ideographic spaces included."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def lines(text: Column) -> Column:
@@ -46,14 +51,16 @@ def prompt_for(protocol: Column, prompt: Column) -> Column:
 
 def numbered_level(text: Column) -> Column:
     """Heading level of a numbered line, null if it isn't one."""
-    value = strip(text)
     arabic = r"^(\d+(?:\.\d+){0,4})(?:[\s\x{3000}、．]|$)"
-    number = F.regexp_extract(value, arabic, 1)
-    dots = F.length(number) - F.length(F.replace(number, F.lit("."), F.lit("")))
-    out = F.when((number != "") & ((dots > 0) | (F.length(F.regexp_replace(number, "^0+", "")) <= 2)), F.least(F.lit(5), dots + 2)).when(number != "", F.lit(None).cast("int"))
-    for pattern, level in NUMBERED:
-        out = out.when(value.rlike(pattern), F.lit(level))
-    return out
+
+    def told(value: Column, number: Column) -> Column:
+        dots = F.length(number) - F.length(F.replace(number, F.lit("."), F.lit("")))
+        out = F.when((number != "") & ((dots > 0) | (F.length(F.regexp_replace(number, "^0+", "")) <= 2)), F.least(F.lit(5), dots + 2)).when(number != "", F.lit(None).cast("int"))
+        for pattern, level in NUMBERED:
+            out = out.when(value.rlike(pattern), F.lit(level))
+        return out
+
+    return with_one(strip(text), lambda value: with_one(F.regexp_extract(value, arabic, 1), lambda number: told(value, number)))
 
 
 def heading_marks(line: Column) -> Column:
@@ -114,9 +121,8 @@ def response_content(payload: Column) -> Column:
     """A struct (content, error) of a service's nested response.
 
     ``error`` is ``permanent``, ``temporary``, ``empty`` or null.  The inner result may be a JSON string; the content
-    may be a string or a list of texts.  Each level is parsed once: a one-element array carries what it gives on.
+    may be a string or a list of texts.  Each level is parsed once.
     """
-    with_one = lambda value, f: F.transform(F.array(value), f)[0]
 
     def told(outer: Column) -> Column:
         content = F.from_json(outer["result"]["result"], _INNER)["choices"][0]["message"]["content"]

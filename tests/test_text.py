@@ -177,3 +177,13 @@ def test_pack_repair(spark):
     assert repair("# 一、概述\n正文", [("a", 3)]) == "### 一、概述\n正文"
     assert repair("保险条款\n正文。", [("a", 1)]) == "# 保险条款\n正文。"
     assert repaired(spark, H.repair_pack, "目录\n1 总则", [("a", 1)], HINTS, "table_of_contents") == "# 目录\n1 总则"
+
+
+def test_stripping_equals_python_and_numbers_are_matched_once(spark):
+    """Each pattern stands in an expression once, so a line is matched once."""
+    blanks = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+    texts = ["", *blanks, "".join(blanks), *(f"{b}a{b}b{b}" for b in blanks), "\u200ba\u200b", "  😀\n\n"]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert [r[0] for r in frame.select(T.strip(F.col("t"))).collect()] == [*map(str.strip, texts), None]
+    told = frame.select(H.renumber(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().expressions().toString()
+    assert [told.count(p) for p in (r"^(\d+(?:", *(p for p, _ in T.NUMBERED))] == [1] * 5
