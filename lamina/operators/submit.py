@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,12 +14,17 @@ def remap(names: DataFrame, mapping: DataFrame, name: str = "file_name") -> Data
 
 
 def problems(template: DataFrame, branches: list[DataFrame], key: str = "file_name") -> DataFrame:
-    """(problem, key): template names given twice, results given twice, missing and not asked for."""
-    results = reduce(DataFrame.unionByName, [b.select(key) for b in branches])
-    twice = lambda df, what: df.groupBy(key).count().where("count > 1").select(F.lit(what).alias("problem"), key)
-    missing = template.select(key).distinct().join(results, key, "left_anti").select(F.lit("missing").alias("problem"), key)
-    extra = results.distinct().join(template, key, "left_anti").select(F.lit("extra").alias("problem"), key)
-    return twice(template, "template_duplicate").unionByName(twice(results, "duplicate")).unionByName(missing).unionByName(extra)
+    """(problem, key): template names given twice, results given twice, missing and not asked for.
+
+    Names are counted on both sides in one aggregation, which combines before the shuffle; there is no join.
+    """
+    sides = [template.select(key, F.lit(True).alias("_asked")), *[b.select(key, F.lit(False).alias("_asked")) for b in branches]]
+    asked, given = F.count_if(F.col("_asked")).alias("_n"), F.count_if(~F.col("_asked")).alias("_given")
+    counted = reduce(DataFrame.unionByName, sides).groupBy(key).agg(asked, given)
+    unmet = lambda n: (F.col(n) == 0) | F.col(key).isNull()  # noqa: E731  # a null name meets no other
+    told = [("template_duplicate", F.col("_n") > 1), ("duplicate", F.col("_given") > 1), ("missing", (F.col("_n") > 0) & unmet("_given")), ("extra", (F.col("_given") > 0) & unmet("_n"))]
+    found = counted.where(reduce(Column.__or__, [wrong for _, wrong in told])).withColumn("problem", F.explode(F.array_compact(F.array(*[F.when(wrong, F.lit(name)) for name, wrong in told]))))
+    return found.select("problem", key)
 
 
 def combine(template: DataFrame, branches: list[DataFrame], key: str = "file_name", order: str = "ord") -> DataFrame:

@@ -271,3 +271,15 @@ def test_axis_falls_back_to_white_bands(spark):
     white = spark.createDataFrame([(1, 0), (1, 100), (2, 0), (2, 30), (2, 100)], "k int, p int")
     got = {(r.k, r.source): 0 for r in bands.grid_axis(black, white, ["k"]).collect()}
     assert set(got) == {(1, "black_line"), (2, "white_band")}
+
+
+def test_problems_come_of_one_count(spark):
+    from lamina.operators import submit
+
+    names = lambda *x: spark.createDataFrame([(i,) for i in x], "file_name string")
+    found = submit.problems(names("a", "b", "b", "c", "d", None), [names("a", "c", "c"), names("c", "b", "e", "e", None)])
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [("template_duplicate", "b"), ("duplicate", "c"), ("duplicate", "e"), ("missing", "d"), ("missing", None), ("extra", "e"), ("extra", None)], key=repr
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
