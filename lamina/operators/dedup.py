@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from lamina.functions.keys import content_hash
 
+#: Fixed value: boxes of a group that is suppressed beside others of its size.
+SMALL = 64
+
 
 def groups(items: DataFrame, content: Column, key: str) -> DataFrame:
     """(sha256, n, canonical, last): one row a content; the smallest key is canonical."""
@@ -57,40 +60,59 @@ def suppress(boxes: DataFrame, by: list[str], overlap: float = 0.5) -> DataFrame
     """Greedy suppression: the strongest box stays, boxes of its label that overlap it go, and so on.
 
     What a box suppresses depends on the boxes kept before it, so each ``by`` group (an image's label) is one fold; sorted
-    partitions are streamed, and many small groups share a batch.
+    partitions are streamed, and many small groups share a batch.  Groups of at most ``SMALL`` boxes go through the fold
+    side by side, as rows of a matrix as wide as the largest of them.
     """
     import numpy as np
 
-    def survivors(x1, y1, x2, y2):
-        sizes, stay = np.maximum(0, x2 - x1) * np.maximum(0, y2 - y1), np.ones(len(x1), bool)
-        for i in range(len(x1)):
-            if stay[i]:
-                common = np.maximum(0, np.minimum(x2[i], x2) - np.maximum(x1[i], x1)) * np.maximum(0, np.minimum(y2[i], y2) - np.maximum(y1[i], y1))
-                union = sizes[i] + sizes - common
-                over = np.divide(common, union, out=np.zeros_like(common), where=union > 0) > overlap
-                stay[i + 1 :] &= ~over[i + 1 :]
+    def over(a, b):
+        """Whether boxes a and b (four arrays each, which broadcast) overlap too much."""
+        sizes = [np.maximum(0, x2 - x1) * np.maximum(0, y2 - y1) for x1, y1, x2, y2 in (a, b)]
+        common = np.maximum(0, np.minimum(a[2], b[2]) - np.maximum(a[0], b[0])) * np.maximum(0, np.minimum(a[3], b[3]) - np.maximum(a[1], b[1]))
+        union = sizes[0] + sizes[1] - common
+        return np.divide(common, union, out=np.zeros_like(common), where=union > 0) > overlap
+
+    def survivors(b):
+        """Which boxes of groups of one width stay; ``b`` is (4, groups, width)."""
+        stay = np.ones(b.shape[1:], bool)
+        for i in range(b.shape[2] - 1):
+            live = np.flatnonzero(stay[:, i])
+            if len(live):
+                stay[live, i + 1 :] &= ~over(b[:, live, i : i + 1], b[:, live, i + 1 :])
         return stay
 
+    def kept(whole):
+        group = _groups(whole, by)
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        sizes, b = np.diff(starts, append=len(group)), np.stack([whole[c].to_numpy(float) for c in ("x1", "y1", "x2", "y2")])
+        stay = np.ones(len(group), bool)
+        for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+            stay[start : start + size] = survivors(b[:, None, start : start + size])[0]
+        for width in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
+            at = starts[sizes == width][:, None] + np.arange(width)
+            stay[at] = survivors(b[:, at])
+        return whole[stay]
+
     def keep(batches):
-        held = None
-        for pdf in _then_none(batches):
-            if pdf is None:
-                whole, held = held, None
-            else:
-                held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-                last = (held[by] == held[by].iloc[-1]).all(axis=1).to_numpy() if len(held) else np.zeros(0, bool)
-                whole, held = held[~last], held[last]  # the last group may go on in the next batch
-            if whole is None or not len(whole):
+        open_ = []  # pieces of a group that may go on in the next batch
+        for pdf in batches:
+            if not len(pdf):
                 continue
-            group = whole.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
-            edges = np.flatnonzero(np.diff(np.concatenate([[-1], group, [group[-1] + 1]])))
-            boxes_ = [whole[c].to_numpy(float) for c in ("x1", "y1", "x2", "y2")]
-            yield whole[np.concatenate([survivors(*(b[i:j] for b in boxes_)) for i, j in zip(edges, edges[1:], strict=False)])]
+            group = _groups(pdf, by)
+            last = int(np.searchsorted(group, group[-1]))
+            if open_ and (last > 0 or _groups(pd.concat([open_[-1].tail(1), pdf.head(1)], ignore_index=True), by)[-1]):
+                yield kept(pd.concat([*open_, pdf[:last]], ignore_index=True))
+                open_ = []
+            elif last:
+                yield kept(pdf[:last])
+            open_.append(pdf[last:])
+        if open_:
+            yield kept(pd.concat(open_, ignore_index=True))
 
     ordered = boxes.repartition(*by).sortWithinPartitions(*by, F.desc("confidence"), "id")
     return ordered.mapInPandas(keep, boxes.schema)
 
 
-def _then_none(batches):
-    yield from batches
-    yield None
+def _groups(rows: pd.DataFrame, by: list[str]):
+    """Numbers of sorted rows' groups, from 0; null is a group."""
+    return rows.groupby(by, sort=False, dropna=False).ngroup().to_numpy()

@@ -283,3 +283,35 @@ def test_problems_come_of_one_count(spark):
     )
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("Aggregate") == 1
+
+
+def test_suppression_equals_brute_force_across_batches(spark):
+    """Groups of any size, null labels among them, that go on over several Arrow batches."""
+    import random
+
+    from lamina.operators import dedup
+
+    rng, rows = random.Random(3), []
+    for page, label, n in [(1, "a", 150), (1, None, 9), (1, "b", 1), (2, None, 70), (2, "a", 2), (3, "a", 5), (3, "b", 5), (None, "a", 4)]:
+        for i in range(n):
+            x, y = rng.randrange(60), rng.randrange(60)
+            rows.append((page, label, i, x, y, x + rng.randrange(40), y + rng.randrange(40), rng.randrange(5) / 4))
+
+    def iou(a, b):
+        common = max(0, min(a[5], b[5]) - max(a[3], b[3])) * max(0, min(a[6], b[6]) - max(a[4], b[4]))
+        union = sum((r[5] - r[3]) * (r[6] - r[4]) for r in (a, b)) - common
+        return common / union if union else 0.0
+
+    wanted = []
+    for r in sorted(rows, key=lambda r: (-r[7], r[2])):
+        if not any(k[:2] == r[:2] and iou(k, r) > 0.3 for k in wanted):
+            wanted.append(r)
+    frame = spark.createDataFrame(rows, "page long, label string, id int, x1 int, y1 int, x2 int, y2 int, confidence double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("4", before):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found = dedup.suppress(frame, ["page", "label"], 0.3).collect()
+            assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
